@@ -27,38 +27,45 @@ VOCAB_SLICE_SIZE = 10
 LOWEST_IDF_COUNT = 5
 
 
-def term_counts(token_array: Column) -> Column:
-    """array<struct<term, tf>> in term order, from an array of tokens.
-
-    Sort the tokens, mark where a new run starts, and take the distance to the
-    next start as the count. Linear after the sort, all in built-in
-    expressions.
-    """
-    s = F.array_sort(token_array)
-    n = F.size(s)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (n > 0) & ((i == 1) | (F.element_at(s, i) != F.element_at(s, i - 1))))
-    return F.transform(starts, lambda x, k: F.struct(
-        F.element_at(s, x).alias("term"),
-        (F.coalesce(F.try_element_at(starts, k + 2), n + 1) - x).cast("long").alias("tf")))
-
-
 def doc_terms(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN,
               stop_words: list[str] | None = None) -> DataFrame:
     """One row per document: ``(doc_id, terms array<struct<term, tf>>)``.
 
-    ``stop_words`` (a short literal list) are removed from each token array.
+    Postings are counted inside each document's row, so no shuffle is needed:
+    sort the tokens, mark where each run of equal tokens starts, and take the
+    distance to the next start as the count (linear after the sort). Each
+    array is a column of its own projection, so the lambdas read it instead
+    of re-evaluating it per element. ``stop_words`` (a short literal list) are
+    removed from each token array.
     """
     toks = tokens(text_col, pattern)
     if stop_words:
         sw = F.array(*[F.lit(w) for w in stop_words])
         toks = F.filter(toks, lambda t: ~F.array_contains(sw, t))
-    return docs.select("doc_id", term_counts(toks).alias("terms"))
+    s, n, st = F.col("_s"), F.col("_n"), F.col("_st")
+    step1 = docs.select("doc_id", F.sort_array(toks).alias("_s"))
+    step2 = step1.select("doc_id", "_s", F.size("_s").alias("_n"))
+    step3 = step2.select("doc_id", "_s", "_n", F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: (n > 0) & ((i == 1) | (F.element_at(s, i) != F.element_at(s, i - 1)))).alias("_st"))
+    return step3.select("doc_id", F.transform(st, lambda x, k: F.struct(
+        F.element_at(s, x).alias("term"),
+        (F.coalesce(F.try_element_at(st, k + 2), n + 1) - x).cast("long").alias("tf"))).alias("terms"))
+
+
+def explode_terms(dt: DataFrame) -> DataFrame:
+    """``(doc_id, term, tf)`` rows from per-document term arrays.
+
+    ``inline_outer`` plus a null filter above it: the plain generator would
+    get an inferred ``size(terms) > 0`` filter pushed under the projections,
+    re-evaluating the tokeniser there.
+    """
+    return dt.select("doc_id", F.inline_outer("terms")).filter(F.col("term").isNotNull())
 
 
 def postings(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN) -> DataFrame:
     """``(doc_id, term, tf)``, one row per document and term."""
-    return doc_terms(docs, text_col, pattern).select("doc_id", F.inline("terms"))
+    return explode_terms(doc_terms(docs, text_col, pattern))
 
 
 def corpus_size(docs: DataFrame) -> Column:
@@ -113,10 +120,14 @@ def document_lookup(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def tf_norms_from_terms(dt: DataFrame) -> DataFrame:
-    """T12 from per-document term arrays: no shuffle, summed in term order."""
+    """T12 from per-document term arrays: no shuffle, summed in term order.
+
+    Documents without tokens get 0 here; callers that need only documents
+    with postings join on them (a filter on the derived array would be pushed
+    under the projections and re-run the tokeniser).
+    """
     return dt.select("doc_id", F.sqrt(F.aggregate(
-        "terms", F.lit(0.0), lambda a, t: a + (t["tf"] * t["tf"]).cast("double"))).alias("tf_norm")
-    ).filter(F.size("terms") > 0)
+        "terms", F.lit(0.0), lambda a, t: a + (t["tf"] * t["tf"]).cast("double"))).alias("tf_norm"))
 
 
 def tf_norms(post: DataFrame) -> DataFrame:
@@ -187,9 +198,11 @@ class Index:
 def build_index(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN) -> Index:
     """Tokenise a corpus and derive all statistics."""
     dt = doc_terms(docs, text_col, pattern)
-    post = dt.select("doc_id", F.inline("terms"))
+    post = explode_terms(dt)
     n = corpus_size(docs)
     stats = term_stats(post, n)
-    norms = tf_norms_from_terms(dt).join(tfidf_norms(post, stats), "doc_id", "left")
+    # inner join: only documents with postings have norms, as in the reference
+    norms = tfidf_norms(post, stats).join(tf_norms_from_terms(dt), "doc_id").select(
+        "doc_id", "tf_norm", "tfidf_norm")
     return Index(docs=docs.select("doc_id", "path"), postings=post, term_stats=stats,
                  doc_norms=norms, n_docs=n)
