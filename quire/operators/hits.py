@@ -54,6 +54,7 @@ def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = H
     spark = base.sparkSession
     loop = RoundState(spark, "hits")
     term = l2_change_term if criterion == "l2" else signed_change_term
+    base = loop.settle(base.select("query_id", "node", "seen"))
     cit, lnk = base_edges(base, links, citations)
     cit = loop.settle(cit)
     lnk = loop.settle(lnk)

@@ -161,13 +161,15 @@ QUERIES = {
 _TOKEN = r"[\p{L}\p{N}]+"
 
 
-def _queries_values() -> str:
-    rows = ", ".join(f"({i}, '{q}')" for i, q in enumerate(DOC_QUERIES))
+def queries_values(queries: list[str]) -> str:
+    rows = ", ".join(f"({i}, '{q}')" for i, q in enumerate(queries))
     return f"SELECT * FROM (VALUES {rows}) AS q(query_id, query)"
 
 
-BASE = f"""
-WITH docs AS (SELECT doc_id, source AS path, text FROM documents),
+def corpus_sql(docs_select: str, queries: list[str]) -> str:
+    """CTE chain: docs, toks, postings, n, term_stats, norms, queries, qwords, qt."""
+    return f"""
+WITH docs AS ({docs_select}),
 toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_TOKEN}')) AS term FROM docs),
 postings AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
 n AS (SELECT count(*) AS n FROM docs),
@@ -176,7 +178,7 @@ term_stats AS (SELECT term, count(*) AS df,
 norms AS (SELECT p.doc_id, sqrt(sum((p.tf * p.tf)::DOUBLE)) AS tf_norm,
                  sqrt(sum(pow(p.tf * s.idf, 2))) AS tfidf_norm
           FROM postings p JOIN term_stats s USING (term) GROUP BY p.doc_id),
-queries AS ({_queries_values()}),
+queries AS ({queries_values(queries)}),
 qwords AS (SELECT query_id,
                   CASE WHEN query = '' THEN ['']
                        WHEN regexp_replace(query, '\\s+$', '') = '' THEN []::VARCHAR[]
@@ -186,7 +188,11 @@ qt AS (SELECT query_id, unnest(words) AS word, generate_subscripts(words, 1) - 1
 """
 
 
-def _cosine_sql(mode: str) -> str:
+BASE = corpus_sql("SELECT doc_id, source AS path, text FROM documents", DOC_QUERIES)
+
+
+
+def cosine_sql(mode: str) -> str:
     if mode == "tf":
         w, norm = "p.tf::DOUBLE", "nm.tf_norm"
     else:
@@ -220,7 +226,7 @@ ranges AS (SELECT query_id,
 
 
 def _ranked_sql(mode: str, session: bool = False) -> str:
-    return BASE + _cosine_sql(mode) + (_RANGE_SESSION if session else _RANGE_Q) + """,
+    return BASE + cosine_sql(mode) + (_RANGE_SESSION if session else _RANGE_Q) + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id
                    ORDER BY round(cosine, 12) DESC, first_pos, doc_id) AS rank FROM scores)
 SELECT r.query_id, r.rank, r.doc_id, replace(d.path, '%%', '/') AS url,
@@ -271,6 +277,6 @@ ORACLE = {
     "rank_session_scaled": _ranked_sql("tfidf", session=True),
     "missing_keywords": BASE + """SELECT qt.query_id, qt.pos, qt.word FROM qt
         WHERE NOT EXISTS (SELECT 1 FROM term_stats s WHERE s.term = qt.word)""",
-    "score_range": BASE + _cosine_sql("tfidf") + _RANGE_Q + """SELECT query_id, round(max_score, 9) AS max_score,
+    "score_range": BASE + cosine_sql("tfidf") + _RANGE_Q + """SELECT query_id, round(max_score, 9) AS max_score,
         round(min_score, 9) AS min_score FROM ranges""",
 }

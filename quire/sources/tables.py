@@ -46,6 +46,18 @@ def pages_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("html").alias("text")), "doc_id")
 
 
+def _with_page_count(pages: DataFrame) -> DataFrame:
+    # the page count, a scalar subquery run once, as a plain column: subqueries
+    # may not appear inside the lambdas below, column references may
+    return pages.select("page_id", "html", pages.agg(F.count(F.lit(1))).scalar().alias("_n_pages"))
+
+
+def _page_targets():
+    return F.array_distinct(F.filter(
+        F.transform(hrefs("html"), lambda h: hashed_node(h, F.col("_n_pages"))),
+        lambda x: x != F.col("page_id")))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """Link graph of the test pages: ``(src, dst, pos)``.
 
@@ -54,12 +66,9 @@ def page_links(pages: DataFrame) -> DataFrame:
     ``pos``. Computed per page row (no shuffle); the page count is a scalar
     subquery evaluated once.
     """
-    n = pages.agg(F.count(F.lit(1))).scalar()
-    targets = F.array_distinct(F.filter(
-        F.transform(hrefs("html"), lambda h: hashed_node(h, n)),
-        lambda x: x != F.col("page_id")))
-    return pages.select(F.col("page_id").alias("src"),
-                        F.posexplode(targets).alias("pos", "dst")).select("src", "dst", "pos")
+    with_n = _with_page_count(pages)
+    return with_n.select(F.col("page_id").alias("src"),
+                         F.posexplode(_page_targets()).alias("pos", "dst")).select("src", "dst", "pos")
 
 
 def transpose_links(links: DataFrame) -> DataFrame:
@@ -84,11 +93,8 @@ def adjacency_lines(pages: DataFrame) -> DataFrame:
     One line per page, built from the page's own row, so hot pages never meet
     in one task.
     """
-    n = pages.agg(F.count(F.lit(1))).scalar()
-    targets = F.array_distinct(F.filter(
-        F.transform(hrefs("html"), lambda h: hashed_node(h, n)),
-        lambda x: x != F.col("page_id")))
-    return pages.select(
+    with_n = _with_page_count(pages)
+    return with_n.select(
         F.col("page_id").alias("line_no"),
         F.concat(F.col("page_id").cast("string"), F.lit("->"),
-                 F.array_join(F.transform(targets, lambda x: x.cast("string")), ",")).alias("value"))
+                 F.array_join(F.transform(_page_targets(), lambda x: x.cast("string")), ",")).alias("value"))
