@@ -373,7 +373,7 @@ _SWEEP = """,
 rowlist AS (SELECT i, list(j ORDER BY j) AS js FROM und GROUP BY i),
 sweep AS (
   WITH RECURSIVE sw(i, s) AS (
-    SELECT 0::BIGINT AS i, list_transform(range((SELECT n FROM g_n)), lambda x: 1.0 / (SELECT n FROM g_n)) AS s
+    SELECT 0::BIGINT AS i, list_transform(range(g.n), lambda x: 1.0 / g.n) AS s FROM g_n g
     UNION ALL
     SELECT sw.i + 1,
            list_transform(sw.s, lambda x, k: CASE WHEN k - 1 = sw.i THEN

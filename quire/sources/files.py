@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.operators.index import Index, build_index
+from quire.operators.loop import RoundState
 
 
 def _abs_uri(root: str) -> str:
@@ -48,6 +49,10 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "doc_id",
     and add the row count of all earlier partitions. The offsets table has one
     row per partition, so it is broadcast with a known bound; no step needs
     the whole input in one task, unlike ``row_number()`` over a global order.
+
+    The numbered rows are written once under the checkpoint folder: the range
+    bounds come from sampling, and two separate evaluations (one for the
+    counts, one for the rows) could sample differently.
     """
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -56,6 +61,7 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "doc_id",
                            F.monotonically_increasing_id().alias("_mid"))
     # monotonically_increasing_id = (partition << 33) + row index in partition
     tagged = tagged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33))
+    tagged = RoundState(spark, "dense-ids").settle(tagged)
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
