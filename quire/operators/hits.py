@@ -84,9 +84,8 @@ def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = H
         new = s2.join(test, "query_id").select(
             "query_id", "node", "seen", F.col("a_new").alias("auth"), F.col("h_new").alias("hub"),
             F.col("h_new").alias("hub_in"), "done")
-        new = loop.settle(new)
-        counts = new.agg(F.count(F.when(F.col("done"), 1)).alias("d"),
-                         F.count(F.when(~F.col("done"), 1)).alias("a")).collect()[0]
+        new, counts = loop.settle_observed(new, F.count(F.when(F.col("done"), 1)).alias("d"),
+                                           F.count(F.when(~F.col("done"), 1)).alias("a"))
         if counts["d"]:
             finished.append(new.filter("done").select(
                 "query_id", "node", "seen", F.col("auth").alias("authority"), F.col("hub"),

@@ -67,8 +67,8 @@ def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, max_waves: int = M
         nxt = pending.join(contrib, "node", "left").select(
             "node", (F.col("rem") - F.coalesce("c", F.lit(0))).alias("rem"),
             (F.col("acc") + F.coalesce("s", F.lit(0.0))).alias("acc"))
-        nxt = loop.settle(nxt)
-        left = nxt.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("rem") == 0, 1)).alias("r")).collect()[0]
+        nxt, left = loop.settle_observed(nxt, F.count(F.lit(1)).alias("n"),
+                                         F.count(F.when(F.col("rem") == 0, 1)).alias("r"))
         if left["n"] == 0:
             break
         if left["r"] == 0:
@@ -94,11 +94,12 @@ def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
     r_edges = loop.settle(rows.select("i", "j"))
     cur = loop.settle(nodes.select("node", inv_n.alias("score")))
     for r in range(1, max_iter + 1):
-        raw = loop.settle(row_score_floor(r_edges, cur, nodes, n_nodes))
-        nxt = minmax_vector(raw).join(cur.withColumnRenamed("score", "old"), "node").select(
-            "node", "score", l2_change_term("score", "old").alias("d"))
-        nxt = loop.settle(nxt)
-        change = nxt.agg(F.sqrt(F.sum("d")).alias("c")).collect()[0]["c"]
+        # one job per round: the range is a scalar subquery over the same plan,
+        # the change is observed while the new vector is written
+        raw = row_score_floor(r_edges, cur, nodes, n_nodes)
+        nxt = minmax_vector(raw).join(cur.withColumnRenamed("score", "old"), "node").select("node", "score", "old")
+        nxt, m = loop.settle_observed(nxt, F.sqrt(F.sum(l2_change_term("score", "old"))).alias("c"))
+        change = m["c"]
         cur = nxt.select("node", "score")
         if change is not None and change < tol:
             return cur.withColumn("rounds", F.lit(r))

@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql.observation import Observation
 
 from quire.session import checkpoint_dir
 
@@ -35,6 +36,13 @@ class RoundState:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def settle_observed(self, df: DataFrame, *metrics) -> tuple[DataFrame, dict]:
+        """Write the state and gather aggregate ``metrics`` over it in the
+        same job (``DataFrame.observe``), so the stop test costs no extra pass."""
+        obs = Observation(f"round{self._n + 1}-{uuid.uuid4().hex[:6]}")
+        out = self.settle(df.observe(obs, *metrics))
+        return out, obs.get
+
 
 class NoConvergence(RuntimeError):
     pass
