@@ -26,6 +26,11 @@ MODE_TF = "tf"
 MODE_TFIDF = "tfidf"
 # Running ranges over a query batch are taken per block of this many ids.
 SESSION_BLOCK = 1024
+# A batch with at most this many words has its word table broadcast; with at
+# most MAX_LITERAL_WORDS distinct words they are also pushed to the postings
+# scan as a literal IN filter (row groups of term-sorted postings are skipped).
+MAX_BROADCAST_WORDS = 200_000
+MAX_LITERAL_WORDS = 10_000
 
 
 def _mode(mode) -> str:
@@ -43,10 +48,29 @@ def query_terms(queries: DataFrame, analyze: bool = False) -> DataFrame:
     return queries.select("query_id", F.posexplode(words).alias("pos", "word"))
 
 
+def _sized_sides(qt: DataFrame, words: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Size the query-word side before joining it with the postings.
+
+    Counting the batch's words reads only the queries table. A bounded batch
+    is broadcast (the postings are streamed, never shuffled) and, when small,
+    its distinct words are pushed into the postings scan; a batch beyond the
+    bounds takes the shuffle join.
+    """
+    n = qt.count()
+    if n > MAX_BROADCAST_WORDS:
+        return words, postings
+    distinct = qt.select("word").distinct()
+    if n <= MAX_LITERAL_WORDS:
+        vocab = [r[0] for r in distinct.collect()]
+        postings = postings.filter(F.col("term").isin(vocab))
+    return F.broadcast(words), postings
+
+
 def unranked_search(index: Index, queries: DataFrame) -> DataFrame:
     """R2: for each word in order, each posting's document and URL (bag)."""
     qt = query_terms(queries)
-    hits = qt.join(index.postings, qt["word"] == index.postings["term"]).select(
+    words, post = _sized_sides(qt, qt, index.postings)
+    hits = words.join(post, words["word"] == post["term"]).select(
         "query_id", "pos", "word", "doc_id")
     return hits.join(index.docs, "doc_id").select(
         "query_id", "pos", "word", "doc_id", decode_path("path").alias("url"))
@@ -72,13 +96,17 @@ def cosine_scores(index: Index, queries: DataFrame, mode="tfidf") -> DataFrame:
     # attach the IDF to the (few) query words first, then meet the postings
     qw = qt.join(index.term_stats.select("term", "idf"), qt["word"] == F.col("term")).select(
         "query_id", "pos", "term", "idf")
-    hits = qw.join(index.postings, "term")
+    qw, post = _sized_sides(qt, qw, index.postings)
     if mode == MODE_TF:
         weight, norm_col = F.col("tf").cast("double"), "tf_norm"
     else:
         weight, norm_col = F.col("tf") * F.col("idf"), "tfidf_norm"
-    hits = hits.join(index.doc_norms.select("doc_id", norm_col), "doc_id").select(
-        "query_id", "doc_id", "pos", ratio_or_nan(weight, F.col(norm_col)).alias("c"))
+    if norm_col in post.columns:
+        # a stored index keeps each document's norms on its postings
+        hits = qw.join(post.select("doc_id", "term", "tf", norm_col), "term")
+    else:
+        hits = qw.join(post, "term").join(index.doc_norms.select("doc_id", norm_col), "doc_id")
+    hits = hits.select("query_id", "doc_id", "pos", ratio_or_nan(weight, F.col(norm_col)).alias("c"))
     parts = F.array_sort(F.collect_list(F.struct("pos", "c")))
     return hits.groupBy("query_id", "doc_id").agg(
         F.aggregate(parts, F.lit(0.0), lambda a, x: a + x["c"]).alias("cosine"),

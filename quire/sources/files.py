@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.operators.index import Index, build_index
+from quire.operators.index import Index, build_index, term_stats
 from quire.operators.loop import RoundState
 
 
@@ -78,14 +78,30 @@ def corpus_from_files(spark: SparkSession, root: str) -> DataFrame:
 def write_index(index: Index, out: str, docs_text: DataFrame | None = None) -> None:
     """Write the index tables (overwrite).
 
-    Postings are range-partitioned and sorted by term, so a term look-up reads
-    only the row groups whose min/max statistics cover it.
+    The corpus is tokenised once: raw postings are written first and every
+    statistic is derived from that table (document frequencies: one group-by
+    by term; both norms: one join by term and one group-by by document). The
+    final postings carry their document's norms, so scoring a query needs no
+    join with the norms, and are range-partitioned and sorted by term, so the
+    pushed ``term IN (...)`` filter of a query batch skips every row group
+    whose min/max statistics miss the batch's words.
     """
+    spark = index.postings.sparkSession
     index.docs.write.mode("overwrite").parquet(os.path.join(out, "docs"))
-    post = index.postings.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
-    post.write.mode("overwrite").parquet(os.path.join(out, "postings"))
-    index.term_stats.write.mode("overwrite").parquet(os.path.join(out, "term_stats"))
-    index.doc_norms.write.mode("overwrite").parquet(os.path.join(out, "doc_norms"))
+    index.postings.write.mode("overwrite").parquet(os.path.join(out, "raw_postings"))
+    stored = spark.read.parquet(os.path.join(out, "raw_postings"))
+    docs = spark.read.parquet(os.path.join(out, "docs"))
+    stats = term_stats(stored, docs.agg(F.count(F.lit(1))).scalar())
+    stats.write.mode("overwrite").parquet(os.path.join(out, "term_stats"))
+    stats = spark.read.parquet(os.path.join(out, "term_stats"))
+    norms = stored.join(stats.select("term", "idf"), "term").groupBy("doc_id").agg(
+        F.sqrt(F.sum((F.col("tf") * F.col("tf")).cast("double"))).alias("tf_norm"),
+        F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("tfidf_norm"))
+    norms.write.mode("overwrite").parquet(os.path.join(out, "doc_norms"))
+    norms = spark.read.parquet(os.path.join(out, "doc_norms"))
+    post = stored.join(norms, "doc_id").repartitionByRange("term").sortWithinPartitions("term", "doc_id")
+    post.select("doc_id", "term", "tf", "tf_norm", "tfidf_norm").write.mode("overwrite").parquet(
+        os.path.join(out, "postings"))
     if docs_text is not None:
         docs_text.write.mode("overwrite").parquet(os.path.join(out, "corpus"))
 
