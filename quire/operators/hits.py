@@ -25,14 +25,6 @@ TOP_LIST_SIZE = 11
 MAX_ITER = 1000
 
 
-def _normalise(df: DataFrame, raw: str, out: str) -> DataFrame:
-    """Divide by the query's L2 norm; a zero norm gives zeros (deviation:
-    the reference divides 0/0 and never stops)."""
-    norms = df.groupBy("query_id").agg(F.sqrt(F.sum(F.col(raw) * F.col(raw))).alias(f"{out}_norm"))
-    return df.join(norms, "query_id").withColumn(
-        out, F.when(F.col(f"{out}_norm") > 0, F.col(raw) / F.col(f"{out}_norm")).otherwise(F.lit(0.0)))
-
-
 def convergence_passes(sum_col, tol: float):
     """L11 stop test on a per-query sum of terms: ``sqrt(sum) < tol``.
 
@@ -44,7 +36,8 @@ def convergence_passes(sum_col, tol: float):
 
 def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = HITS_TOL,
          max_iter: int = MAX_ITER, criterion: str = "l2") -> DataFrame:
-    """Run HITS per query. Returns ``(query_id, node, seen, authority, hub,
+    """Run HITS per query (L6-L10, with L9 norms per query; a zero norm gives
+    zeros and stops, where the reference divides 0/0 forever). Returns ``(query_id, node, seen, authority, hub,
     rounds, converged)``.
 
     ``criterion="l2"``: ``sqrt(Σ (new-old)^2) < tol`` for both vectors.
@@ -67,13 +60,19 @@ def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = H
         # a(p) = sum of hub(q) over q citing p, inside the base
         a_raw = cit.join(state.select("query_id", F.col("node").alias("citing"), "hub_in"),
                          ["query_id", "citing"]).groupBy("query_id", "node").agg(F.sum("hub_in").alias("a_raw"))
-        s1 = state.join(a_raw, ["query_id", "node"], "left").withColumn("a_raw", F.coalesce("a_raw", F.lit(0.0)))
-        s1 = _normalise(s1, "a_raw", "a_new")
-        # h(p) = sum of this round's a(q) over q linked from p, inside the base
-        h_raw = lnk.join(s1.select("query_id", F.col("node").alias("dst"), "a_new"),
-                         ["query_id", "dst"]).groupBy("query_id", "node").agg(F.sum("a_new").alias("h_raw"))
-        s2 = s1.join(h_raw, ["query_id", "node"], "left").withColumn("h_raw", F.coalesce("h_raw", F.lit(0.0)))
-        s2 = _normalise(s2, "h_raw", "h_new")
+        # L8 on the raw authorities: L2 normalisation is scale-free, so the hub
+        # direction is the same, and both norms come from one aggregation
+        h_raw = lnk.join(a_raw.withColumnRenamed("node", "dst"), ["query_id", "dst"]).groupBy(
+            "query_id", "node").agg(F.sum("a_raw").alias("h_raw"))
+        s2 = (state.join(a_raw, ["query_id", "node"], "left").join(h_raw, ["query_id", "node"], "left")
+              .withColumn("a_raw", F.coalesce("a_raw", F.lit(0.0)))
+              .withColumn("h_raw", F.coalesce("h_raw", F.lit(0.0))))
+        norms = s2.groupBy("query_id").agg(
+            F.sqrt(F.sum(F.col("a_raw") * F.col("a_raw"))).alias("a_new_norm"),
+            F.sqrt(F.sum(F.col("h_raw") * F.col("h_raw"))).alias("h_new_norm"))
+        s2 = s2.join(norms, "query_id").select(
+            "*", F.when(F.col("a_new_norm") > 0, F.col("a_raw") / F.col("a_new_norm")).otherwise(0.0).alias("a_new"),
+            F.when(F.col("h_new_norm") > 0, F.col("h_raw") / F.col("h_new_norm")).otherwise(0.0).alias("h_new"))
         # L11 per query
         test = s2.groupBy("query_id").agg(
             F.sum(term("a_new", "auth")).alias("da"), F.sum(term("h_new", "hub")).alias("dh"),

@@ -76,7 +76,8 @@ def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, max_waves: int = M
         waves += 1
         if waves > max_waves:
             raise NoConvergence(f"ordered sweep needs more than {max_waves} waves; use converged()")
-        frontier = loop.settle(finish(nxt.filter(F.col("rem") == 0)))
+        # nxt is already a written table: the frontier is a filter over it
+        frontier = finish(nxt.filter(F.col("rem") == 0))
         done.append(frontier)
         pending = nxt.filter(F.col("rem") > 0)
     out = reduce(DataFrame.unionByName, done)
@@ -96,7 +97,7 @@ def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
     for r in range(1, max_iter + 1):
         # one job per round: the range is a scalar subquery over the same plan,
         # the change is observed while the new vector is written
-        raw = row_score_floor(r_edges, cur, nodes, n_nodes)
+        raw = row_score_floor(r_edges, cur, cur.select("node"), n_nodes)
         nxt = minmax_vector(raw).join(cur.withColumnRenamed("score", "old"), "node").select("node", "score", "old")
         nxt, m = loop.settle_observed(nxt, F.sqrt(F.sum(l2_change_term("score", "old"))).alias("c"))
         change = m["c"]
