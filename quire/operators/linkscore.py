@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.scaling import l2_change_term
+from quire.functions.scaling import RANGE_MAX_START, RANGE_MIN_START, l2_change_term, minmax_scale
 from quire.operators.graph import minmax_vector, row_score_floor
 from quire.operators.loop import NoConvergence, RoundState
 
@@ -87,21 +87,37 @@ def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, max_waves: int = M
 def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
               max_iter: int = MAX_ITER) -> DataFrame:
     """Repeat L19 + L21 with a synchronous update until
-    ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``."""
+    ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``.
+
+    Each round writes the unscaled vector and observes its range in the same
+    job; the scaling (L21) is applied with that range when the vector is next
+    read, so the edge join and aggregation run once per round. The change is
+    then one scan of the written round.
+    """
     spark = rows.sparkSession
     loop = RoundState(spark, "linkscore")
     inv_n = (F.lit(1.0) / n_nodes.cast("double")) if not isinstance(n_nodes, (int, float)) \
         else F.lit(1.0 / n_nodes)
     r_edges = loop.settle(rows.select("i", "j"))
-    cur = loop.settle(nodes.select("node", inv_n.alias("score")))
+    cur = loop.settle(nodes.select("node", inv_n.alias("raw")))
+    rng = None  # the start vector 1/n is used unscaled
+
+    def scaled(col: str = "raw"):
+        if rng is None:
+            return F.col(col)
+        mx, mn = rng
+        return minmax_scale(F.col(col), F.lit(mn), F.lit(mx), digits=None)
+
     for r in range(1, max_iter + 1):
-        # one job per round: the range is a scalar subquery over the same plan,
-        # the change is observed while the new vector is written
-        raw = row_score_floor(r_edges, cur, cur.select("node"), n_nodes)
-        nxt = minmax_vector(raw).join(cur.withColumnRenamed("score", "old"), "node").select("node", "score", "old")
-        nxt, m = loop.settle_observed(nxt, F.sqrt(F.sum(l2_change_term("score", "old"))).alias("c"))
-        change = m["c"]
-        cur = nxt.select("node", "score")
+        prev = cur.select("node", scaled().alias("score"))
+        raw = row_score_floor(r_edges, prev, cur.select("node"), n_nodes)
+        nxt = raw.withColumnRenamed("score", "raw").join(prev.withColumnRenamed("score", "old"), "node")
+        nxt, m = loop.settle_observed(
+            nxt, F.greatest(F.lit(RANGE_MAX_START), F.max("raw")).alias("mx"),
+            F.least(F.lit(RANGE_MIN_START), F.min("raw")).alias("mn"))
+        rng = (m["mx"], m["mn"])
+        change = nxt.agg(F.sqrt(F.sum(l2_change_term(scaled(), "old")))).first()[0]
+        cur = nxt.select("node", "raw")
         if change is not None and change < tol:
-            return cur.withColumn("rounds", F.lit(r))
-    return cur.withColumn("rounds", F.lit(max_iter))
+            return cur.select("node", scaled().alias("score"), F.lit(r).alias("rounds"))
+    return cur.select("node", scaled().alias("score"), F.lit(max_iter).alias("rounds"))
