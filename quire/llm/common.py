@@ -10,7 +10,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,23 +44,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def group_count(docs: DataFrame, text_col: str, group_bytes: int) -> int:
-    """How many groups of about ``group_bytes`` text bytes the rows make."""
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(1, -(-int(total) // group_bytes))
-
-
 def text_blocks(batches: Iterable[pa.RecordBatch], text_col: str = "text",
                 max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the incoming batches with at most ``max_bytes`` of text (or one row)."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-        lo, size = 0, 0
-        for i, t in enumerate(texts):
-            n = len(t)
-            if i > lo and size + n > max_bytes:
-                yield batch.slice(lo, i - lo), texts[lo:i]
-                lo, size = i, 0
-            size += n
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
+        col = batch.column(batch.schema.get_field_index(text_col))
+        upto = np.cumsum(pc.binary_length(col).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < batch.num_rows:
+            before = upto[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(upto, before + max_bytes, side="right")))
+            yield batch.slice(lo, hi - lo), col.slice(lo, hi - lo).to_pylist()
+            lo = hi

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, packing, token_files
+from quire.llm import (bpe, packing, quality_classifier, quality_rules, simhash, substring_words, suffix_dedup,
+                       token_files, topk, toxicity)
 from quire.llm.common import settled_path
 from quire.sources.tables import read_table
 
@@ -18,6 +19,32 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER, window=1024, end_id=0))
 
 
+def op2_substring_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_words.dedup(read_table(spark, sf_dir, "documents"), window=35)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_classifier.learn(docs, read_table(spark, sf_dir, "labels"), "quality", per_class=6_000)
+    return quality_classifier.score(docs, model)
+
+
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), k=5, query_every=50, scale=256)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"), "toxic", per_class=2_500)
+    return toxicity.score(docs, model)
+
+
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), size=200)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), RANKS), RANKS)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -31,5 +58,29 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_bpe, op8_token_files)}
-ORACLE: dict[str, str] = {}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return done.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_substring_words, op3_quality_classifier, op4_maxscore, op5_toxicity, op6_suffix_array,
+    op7_bpe, op8_token_files, op9_quality_rules, op10_simhash)}
+
+#: What SQL can express; the other operators are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op4_maxscore": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id,
+             list_sum(list_transform(list_zip(q.e, c.e), p -> coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM t WHERE rank <= 5""",
+}
