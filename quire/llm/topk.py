@@ -126,19 +126,20 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint"))).alias(other))
 
     rows = dealt(data, shards, "shard", sets, "set").select("shard", "set", "row", "vec_id", "v")
-    queries = dealt(data.where(is_query), sets, "set", shards, "shard").select("shard", "set", "row", "vec_id", "v")
+    queries = dealt(data.where(is_query), sets, "set", shards, "shard").select(
+        "shard", "set", F.col("row").alias("q_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
 
     def cell(mine: pa.Table, asked: pa.Table) -> pa.Table:
         if not mine.num_rows or not asked.num_rows:
             return _HITS.empty_table()
-        raw, q_raw = mine.column("v").to_pylist(), asked.column("v").to_pylist()
+        raw, q_raw = mine.column("v").to_pylist(), asked.column("q").to_pylist()
         width = max(map(len, raw + q_raw)) // 8
         m, q = _matrix(raw, width).T.copy(), _matrix(q_raw, width)
         if width and float(np.abs(q).max()) * float(np.abs(m).max()) * width < 2**52:  # exact in doubles, and faster
             m, q = m.astype(np.float64), q.astype(np.float64)
         ids, row_no = np.array(mine.column("vec_id")), np.array(mine.column("row"))
         out = []
-        for own, qid, x in zip(asked.column("row").to_pylist(), asked.column("vec_id").to_pylist(), q):
+        for own, qid, x in zip(asked.column("q_row").to_pylist(), asked.column("query_id").to_pylist(), q):
             out += [(own, qid, int(ids[i]), int(s)) for s, i in maxscore(m, ids, row_no, x, own, k)]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, _HITS.types)], schema=_HITS)
 
