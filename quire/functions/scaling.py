@@ -43,16 +43,6 @@ def minmax_scale(value, lo, hi, digits: int | None = SCORE_DIGITS) -> Column:
     return F.round(scaled, digits) if digits is not None else scaled
 
 
-def range_max(c) -> Column:
-    """Aggregate: the running max as the reference starts it (at 0.0)."""
-    return F.greatest(F.lit(RANGE_MAX_START), F.coalesce(F.max(not_nan(c)), F.lit(RANGE_MAX_START)))
-
-
-def range_min(c) -> Column:
-    """Aggregate: the running min as the reference starts it (largest double)."""
-    return F.coalesce(F.min(not_nan(c)), F.lit(RANGE_MIN_START))
-
-
 def signed_change_term(new, old) -> Column:
     """float((old)^2 - (new)^2): one term of the reference's convergence sum."""
     return (_col(old) * _col(old) - _col(new) * _col(new)).cast("float").cast("double")

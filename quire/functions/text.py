@@ -1,7 +1,7 @@
 """Column expressions for text: tokenising, query splitting, path decoding.
 
-All of these are built-in Spark expressions, so they run inside whole-stage
-code generation and never leave the JVM.
+All of these are built-in Spark expressions and never leave the JVM. (Functions
+over array elements are interpreted, not generated code.)
 """
 
 from __future__ import annotations
@@ -17,6 +17,13 @@ QUERY_SPLIT_PATTERN = r"\s+"
 PATH_SLASH_CODE = "%%"
 
 
+#: The English stop words that the standard analyzer removes.
+ENGLISH_STOP_WORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of",
+    "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "will", "with",
+]
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

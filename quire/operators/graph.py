@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions.scaling import RANGE_MAX_START, RANGE_MIN_START, minmax_scale
+from quire.operators.loop import RoundState
+from quire.operators.numbering import positions_within
 from quire.operators.rank import order_key
 
 # K = 10 but the root loop stops after count > K, so 11 roots.
@@ -61,13 +63,13 @@ def base_set(root: DataFrame, links: DataFrame, citations: DataFrame) -> DataFra
     root by root, then citing documents.
     """
     r = root.select("query_id", "node", F.struct(
-        F.lit(STAGE_ROOT).alias("stage"), F.col("root_rank").alias("rank"), F.lit(0).alias("pos")).alias("seen"))
+        F.lit(STAGE_ROOT).alias("stage"), F.col("root_rank").alias("rank"), F.lit(0).cast("bigint").alias("pos")).alias("seen"))
     lk = out_links(links, root).select("query_id", F.col("dst").alias("node"), F.struct(
-        F.lit(STAGE_LINK).alias("stage"), F.col("root_rank").alias("rank"), F.col("pos").cast("int").alias("pos")
+        F.lit(STAGE_LINK).alias("stage"), F.col("root_rank").alias("rank"), F.col("pos").cast("bigint").alias("pos")
     ).alias("seen"))
     ct = in_links(citations, root).select("query_id", F.col("citing").alias("node"), F.struct(
         F.lit(STAGE_CITATION).alias("stage"), F.col("root_rank").alias("rank"),
-        F.col("pos").cast("int").alias("pos")).alias("seen"))
+        F.col("pos").cast("bigint").alias("pos")).alias("seen"))
     return r.unionByName(lk).unionByName(ct).groupBy("query_id", "node").agg(F.min("seen").alias("seen"))
 
 
@@ -113,12 +115,9 @@ def node_positions(base: DataFrame) -> DataFrame:
     Numbered with the range-partitioned dense numbering, then shifted by each
     query's first number, so a large base set is never sorted in one task.
     """
-    from quire.sources.files import dense_ids
     flat = base.select("query_id", "node", F.col("seen.stage").alias("s1"),
                        F.col("seen.rank").alias("s2"), F.col("seen.pos").alias("s3"))
-    g = dense_ids(flat, ["query_id", "s1", "s2", "s3", "node"], id_col="gid")
-    first = g.groupBy("query_id").agg(F.min("gid").alias("g0"))
-    return g.join(first, "query_id").select("query_id", "node", (F.col("gid") - F.col("g0")).alias("idx"))
+    return positions_within(flat, ["query_id"], ["s1", "s2", "s3", "node"]).select("query_id", "node", "idx")
 
 
 def node_index(positions: DataFrame, lookups: DataFrame) -> DataFrame:
@@ -150,11 +149,11 @@ def row_score_floor(rows: DataFrame, scores: DataFrame, nodes: DataFrame, n_node
 def minmax_vector(vec: DataFrame, col: str = "score") -> DataFrame:
     """Scale a whole vector to [0, 1]; max starts at 0, all 0.5 when flat.
 
-    The range is one global aggregate (one row), attached as scalar
-    subqueries, so the vector is never collected.
+    The vector is written once, its range observed in the same job, and the
+    scaling is applied when it is read.
     """
-    rng = vec.agg(F.greatest(F.lit(RANGE_MAX_START), F.max(col)).alias("mx"),
-                  F.least(F.lit(RANGE_MIN_START), F.min(col)).alias("mn"))
-    mx = rng.select("mx").scalar()
-    mn = rng.select("mn").scalar()
-    return vec.withColumn(col, minmax_scale(F.col(col), mn, mx, digits=None))
+    raw, m = RoundState(vec.sparkSession, "minmax").settle_observed(vec, F.max(col).alias("mx"), F.min(col).alias("mn"))
+    if m["mx"] is None:
+        return raw
+    lo, hi = min(RANGE_MIN_START, m["mn"]), max(RANGE_MAX_START, m["mx"])
+    return raw.withColumn(col, minmax_scale(F.col(col), F.lit(lo), F.lit(hi), digits=None))

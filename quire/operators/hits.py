@@ -3,8 +3,11 @@
 All queries of a batch iterate together: the state holds one row per
 (query, base node). A round is authority update (L7), L2 normalisation (L9),
 hub update from this round's authorities (L8), normalisation, and the
-convergence test (L11) per query. Queries that have converged leave the
-active state; the loop ends when none is left or at ``max_iter``.
+convergence test (L11) per query. Both updates are linear, so ``BATCH``
+rounds run unnormalised, each as two joins with the edges, and keep their
+vectors side by side; one pass over the written vectors then gives all their
+norms and tests, and each query takes the first round that passes. Queries
+that have converged leave the active state; the loop ends when none is left.
 """
 
 from __future__ import annotations
@@ -17,12 +20,15 @@ from pyspark.sql.window import Window
 
 from quire.functions.scaling import l2_change_term, signed_change_term
 from quire.operators.graph import base_edges
-from quire.operators.loop import RoundState
+from quire.operators.loop import NoConvergence, RoundState
 
 # Tolerance of the HITS stopping test; lists print K + 1 = 11.
 HITS_TOL = 1e-7
 TOP_LIST_SIZE = 11
-MAX_ITER = 1000
+MAX_ITER = 10_000
+#: Rounds between two tests. The vectors grow by the largest eigenvalue each
+#: round, so the number is small enough for doubles on any graph.
+BATCH = 6
 
 
 def convergence_passes(sum_col, tol: float):
@@ -34,72 +40,78 @@ def convergence_passes(sum_col, tol: float):
     return F.coalesce(F.sqrt(sum_col) < F.lit(tol), F.lit(False))
 
 
+def _unit(value: str, norm: str):
+    return F.when(F.col(norm) > 0, F.col(value) / F.col(norm)).otherwise(F.lit(0.0))
+
+
 def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = HITS_TOL,
-         max_iter: int = MAX_ITER, criterion: str = "l2") -> DataFrame:
+         max_iter: int = MAX_ITER, criterion: str = "l2", rounds: int | None = None) -> DataFrame:
     """Run HITS per query (L6-L10, with L9 norms per query; a zero norm gives
-    zeros and stops, where the reference divides 0/0 forever). Returns ``(query_id, node, seen, authority, hub,
-    rounds, converged)``.
+    zeros and stops, where the reference divides 0/0 forever). Returns
+    ``(query_id, node, seen, authority, hub, rounds)``.
 
     ``criterion="l2"``: ``sqrt(Σ (new-old)^2) < tol`` for both vectors.
     ``criterion="signed"``: the reference's ``sqrt(Σ float(old^2-new^2))``.
-    The previous vectors start at 0, the hub input at 1.0 (L6).
+    The previous vectors start at 0, the hub input at 1.0 (L6). A query that
+    has not converged after ``max_iter`` rounds raises :class:`NoConvergence`;
+    ``rounds`` runs exactly that many instead, without a test.
     """
     spark = base.sparkSession
     loop = RoundState(spark, "hits")
     term = l2_change_term if criterion == "l2" else signed_change_term
     base = loop.settle(base.select("query_id", "node", "seen"))
     cit, lnk = base_edges(base, links, citations)
-    cit = loop.settle(cit)
-    lnk = loop.settle(lnk)
-    loop.rounds = 0
-    state = loop.settle(base.select(
-        "query_id", "node", "seen", F.lit(0.0).alias("auth"), F.lit(0.0).alias("hub"),
-        F.lit(1.0).alias("hub_in")))
+    cit, lnk = loop.settle(cit), loop.settle(lnk)
+    state = base.select("*", F.lit(0.0).alias("a0"), F.lit(0.0).alias("h0"), F.lit(1.0).alias("hub_in"))
     finished: list[DataFrame] = []
-    for r in range(1, max_iter + 1):
-        # a(p) = sum of hub(q) over q citing p, inside the base
-        a_raw = cit.join(state.select("query_id", F.col("node").alias("citing"), "hub_in"),
-                         ["query_id", "citing"]).groupBy("query_id", "node").agg(F.sum("hub_in").alias("a_raw"))
-        # L8 on the raw authorities: L2 normalisation is scale-free, so the hub
-        # direction is the same, and both norms come from one aggregation
-        h_raw = lnk.join(a_raw.withColumnRenamed("node", "dst"), ["query_id", "dst"]).groupBy(
-            "query_id", "node").agg(F.sum("a_raw").alias("h_raw"))
-        s2 = (state.join(a_raw, ["query_id", "node"], "left").join(h_raw, ["query_id", "node"], "left")
-              .withColumn("a_raw", F.coalesce("a_raw", F.lit(0.0)))
-              .withColumn("h_raw", F.coalesce("h_raw", F.lit(0.0))))
-        norms = s2.groupBy("query_id").agg(
-            F.sqrt(F.sum(F.col("a_raw") * F.col("a_raw"))).alias("a_new_norm"),
-            F.sqrt(F.sum(F.col("h_raw") * F.col("h_raw"))).alias("h_new_norm"))
-        s2 = s2.join(norms, "query_id").select(
-            "*", F.when(F.col("a_new_norm") > 0, F.col("a_raw") / F.col("a_new_norm")).otherwise(0.0).alias("a_new"),
-            F.when(F.col("h_new_norm") > 0, F.col("h_raw") / F.col("h_new_norm")).otherwise(0.0).alias("h_new"))
-        # L11 per query
-        test = s2.groupBy("query_id").agg(
-            F.sum(term("a_new", "auth")).alias("da"), F.sum(term("h_new", "hub")).alias("dh"),
-            F.max("a_new_norm").alias("na"), F.max("h_new_norm").alias("nh"))
-        test = test.select("query_id", (
-            (convergence_passes(F.col("da"), tol) & convergence_passes(F.col("dh"), tol))
-            | (F.col("na") == 0) | (F.col("nh") == 0)).alias("done"))
-        new = s2.join(test, "query_id").select(
-            "query_id", "node", "seen", F.col("a_new").alias("auth"), F.col("h_new").alias("hub"),
-            F.col("h_new").alias("hub_in"), "done")
-        new, counts = loop.settle_observed(new, F.count(F.when(F.col("done"), 1)).alias("d"),
-                                           F.count(F.when(~F.col("done"), 1)).alias("a"))
-        if counts["d"]:
-            finished.append(new.filter("done").select(
-                "query_id", "node", "seen", F.col("auth").alias("authority"), F.col("hub"),
-                F.lit(r).alias("rounds"), F.lit(True).alias("converged")))
-        state = new.filter(~F.col("done")).drop("done")
-        if not counts["a"]:
-            break
-    else:
-        finished.append(state.select(
-            "query_id", "node", "seen", F.col("auth").alias("authority"), F.col("hub"),
-            F.lit(max_iter).alias("rounds"), F.lit(False).alias("converged")))
-    if not finished:
-        return state.select("query_id", "node", "seen", F.col("auth").alias("authority"), "hub",
-                            F.lit(0).alias("rounds"), F.lit(True).alias("converged"))
-    return reduce(DataFrame.unionByName, finished)
+    done_rounds = 0
+    while True:
+        steps = min(BATCH, (rounds if rounds is not None else max_iter) - done_rounds)
+        for s in range(1, steps + 1):
+            before = "hub_in" if s == 1 else f"h{s - 1}"
+            # a(p) = sum of hub(q) over q citing p, inside the base
+            a = cit.join(state.select("query_id", F.col("node").alias("citing"), before),
+                         ["query_id", "citing"]).groupBy("query_id", "node").agg(F.sum(before).alias(f"a{s}"))
+            # L8 on this round's authorities
+            h = lnk.join(a.withColumnRenamed("node", "dst"), ["query_id", "dst"]).groupBy(
+                "query_id", "node").agg(F.sum(f"a{s}").alias(f"h{s}"))
+            both = a.join(h, ["query_id", "node"], "full")
+            state = loop.next_round(state.join(both, ["query_id", "node"], "left").na.fill(0.0, [f"a{s}", f"h{s}"]))
+        state, active = _tested(loop, state, steps, tol, term, rounds is None)
+        done_rounds += steps
+        at_end = rounds is not None and done_rounds >= rounds
+        finished.append(loop.settle(state.where(F.lit(True) if at_end else F.col("stop").isNotNull()).select(
+            "query_id", "node", "seen", F.col("a0").alias("authority"), F.col("h0").alias("hub"),
+            (F.coalesce("stop", F.lit(steps)) + (done_rounds - steps)).alias("rounds"))))
+        if at_end or not active:
+            return reduce(DataFrame.unionByName, finished)
+        if rounds is None and done_rounds >= max_iter:
+            raise NoConvergence(f"HITS has not converged in {max_iter} rounds for some query")
+        state = state.where(F.col("stop").isNull()).select("query_id", "node", "seen", "a0", "h0", F.col("h0").alias("hub_in"))
+
+
+def _tested(loop: RoundState, state: DataFrame, steps: int, tol: float, term, test: bool) -> tuple[DataFrame, int]:
+    """Normalise the vectors of ``steps`` rounds (L9), find each query's first
+    round that passes (L11), and keep that round's vectors, else the last's, as
+    ``a0`` and ``h0``. Also the number of rows still active."""
+    every = range(1, steps + 1)
+    norms = state.groupBy("query_id").agg(
+        *(F.sqrt(F.sum(F.col(f"{v}{s}") * F.col(f"{v}{s}"))).alias(f"n{v}{s}") for s in every for v in "ah"))
+    unit = state.join(norms, "query_id").select(
+        "query_id", "node", "seen", "a0", "h0", *(_unit(f"{v}{s}", f"n{v}{s}").alias(f"{v}{s}") for s in every for v in "ah"),
+        *(F.col(f"n{v}{s}") for s in every for v in "ah"))
+    sums = unit.groupBy("query_id").agg(
+        *(F.sum(term(f"{v}{s}", f"{v}{s - 1}")).alias(f"d{v}{s}") for s in every for v in "ah"),
+        *(F.first(f"n{v}{s}").alias(f"m{v}{s}") for s in every for v in "ah"))
+    passes = [F.when((convergence_passes(F.col(f"da{s}"), tol) & convergence_passes(F.col(f"dh{s}"), tol))
+                     | (F.col(f"ma{s}") == 0) | (F.col(f"mh{s}") == 0), F.lit(s)) for s in every]
+    stop = F.coalesce(*passes, F.lit(None).cast("int")) if test else F.lit(None).cast("int")
+    picked = unit.join(sums.select("query_id", stop.alias("stop")), "query_id")
+    at = F.coalesce("stop", F.lit(steps))
+    out = picked.select("query_id", "node", "seen", *(
+        F.element_at(F.array(*(F.col(f"{v}{s}") for s in every)), at).alias(f"{v}0") for v in "ah"), "stop")
+    out, counts = loop.next_round(out, F.count(F.when(F.col("stop").isNull(), 1)).alias("active"))
+    return out, counts["active"]
 
 
 def top_list(result: DataFrame, score: str, k: int = TOP_LIST_SIZE) -> DataFrame:

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quire.functions.scaling import IDF_DIGITS
 from quire.functions.text import TOKEN_PATTERN, decode_path, tokens
+from quire.operators.loop import RoundState
+from quire.operators.numbering import dense_ids
 
 # IDF of a term seen only in another field; the terms printed by
 # the vocabulary slice (0-based 100001..100010); the five lowest IDF words.
@@ -28,8 +29,9 @@ LOWEST_IDF_COUNT = 5
 
 
 def doc_terms(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN,
-              stop_words: list[str] | None = None) -> DataFrame:
-    """One row per document: ``(doc_id, terms array<struct<term, tf>>)``.
+              stop_words: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """One row per document: ``(doc_id, terms array<struct<term, tf>>)`` and the
+    columns to ``keep``.
 
     Postings are counted inside each document's row, so no shuffle is needed:
     sort the tokens, mark where each run of equal tokens starts, and take the
@@ -40,15 +42,15 @@ def doc_terms(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATT
     """
     toks = tokens(text_col, pattern)
     if stop_words:
-        sw = F.array(*[F.lit(w) for w in stop_words])
-        toks = F.filter(toks, lambda t: ~F.array_contains(sw, t))
+        toks = F.filter(toks, lambda t: ~t.isin(list(stop_words)))
+    kept = keep or []
     s, n, st = F.col("_s"), F.col("_n"), F.col("_st")
-    step1 = docs.select("doc_id", F.sort_array(toks).alias("_s"))
-    step2 = step1.select("doc_id", "_s", F.size("_s").alias("_n"))
-    step3 = step2.select("doc_id", "_s", "_n", F.filter(
+    step1 = docs.select("doc_id", *kept, F.sort_array(toks).alias("_s"))
+    step2 = step1.select("doc_id", *kept, "_s", F.size("_s").alias("_n"))
+    step3 = step2.select("doc_id", *kept, "_s", "_n", F.filter(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
         lambda i: (n > 0) & ((i == 1) | (F.element_at(s, i) != F.element_at(s, i - 1)))).alias("_st"))
-    return step3.select("doc_id", F.transform(st, lambda x, k: F.struct(
+    return step3.select("doc_id", *kept, F.transform(st, lambda x, k: F.struct(
         F.element_at(s, x).alias("term"),
         (F.coalesce(F.try_element_at(st, k + 2), n + 1) - x).cast("long").alias("tf"))).alias("terms"))
 
@@ -63,9 +65,10 @@ def explode_terms(dt: DataFrame) -> DataFrame:
     return dt.select("doc_id", F.inline_outer("terms")).filter(F.col("term").isNotNull())
 
 
-def postings(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN) -> DataFrame:
+def postings(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN,
+             stop_words: list[str] | None = None) -> DataFrame:
     """``(doc_id, term, tf)``, one row per document and term."""
-    return explode_terms(doc_terms(docs, text_col, pattern))
+    return explode_terms(doc_terms(docs, text_col, pattern, stop_words))
 
 
 def corpus_size(docs: DataFrame) -> Column:
@@ -82,13 +85,11 @@ def vocabulary_slice(post: DataFrame, offset: int = VOCAB_SLICE_OFFSET,
                      size: int = VOCAB_SLICE_SIZE) -> DataFrame:
     """T5: terms ``offset .. offset+size-1`` of the sorted vocabulary.
 
-    Planned as a top-(offset+size) per partition and a merge, so no task sees
-    more than ``offset + size`` rows.
+    The vocabulary is numbered by range partitions and filtered by number, so
+    an offset deep in a large vocabulary costs no task more than its range.
     """
-    picked = vocabulary(post).orderBy("term").offset(offset).limit(size)
-    # numbering the at most ``size`` picked rows
-    return picked.select(
-        (F.lit(offset) - 1 + F.row_number().over(Window.orderBy("term"))).alias("ordinal"), "term")
+    numbered = dense_ids(vocabulary(post), ["term"], id_col="ordinal")
+    return numbered.where(F.col("ordinal").between(offset, offset + size - 1)).select("ordinal", "term")
 
 
 def document_frequency(post: DataFrame) -> DataFrame:
@@ -108,9 +109,22 @@ def term_idf_with_missing(terms: DataFrame, stats: DataFrame) -> DataFrame:
         "term", F.coalesce("idf", F.lit(MISSING_TERM_IDF)).alias("idf"))
 
 
+#: Folders that a stored index deals its terms into.
+TERM_BUCKETS = 64
+
+
+def term_bucket(term) -> Column:
+    """The folder of a term in a stored index."""
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+
+
 def postings_lookup(post: DataFrame, term: str) -> DataFrame:
-    """``(doc_id, tf)`` of one term; a pushed-down filter on a stored index."""
-    return post.filter(F.col("term") == term).select("doc_id", "tf")
+    """``(doc_id, tf)`` of one term. On a stored index the term's folder is
+    known from the term, and the filter is pushed to its files."""
+    found = post.filter(F.col("term") == term)
+    if "bucket" in post.columns:
+        found = found.filter(F.col("bucket") == term_bucket(F.lit(term)))
+    return found.select("doc_id", "tf")
 
 
 def document_lookup(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -183,26 +197,27 @@ def missing_doc_ids(docs: DataFrame) -> DataFrame:
 @dataclass
 class Index:
     """A corpus index: every member is a lazily defined DataFrame."""
-    docs: DataFrame          # doc_id, path
-    postings: DataFrame      # doc_id, term, tf
+    docs: DataFrame          # doc_id, path, modified where the corpus has it
+    postings: DataFrame      # doc_id, term, tf; in a stored index also bucket and both norms
     term_stats: DataFrame    # term, df, idf
     doc_norms: DataFrame     # doc_id, tf_norm, tfidf_norm
     n_docs: Column           # scalar
 
-    def persist(self) -> "Index":
-        for df in (self.postings, self.term_stats, self.doc_norms):
-            df.persist()
-        return self
 
+def build_index(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN,
+                stop_words: list[str] | None = None) -> Index:
+    """Tokenise a corpus and derive all statistics.
 
-def build_index(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN) -> Index:
-    """Tokenise a corpus and derive all statistics."""
-    dt = doc_terms(docs, text_col, pattern)
+    The corpus is read and tokenised once, into a written table with one row
+    of counted terms per document; every statistic comes from that table.
+    """
+    own = docs.select("doc_id", *(c for c in ("path", "modified") if c in docs.columns), text_col)
+    terms = doc_terms(own, text_col, pattern, stop_words, keep=[c for c in own.columns if c not in ("doc_id", text_col)])
+    dt = RoundState(docs.sparkSession, "doc-terms").settle(terms)
     post = explode_terms(dt)
-    n = corpus_size(docs)
+    n = corpus_size(dt)
     stats = term_stats(post, n)
     # inner join: only documents with postings have norms, as in the reference
     norms = tfidf_norms(post, stats).join(tf_norms_from_terms(dt), "doc_id").select(
         "doc_id", "tf_norm", "tfidf_norm")
-    return Index(docs=docs.select("doc_id", "path"), postings=post, term_stats=stats,
-                 doc_norms=norms, n_docs=n)
+    return Index(docs=dt.drop("terms"), postings=post, term_stats=stats, doc_norms=norms, n_docs=n)

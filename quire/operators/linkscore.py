@@ -18,21 +18,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.scaling import RANGE_MAX_START, RANGE_MIN_START, l2_change_term, minmax_scale
-from quire.operators.graph import minmax_vector, row_score_floor
+from quire.operators.graph import minmax_vector
 from quire.operators.loop import NoConvergence, RoundState
 
 # Fixed value: tolerance of the link-score stopping test.
 LINK_TOL = 1e-5
-MAX_WAVES = 10_000
-MAX_ITER = 1000
+MAX_ITER = 10_000
+#: Rounds between two stop tests of the converged form.
+BATCH = 8
 
 
-def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, max_waves: int = MAX_WAVES,
-                  scale: bool = True) -> DataFrame:
+def _number(df: DataFrame, n_nodes) -> float:
+    """The node count as a number: a scalar column is evaluated once, not in every round's plan."""
+    return float(n_nodes if isinstance(n_nodes, (int, float)) else df.sparkSession.range(1).select(n_nodes).first()[0])
+
+
+def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, scale: bool = True) -> DataFrame:
     """``(node, score)`` after one in-place ascending sweep (+ L21).
 
     ``rows (i, j)`` are deduplicated row entries (L18); ``nodes (node)`` all
@@ -40,84 +45,83 @@ def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, max_waves: int = M
     ``j >= i`` (the id itself included) still hold the start value ``1/n``
     when ``i`` is computed, so they add a constant; entries with ``j < i``
     add the final score of ``j``.
+
+    A wave touches only the nodes that its frontier contributes to and those
+    that still wait with a part of their sum; it is appended to one table
+    partitioned by wave, whose complete rows are the result. Every wave
+    completes at least the lowest unfinished node, so the loop ends by itself
+    after as many waves as the longest ascending path has nodes.
     """
-    spark = rows.sparkSession
-    loop = RoundState(spark, "linkscore")
-    inv_n = (F.lit(1.0) / n_nodes.cast("double")) if not isinstance(n_nodes, (int, float)) \
-        else F.lit(1.0 / n_nodes)
+    loop = RoundState(rows.sparkSession, "sweep")
+    inv_n = F.lit(1.0 / max(_number(rows, n_nodes), 1.0))
     lower = loop.settle(rows.filter(F.col("j") < F.col("i")).select("i", "j"))
     per_node = rows.groupBy(F.col("i").alias("node")).agg(
         F.count(F.when(F.col("j") < F.col("i"), 1)).alias("rem"),
         F.count(F.when(F.col("j") >= F.col("i"), 1)).alias("upper"))
-    pending = nodes.select("node").join(per_node, "node", "left").select(
+    start = nodes.select("node").join(per_node, "node", "left").select(
         "node", F.coalesce("rem", F.lit(0)).cast("long").alias("rem"),
         (F.coalesce("upper", F.lit(0)).cast("double") * inv_n).alias("acc"))
-    pending = loop.settle(pending)
+    wave = start = loop.settle(start, "waves/wave=0")
+    number = 0
 
-    def finish(df: DataFrame) -> DataFrame:
-        return df.select("node", F.when(F.col("acc") > 0, F.col("acc")).otherwise(inv_n).alias("score"))
+    def complete(df: DataFrame) -> DataFrame:
+        return df.filter("rem = 0").select("node", F.when(F.col("acc") > 0, F.col("acc")).otherwise(inv_n).alias("score"))
 
-    frontier = finish(pending.filter(F.col("rem") == 0))
-    done = [frontier]
-    pending = pending.filter(F.col("rem") > 0)
-    waves = 1
     while True:
-        contrib = lower.join(frontier.withColumnRenamed("node", "j"), "j").groupBy(
-            F.col("i").alias("node")).agg(F.sum("score").alias("s"), F.count(F.lit(1)).alias("c"))
-        nxt = pending.join(contrib, "node", "left").select(
+        given = lower.join(complete(wave).withColumnRenamed("node", "j"), "j").groupBy(F.col("i").alias("node")).agg(
+            F.count(F.lit(1)).alias("c"), F.sum("score").alias("s"))
+        if number == 0:
+            touched = start.join(given, "node")
+        else:
+            waiting = wave.filter("rem > 0")
+            fresh = given.join(waiting, "node", "left_anti").join(start, "node")
+            touched = fresh.select("node", "rem", "acc", "c", "s").unionByName(
+                waiting.join(given, "node", "left").select("node", "rem", "acc", "c", "s"))
+        number += 1
+        wave, counts = loop.settle_observed(touched.select(
             "node", (F.col("rem") - F.coalesce("c", F.lit(0))).alias("rem"),
-            (F.col("acc") + F.coalesce("s", F.lit(0.0))).alias("acc"))
-        nxt, left = loop.settle_observed(nxt, F.count(F.lit(1)).alias("n"),
-                                         F.count(F.when(F.col("rem") == 0, 1)).alias("r"))
-        if left["n"] == 0:
+            (F.col("acc") + F.coalesce("s", F.lit(0.0))).alias("acc")),
+            F.count(F.when(F.col("rem") == 0, 1)).alias("ready"), F.count(F.lit(1)).alias("n"), path=f"waves/wave={number}")
+        if not counts["ready"]:
+            if counts["n"]:
+                raise RuntimeError("ordered sweep made no progress; the row table is inconsistent")
             break
-        if left["r"] == 0:
-            raise RuntimeError("ordered sweep made no progress; the row table is inconsistent")
-        waves += 1
-        if waves > max_waves:
-            raise NoConvergence(f"ordered sweep needs more than {max_waves} waves; use converged()")
-        # nxt is already a written table: the frontier is a filter over it
-        frontier = finish(nxt.filter(F.col("rem") == 0))
-        done.append(frontier)
-        pending = nxt.filter(F.col("rem") > 0)
-    out = reduce(DataFrame.unionByName, done)
+    out = complete(rows.sparkSession.read.parquet(f"{loop.root}/waves"))
     return minmax_vector(out) if scale else out
 
 
 def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
               max_iter: int = MAX_ITER) -> DataFrame:
     """Repeat L19 + L21 with a synchronous update until
-    ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``.
+    ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``; raises
+    :class:`NoConvergence` when ``max_iter`` rounds do not suffice.
 
-    Each round writes the unscaled vector and observes its range in the same
-    job; the scaling (L21) is applied with that range when the vector is next
-    read, so the edge join and aggregation run once per round. The change is
-    then one scan of the written round.
+    A round is one job: it writes the unscaled vector beside the vector it
+    came from and observes its range; the scaling (L21) is applied with that
+    range when the vector is read. The changes of ``BATCH`` rounds are one
+    scan of their tables, and the first that passes is the result.
     """
-    spark = rows.sparkSession
-    loop = RoundState(spark, "linkscore")
-    inv_n = (F.lit(1.0) / n_nodes.cast("double")) if not isinstance(n_nodes, (int, float)) \
-        else F.lit(1.0 / n_nodes)
-    r_edges = loop.settle(rows.select("i", "j"))
-    cur = loop.settle(nodes.select("node", inv_n.alias("raw")))
-    rng = None  # the start vector 1/n is used unscaled
-
-    def scaled(col: str = "raw"):
-        if rng is None:
-            return F.col(col)
-        mx, mn = rng
-        return minmax_scale(F.col(col), F.lit(mn), F.lit(mx), digits=None)
-
+    loop = RoundState(rows.sparkSession, "linkscore")
+    inv_n = 1.0 / max(_number(rows, n_nodes), 1.0)
+    edges = loop.settle(rows.select("i", "j"))
+    cur = loop.settle(nodes.select("node", F.lit(inv_n).alias("score")))
+    rounds: list[tuple[int, DataFrame, Column]] = []
     for r in range(1, max_iter + 1):
-        prev = cur.select("node", scaled().alias("score"))
-        raw = row_score_floor(r_edges, prev, cur.select("node"), n_nodes)
-        nxt = raw.withColumnRenamed("score", "raw").join(prev.withColumnRenamed("score", "old"), "node")
-        nxt, m = loop.settle_observed(
-            nxt, F.greatest(F.lit(RANGE_MAX_START), F.max("raw")).alias("mx"),
-            F.least(F.lit(RANGE_MIN_START), F.min("raw")).alias("mn"))
-        rng = (m["mx"], m["mn"])
-        change = nxt.agg(F.sqrt(F.sum(l2_change_term(scaled(), "old")))).first()[0]
-        cur = nxt.select("node", "raw")
-        if change is not None and change < tol:
-            return cur.select("node", scaled().alias("score"), F.lit(r).alias("rounds"))
-    return cur.select("node", scaled().alias("score"), F.lit(max_iter).alias("rounds"))
+        sums = edges.join(cur.withColumnRenamed("node", "j"), "j").groupBy(F.col("i").alias("node")).agg(F.sum("score").alias("s"))
+        nxt = cur.withColumnRenamed("score", "old").join(sums, "node", "left").select(
+            "node", "old", F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(inv_n)).alias("raw"))
+        nxt, m = loop.next_round(nxt, F.max("raw").alias("mx"), F.min("raw").alias("mn"), keep=BATCH)
+        if m["mx"] is None:  # no nodes
+            return cur.select("node", "score", F.lit(r).alias("rounds"))
+        scaled = minmax_scale("raw", F.lit(min(RANGE_MIN_START, m["mn"])), F.lit(max(RANGE_MAX_START, m["mx"])), digits=None)
+        cur = nxt.select("node", scaled.alias("score"))
+        rounds.append((r, nxt, scaled))
+        if len(rounds) == BATCH or r == max_iter:
+            changes = reduce(DataFrame.unionByName, (t.select(F.lit(k).alias("r"), l2_change_term(new, "old").alias("d"))
+                                                     for k, t, new in rounds))
+            passed = [x.r for x in changes.groupBy("r").agg(F.sqrt(F.sum("d")).alias("c")).where(F.col("c") < tol).collect()]
+            if passed:
+                k, t, new = next(x for x in rounds if x[0] == min(passed))
+                return t.select("node", new.alias("score"), F.lit(k).alias("rounds"))
+            rounds = []
+    raise NoConvergence(f"the link score has not converged in {max_iter} rounds")

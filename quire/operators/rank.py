@@ -1,11 +1,14 @@
 """Keyword search and cosine ranking over an :class:`Index`.
 
 A batch of queries is a DataFrame ``(query_id bigint, query string)``. The
-plan for a batch is: split the queries into words, attach each word's IDF
-(a join of two small sides), broadcast that word table against the postings,
-sum the per-word contributions per (query, document), and keep the top k per
-query with a window whose group limit is applied before the shuffle, so a
-query matching every document still moves only k rows per partition.
+plan for a batch is: split the queries into words, attach each word's IDF (the
+words are the small side of that join), write that word table, join it with
+the postings, sum the per-word contributions per (query, document), and keep
+the top k per query with a window whose group limit is applied before the
+shuffle, so a query matching every document still moves only k rows per
+partition. Whether the word table is broadcast is the planner's choice by its
+written size; a stored index is also joined on the term's bucket, so the
+folders that hold no query word are pruned when it is.
 """
 
 from __future__ import annotations
@@ -17,21 +20,15 @@ from pyspark.sql.window import Window
 from quire.functions.scaling import (RANGE_MAX_START, RANGE_MIN_START, SCORE_DIGITS,
                                      minmax_scale, not_nan, ratio_or_nan)
 from quire.functions.text import decode_path, query_words
-from quire.operators.index import Index
+from quire.operators.index import Index, term_bucket
+from quire.operators.loop import RoundState
+from quire.operators.numbering import running_extremes
 
 # Result list length; digits used to compare scores for ties.
 TOP_K = 10
 TIE_DIGITS = 12
 MODE_TF = "tf"
 MODE_TFIDF = "tfidf"
-# Running ranges over a query batch are taken per block of this many ids.
-SESSION_BLOCK = 1024
-# A batch with at most this many words has its word table broadcast; with at
-# most MAX_LITERAL_WORDS distinct words they are also pushed to the postings
-# scan as a literal IN filter (row groups of term-sorted postings are skipped).
-MAX_BROADCAST_WORDS = 200_000
-MAX_LITERAL_WORDS = 10_000
-
 
 def _mode(mode) -> str:
     """The reference takes 1 for TF and any other integer for TF-IDF."""
@@ -48,39 +45,35 @@ def query_terms(queries: DataFrame, analyze: bool = False) -> DataFrame:
     return queries.select("query_id", F.posexplode(words).alias("pos", "word"))
 
 
-def _sized_sides(qt: DataFrame, words: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Size the query-word side before joining it with the postings.
-
-    Counting the batch's words reads only the queries table. A bounded batch
-    is broadcast (the postings are streamed, never shuffled) and, when small,
-    its distinct words are pushed into the postings scan; a batch beyond the
-    bounds takes the shuffle join.
-    """
-    n = qt.count()
-    if n > MAX_BROADCAST_WORDS:
-        return words, postings
-    distinct = qt.select("word").distinct()
-    if n <= MAX_LITERAL_WORDS:
-        vocab = [r[0] for r in distinct.collect()]
-        postings = postings.filter(F.col("term").isin(vocab))
-    return F.broadcast(words), postings
+def _written(index: Index, words: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The word table as a written table, whose size the planner then knows, and
+    the columns to join it with the postings on."""
+    if "bucket" not in index.postings.columns:
+        return RoundState(words.sparkSession, "query-words").settle(words), ["term"]
+    words = RoundState(words.sparkSession, "query-words").settle(words.withColumn("bucket", term_bucket("term")))
+    # the planner prunes folders at run time only for a filtered side
+    return words.where(F.col("bucket") >= 0), ["bucket", "term"]
 
 
 def unranked_search(index: Index, queries: DataFrame) -> DataFrame:
     """R2: for each word in order, each posting's document and URL (bag)."""
-    qt = query_terms(queries)
-    words, post = _sized_sides(qt, qt, index.postings)
-    hits = words.join(post, words["word"] == post["term"]).select(
-        "query_id", "pos", "word", "doc_id")
+    words, keys = _written(index, query_terms(queries).withColumnRenamed("word", "term"))
+    hits = words.join(index.postings, keys).select("query_id", "pos", F.col("term").alias("word"), "doc_id")
     return hits.join(index.docs, "doc_id").select(
         "query_id", "pos", "word", "doc_id", decode_path("path").alias("url"))
 
 
+def known_words(index: Index, qt: DataFrame) -> DataFrame:
+    """The distinct words of ``qt`` that the index has, with their statistics:
+    few rows, so that words without any are found between two small sides."""
+    words = RoundState(qt.sparkSession, "query-words").settle(qt.select(F.col("word").alias("term")).distinct())
+    return index.term_stats.join(words, "term").withColumnRenamed("term", "word")
+
+
 def missing_keywords(index: Index, queries: DataFrame) -> DataFrame:
     """Query words with no postings, one row per occurrence."""
     qt = query_terms(queries)
-    return qt.join(index.term_stats, qt["word"] == index.term_stats["term"], "left_anti").select(
-        "query_id", "pos", "word")
+    return qt.join(known_words(index, qt).select("word"), "word", "left_anti").select("query_id", "pos", "word")
 
 
 def cosine_scores(index: Index, queries: DataFrame, mode="tfidf") -> DataFrame:
@@ -94,18 +87,18 @@ def cosine_scores(index: Index, queries: DataFrame, mode="tfidf") -> DataFrame:
     mode = _mode(mode)
     qt = query_terms(queries)
     # attach the IDF to the (few) query words first, then meet the postings
-    qw = qt.join(index.term_stats.select("term", "idf"), qt["word"] == F.col("term")).select(
-        "query_id", "pos", "term", "idf")
-    qw, post = _sized_sides(qt, qw, index.postings)
+    qw = qt.join(known_words(index, qt).select("word", "idf"), "word").select("query_id", "pos", F.col("word").alias("term"), "idf")
+    qw, keys = _written(index, qw)
+    post = index.postings
     if mode == MODE_TF:
         weight, norm_col = F.col("tf").cast("double"), "tf_norm"
     else:
         weight, norm_col = F.col("tf") * F.col("idf"), "tfidf_norm"
     if norm_col in post.columns:
         # a stored index keeps each document's norms on its postings
-        hits = qw.join(post.select("doc_id", "term", "tf", norm_col), "term")
+        hits = qw.join(post.select(*keys, "doc_id", "tf", norm_col), keys)
     else:
-        hits = qw.join(post, "term").join(index.doc_norms.select("doc_id", norm_col), "doc_id")
+        hits = qw.join(post, keys).join(index.doc_norms.select("doc_id", norm_col), "doc_id")
     hits = hits.select("query_id", "doc_id", "pos", ratio_or_nan(weight, F.col(norm_col)).alias("c"))
     parts = F.array_sort(F.collect_list(F.struct("pos", "c")))
     return hits.groupBy("query_id", "doc_id").agg(
@@ -123,25 +116,14 @@ def score_range(scores: DataFrame) -> DataFrame:
         F.coalesce("q_min", F.lit(RANGE_MIN_START)).alias("min_score"))
 
 
-def session_range(scores: DataFrame, block: int = SESSION_BLOCK) -> DataFrame:
+def session_range(scores: DataFrame) -> DataFrame:
     """Running range over the batch in query order (the reference keeps
-    max/min across queries). A two-level prefix scan: running extremes of
-    whole blocks, then within each block, so no task holds the whole batch."""
+    max/min across queries), by range partitions of the query ids."""
     per_q = scores.groupBy("query_id").agg(
-        F.max(not_nan("cosine")).alias("q_max"), F.min(not_nan("cosine")).alias("q_min")).withColumn(
-        "blk", F.floor(F.col("query_id") / block))
-    per_b = per_q.groupBy("blk").agg(F.max("q_max").alias("b_max"), F.min("q_min").alias("b_min"))
-    before = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.select("blk", F.max("b_max").over(before).alias("p_max"),
-                         F.min("b_min").over(before).alias("p_min"))
-    upto = Window.partitionBy("blk").orderBy("query_id").rowsBetween(Window.unboundedPreceding, 0)
-    run = per_q.select("query_id", "blk", F.max("q_max").over(upto).alias("r_max"),
-                       F.min("q_min").over(upto).alias("r_min")).join(per_b, "blk")
-    return run.select(
-        "query_id",
-        F.greatest(F.lit(RANGE_MAX_START), F.coalesce(F.greatest("r_max", "p_max"), F.lit(RANGE_MAX_START))
-                   ).alias("max_score"),
-        F.coalesce(F.least("r_min", "p_min"), F.lit(RANGE_MIN_START)).alias("min_score"))
+        F.max(not_nan("cosine")).alias("q_max"), F.min(not_nan("cosine")).alias("q_min"))
+    return running_extremes(per_q, "query_id", "q_max", "q_min").select(
+        "query_id", F.greatest(F.lit(RANGE_MAX_START), F.coalesce("run_max", F.lit(RANGE_MAX_START))).alias("max_score"),
+        F.coalesce("run_min", F.lit(RANGE_MIN_START)).alias("min_score"))
 
 
 def order_key(score: str = "cosine") -> list[Column]:
@@ -164,7 +146,7 @@ def rank(index: Index, queries: DataFrame, mode="tfidf", k: int = TOP_K,
     ``normalize="session"`` scales by the running range over the batch (R8).
     The URL is fetched after the limit, for k rows per query only.
     """
-    scores = cosine_scores(index, queries, mode)
+    scores = RoundState(queries.sparkSession, "scores").settle(cosine_scores(index, queries, mode))
     ranges = session_range(scores) if normalize == "session" else score_range(scores)
     best = top_k(scores, k).join(ranges, "query_id")
     best = best.join(index.docs, "doc_id", "left")

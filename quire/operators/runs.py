@@ -7,34 +7,26 @@ report every maximal run of consecutive values with length >= 2 as the
 ``12:14``, printed together as ``0:57:1012:14``.
 
 Gaps and islands: within a run, ``value - position`` is constant. Positions
-need a rank inside the sequence; it is computed per bucket of values
-(``value div bucket_width``, so a window never holds more than
-``bucket_width`` rows) plus the count of all earlier buckets of the same
-sequence, so one huge sequence is never sorted in one task.
+come from one dense numbering of all (sequence, value) pairs by range
+partitions, so a huge sequence spans many tasks, however sparse its values.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-BUCKET_WIDTH = 1 << 16
+from quire.operators.numbering import positions_within
 
 
-def positions(seq: DataFrame, bucket_width: int = BUCKET_WIDTH) -> DataFrame:
+def positions(seq: DataFrame) -> DataFrame:
     """``(seq_id, v, idx)``: 0-based position of each distinct value."""
-    d = seq.select("seq_id", F.floor(F.col("v") / bucket_width).alias("b"), "v").distinct()
-    d = d.withColumn("rn", F.row_number().over(Window.partitionBy("seq_id", "b").orderBy("v")) - 1)
-    per_b = d.groupBy("seq_id", "b").agg(F.count(F.lit(1)).alias("c"))
-    before = Window.partitionBy("seq_id").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    off = per_b.select("seq_id", "b", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("off"))
-    return d.join(off, ["seq_id", "b"]).select("seq_id", "v", (F.col("off") + F.col("rn")).alias("idx"))
+    return positions_within(seq.select("seq_id", "v").distinct(), ["seq_id"], ["v"])
 
 
-def consecutive_runs(seq: DataFrame, bucket_width: int = BUCKET_WIDTH) -> DataFrame:
+def consecutive_runs(seq: DataFrame) -> DataFrame:
     """``(seq_id, run_start, run_end)`` for every run of length >= 2."""
-    p = positions(seq, bucket_width)
+    p = positions(seq)
     return (p.groupBy("seq_id", (F.col("v") - F.col("idx")).alias("g"))
             .agg(F.min("idx").alias("run_start"), F.max("idx").alias("run_end"))
             .filter(F.col("run_end") > F.col("run_start"))

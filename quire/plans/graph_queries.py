@@ -20,25 +20,18 @@ from quire.operators import linkscore as ls
 from quire.operators import rank as rk
 from quire.operators.runs import consecutive_runs
 from quire.sources.adjacency import parse_adjacency
-from quire.sources.files import dense_ids, upsert_documents
+from quire.operators.loop import RoundState
+from quire.operators.numbering import dense_ids
+from quire.sources.files import upsert_documents
 from quire.sources.tables import adjacency_lines, page_links, pages_corpus, read_table, transpose_links
 
 # The root-set query batch over the pages (frequent words at
 # sf0.01), and the ranking mode used to pick roots.
 PAGE_QUERIES = ["the", "and", "der tion", "des"]
 ROOT_MODE = "tfidf"
-# The registered HITS queries run a fixed number of rounds (tolerance 0), so
-# the unrolled SQL oracle can follow them round for round; the library default
-# stops at the 1e-7 test (checked on the hand fixture, 14 rounds).
-HITS_FIXED_ROUNDS = 20
-LINK_ORACLE_ROUNDS = 80
 DIGITS = 6
-
-_memo: dict = {}
-
-
-def _key(spark, sf_dir, name):
-    return (spark.sparkContext.applicationId, sf_dir, name)
+# The given tables are files of one row group: deal their rows to so many tasks.
+TABLE_TASKS = 8
 
 
 def page_queries(spark: SparkSession) -> DataFrame:
@@ -46,8 +39,9 @@ def page_queries(spark: SparkSession) -> DataFrame:
 
 
 def _graph(spark, sf_dir):
+    """Links and citations; the pages are read and parsed once, into a written table."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
-    links = page_links(pages)
+    links = RoundState(spark, "page-links").settle(page_links(pages))
     return links, transpose_links(links)
 
 
@@ -60,21 +54,19 @@ def _n(spark, sf_dir):
 
 
 def _root(spark, sf_dir):
-    idx = ix.build_index(pages_corpus(spark, sf_dir))
-    return gr.root_set(rk.cosine_scores(idx, page_queries(spark), ROOT_MODE))
+    idx = ix.build_index(pages_corpus(spark, sf_dir, TABLE_TASKS))
+    return RoundState(spark, "root").settle(gr.root_set(rk.cosine_scores(idx, page_queries(spark), ROOT_MODE)))
 
 
 def _base(spark, sf_dir):
     links, cits = _graph(spark, sf_dir)
-    return gr.base_set(_root(spark, sf_dir), links, cits)
+    return RoundState(spark, "base").settle(gr.base_set(_root(spark, sf_dir), links, cits))
 
 
-def _hits(spark, sf_dir):
-    k = _key(spark, sf_dir, "hits")
-    if k not in _memo:
-        links, cits = _graph(spark, sf_dir)
-        _memo[k] = ht.hits(_base(spark, sf_dir), links, cits, tol=0.0, max_iter=HITS_FIXED_ROUNDS)
-    return _memo[k]
+def _hits(base, spark, sf_dir):
+    """HITS on every query's base set, to the stop rule."""
+    links, cits = _graph(spark, sf_dir)
+    return ht.hits(base, links, cits, tol=ht.HITS_TOL)
 
 
 def _flat_seen(df):
@@ -112,8 +104,8 @@ def q_base_set(spark, sf_dir):
 
 
 def _top(spark, sf_dir, score):
-    t = ht.top_list(_hits(spark, sf_dir), score)
-    return t.select("query_id", "rank", "node", F.round(score, DIGITS).alias(score))
+    t = ht.top_list(_hits(_base(spark, sf_dir), spark, sf_dir), score)
+    return t.select("query_id", "rank", "node", F.round(score, DIGITS).alias(score), "rounds")
 
 
 def q_hits_authorities(spark, sf_dir):
@@ -126,7 +118,8 @@ def q_hits_hubs(spark, sf_dir):
 
 def _link_iterates(spark, sf_dir):
     links, cits = _graph(spark, sf_dir)
-    rows, nodes, n = gr.undirected_edges(links, cits), _nodes(spark, sf_dir), _n(spark, sf_dir)
+    rows = RoundState(spark, "rows").settle(gr.undirected_edges(links, cits))
+    nodes, n = _nodes(spark, sf_dir), _n(spark, sf_dir)
     v0 = nodes.select("node", (F.lit(1.0) / n.cast("double")).alias("score"))
     v1 = gr.minmax_vector(gr.row_score_floor(rows, v0, nodes, n))
     v2 = gr.minmax_vector(gr.row_score_floor(rows, v1, nodes, n))
@@ -158,26 +151,25 @@ def q_adjacency_transpose(spark, sf_dir):
 
 
 def q_matrix_vector(spark, sf_dir):
-    m = gr.transpose(_base_adjacency(spark, sf_dir))
-    ones = _base(spark, sf_dir).select("query_id", F.col("node").alias("i"), F.lit(1.0).alias("v"))
+    links, cits = _graph(spark, sf_dir)
+    root = _root(spark, sf_dir)
+    m = gr.transpose(gr.base_adjacency(root, links, cits))
+    ones = gr.base_set(root, links, cits).select("query_id", F.col("node").alias("i"), F.lit(1.0).alias("v"))
     return gr.matrix_vector(m, ones, keys=["query_id"])
 
 
-def _positions(spark, sf_dir):
-    return gr.node_positions(_base(spark, sf_dir))
-
-
 def q_node_index(spark, sf_dir):
-    links, _ = _graph(spark, sf_dir)
-    base = _base(spark, sf_dir).select("query_id", "node")
-    lookups = gr.out_links(links, base).select("query_id", F.col("dst").alias("node")).distinct()
-    return gr.node_index(_positions(spark, sf_dir), lookups)
+    links, cits = _graph(spark, sf_dir)
+    base = RoundState(spark, "base").settle(gr.base_set(_root(spark, sf_dir), links, cits))
+    lookups = gr.out_links(links, base.select("query_id", "node")).select("query_id", F.col("dst").alias("node")).distinct()
+    return gr.node_index(gr.node_positions(base), lookups)
 
 
 def q_score_vector(spark, sf_dir):
-    h = _hits(spark, sf_dir).select("query_id", "node", "authority")
-    return _positions(spark, sf_dir).join(h, ["query_id", "node"]).select(
-        "query_id", "idx", "node", F.round("authority", DIGITS).alias("authority"))
+    base = _base(spark, sf_dir)
+    h = _hits(base, spark, sf_dir).select("query_id", "node", "authority", "rounds")
+    return gr.node_positions(base).join(h, ["query_id", "node"]).select(
+        "query_id", "idx", "node", F.round("authority", DIGITS).alias("authority"), "rounds")
 
 
 def q_undirected_edges(spark, sf_dir):
@@ -199,19 +191,15 @@ def q_minmax_scale(spark, sf_dir):
 
 
 def q_link_score_sweep(spark, sf_dir):
-    k = _key(spark, sf_dir, "sweep")
-    if k not in _memo:
-        links, cits = _graph(spark, sf_dir)
-        _memo[k] = ls.ordered_sweep(gr.undirected_edges(links, cits), _nodes(spark, sf_dir), _n(spark, sf_dir))
-    return _memo[k].select("node", F.round("score", DIGITS).alias("score"))
+    links, cits = _graph(spark, sf_dir)
+    out = ls.ordered_sweep(gr.undirected_edges(links, cits), _nodes(spark, sf_dir), _n(spark, sf_dir))
+    return out.select("node", F.round("score", DIGITS).alias("score"))
 
 
 def q_link_score_converged(spark, sf_dir):
-    k = _key(spark, sf_dir, "converged")
-    if k not in _memo:
-        links, cits = _graph(spark, sf_dir)
-        _memo[k] = ls.converged(gr.undirected_edges(links, cits), _nodes(spark, sf_dir), _n(spark, sf_dir))
-    return _memo[k].select("node", F.round("score", DIGITS).alias("score"), "rounds")
+    links, cits = _graph(spark, sf_dir)
+    out = ls.converged(gr.undirected_edges(links, cits), _nodes(spark, sf_dir), _n(spark, sf_dir))
+    return out.select("node", F.round("score", DIGITS).alias("score"), "rounds")
 
 
 def q_consecutive_runs(spark, sf_dir):
@@ -220,8 +208,9 @@ def q_consecutive_runs(spark, sf_dir):
 
 
 def q_corpus_upsert(spark, sf_dir):
-    """Old corpus: the pages. New: every document under its own path, and a
-    re-crawl of the English pages (lower-cased HTML) replacing the old ones."""
+    """Old corpus: the pages. New: every document under its own path, and two
+    re-crawls of the English pages (lower- and upper-cased HTML) under the same
+    paths, the greater text of which replaces the old page."""
     pages = read_table(spark, sf_dir, "pages")
     old = pages.select(F.col("url").alias("path"), F.col("html").alias("text"))
     old = dense_ids(old, ["path"])
@@ -229,7 +218,8 @@ def q_corpus_upsert(spark, sf_dir):
         F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("path"), "text")
     recrawl = pages.filter(F.col("url").contains("/en/")).select(
         F.col("url").alias("path"), F.lower("html").alias("text"))
-    merged = upsert_documents(old, docs.unionByName(recrawl))
+    again = recrawl.select("path", F.upper("text").alias("text"))
+    merged = upsert_documents(old, docs.unionByName(recrawl).unionByName(again))
     return merged.select("doc_id", "path", F.length("text").alias("n_chars"),
                          F.md5("text").alias("text_md5"))
 
@@ -269,7 +259,7 @@ g_h AS (SELECT page_id AS src, unnest(l) AS href, generate_subscripts(l, 1) AS i
 g_hd AS (SELECT src, ('0x' || substr(md5(href), 1, 8))::BIGINT % (SELECT n FROM g_n) AS dst, i FROM g_h),
 g_lf AS (SELECT src, dst, min(i) AS fi FROM g_hd WHERE dst <> src GROUP BY src, dst),
 links AS (SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY fi) - 1)::INTEGER AS pos FROM g_lf),
-citations AS (SELECT dst AS doc, src AS citing, src::INTEGER AS pos FROM links),
+citations AS (SELECT dst AS doc, src AS citing, src::BIGINT AS pos FROM links),
 nodes AS (SELECT page_id AS node FROM pages),
 und AS (SELECT DISTINCT i, j FROM (SELECT src AS i, dst AS j FROM links
                                    UNION ALL SELECT doc AS i, citing AS j FROM citations))
@@ -302,40 +292,45 @@ def _graph_head() -> str:
     return "WITH " + GRAPH_CTE
 
 
-def _hits_sql(rounds: int) -> str:
-    parts = ["""
-h_cit AS (SELECT b.query_id, c.doc AS node, c.citing FROM base b JOIN citations c ON c.doc = b.node
+#: All rounds as one recursion: a query's rows carry their vectors, and leave it
+#: in the round whose change passes the stop test (or whose vector is zero).
+_HITS = """
+h_cit AS MATERIALIZED (SELECT b.query_id, c.doc AS node, c.citing FROM base b JOIN citations c ON c.doc = b.node
           JOIN base b2 ON b2.query_id = b.query_id AND b2.node = c.citing),
-h_lnk AS (SELECT b.query_id, l.src AS node, l.dst FROM base b JOIN links l ON l.src = b.node
+h_lnk AS MATERIALIZED (SELECT b.query_id, l.src AS node, l.dst FROM base b JOIN links l ON l.src = b.node
           JOIN base b2 ON b2.query_id = b.query_id AND b2.node = l.dst),
-s0 AS MATERIALIZED (SELECT query_id, node, 0.0::DOUBLE AS auth, 0.0::DOUBLE AS hub, 1.0::DOUBLE AS hub_in
-                    FROM base)"""]
-    for r in range(1, rounds + 1):
-        p = f"s{r - 1}"
-        parts.append(f"""
-ar{r} AS MATERIALIZED (SELECT s.query_id, s.node, coalesce(x.a, 0.0) AS a_raw FROM {p} s LEFT JOIN (
-    SELECT c.query_id, c.node, sum(q.hub_in) AS a FROM h_cit c JOIN {p} q
-    ON q.query_id = c.query_id AND q.node = c.citing GROUP BY c.query_id, c.node) x USING (query_id, node)),
-an{r} AS MATERIALIZED (SELECT a.query_id, a.node, CASE WHEN z.nrm > 0 THEN a.a_raw / z.nrm ELSE 0.0 END AS a_new
-    FROM ar{r} a JOIN (SELECT query_id, sqrt(sum(a_raw * a_raw)) AS nrm FROM ar{r} GROUP BY query_id) z
-    USING (query_id)),
-hr{r} AS MATERIALIZED (SELECT s.query_id, s.node, s.a_new, coalesce(x.h, 0.0) AS h_raw FROM an{r} s LEFT JOIN (
-    SELECT l.query_id, l.node, sum(q.a_new) AS h FROM h_lnk l JOIN an{r} q
-    ON q.query_id = l.query_id AND q.node = l.dst GROUP BY l.query_id, l.node) x USING (query_id, node)),
-s{r} AS MATERIALIZED (SELECT h.query_id, h.node, h.a_new AS auth,
-    CASE WHEN z.nrm > 0 THEN h.h_raw / z.nrm ELSE 0.0 END AS hub,
-    CASE WHEN z.nrm > 0 THEN h.h_raw / z.nrm ELSE 0.0 END AS hub_in
-    FROM hr{r} h JOIN (SELECT query_id, sqrt(sum(h_raw * h_raw)) AS nrm FROM hr{r} GROUP BY query_id) z
-    USING (query_id))""")
-    return ",".join(parts) + f""",
-hits AS (SELECT s.query_id, s.node, s.auth AS authority, s.hub, b.seen_stage, b.seen_rank, b.seen_pos
-         FROM s{rounds} s JOIN base b USING (query_id, node))
+h_base AS MATERIALIZED (SELECT * FROM base),
+h_all AS (
+  WITH RECURSIVE hs(query_id, node, auth, hub, hub_in, r, done) AS (
+    SELECT query_id, node, 0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0, false FROM h_base
+    UNION ALL
+    (WITH cur AS (SELECT * FROM hs WHERE NOT done),
+     ar AS (SELECT s.query_id, s.node, s.auth, s.hub, s.r, coalesce(x.a, 0.0) AS a_raw FROM cur s LEFT JOIN (
+         SELECT c.query_id, c.node, sum(q.hub_in) AS a FROM h_cit c JOIN cur q
+         ON q.query_id = c.query_id AND q.node = c.citing GROUP BY c.query_id, c.node) x
+         ON x.query_id = s.query_id AND x.node = s.node),
+     an AS (SELECT query_id, sqrt(sum(a_raw * a_raw)) AS na FROM ar GROUP BY query_id),
+     au AS (SELECT ar.*, na, CASE WHEN na > 0 THEN a_raw / na ELSE 0.0 END AS a_new FROM ar JOIN an USING (query_id)),
+     hr AS (SELECT s.*, coalesce(x.h, 0.0) AS h_raw FROM au s LEFT JOIN (
+         SELECT l.query_id, l.node, sum(q.a_new) AS h FROM h_lnk l JOIN au q
+         ON q.query_id = l.query_id AND q.node = l.dst GROUP BY l.query_id, l.node) x
+         ON x.query_id = s.query_id AND x.node = s.node),
+     hn AS (SELECT query_id, sqrt(sum(h_raw * h_raw)) AS nh FROM hr GROUP BY query_id),
+     hu AS (SELECT hr.*, nh, CASE WHEN nh > 0 THEN h_raw / nh ELSE 0.0 END AS h_new FROM hr JOIN hn USING (query_id)),
+     st AS (SELECT query_id, (sqrt(sum((a_new - auth) * (a_new - auth))) < 1e-7
+                              AND sqrt(sum((h_new - hub) * (h_new - hub))) < 1e-7)
+                             OR max(na) = 0 OR max(nh) = 0 AS done FROM hu GROUP BY query_id)
+     SELECT hu.query_id, hu.node, hu.a_new, hu.h_new, hu.h_new, hu.r + 1, st.done
+     FROM hu JOIN st USING (query_id)))
+  SELECT * FROM hs WHERE done),
+hits AS (SELECT s.query_id, s.node, s.auth AS authority, s.hub, s.r AS rounds, b.seen_stage, b.seen_rank, b.seen_pos
+         FROM h_all s JOIN base b USING (query_id, node))
 """
 
 
 def _hits_top(score: str) -> str:
-    return _page_head() + "," + _hits_sql(HITS_FIXED_ROUNDS) + f"""
-SELECT query_id, rank, node, round({score}, 6) AS {score} FROM (
+    return _page_head() + "," + _HITS + f"""
+SELECT query_id, rank, node, round({score}, 6) AS {score}, rounds FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id
          ORDER BY round({score}, 12) DESC, seen_stage, seen_rank, seen_pos) AS rank FROM hits)
 WHERE rank <= 11
@@ -355,20 +350,27 @@ v{r} AS MATERIALIZED (SELECT node, CASE WHEN g.mx = g.mn THEN 0.5 ELSE (score -
 _V0 = ",\nv0 AS (SELECT node, 1.0 / (SELECT n FROM g_n) AS score FROM nodes)"
 
 
-def _link_converged_sql(rounds: int) -> str:
-    body = _graph_head() + _V0 + "," + ",".join(_link_round(r) for r in range(1, rounds + 1))
-    changes = " UNION ALL ".join(
-        f"SELECT {r} AS r, sqrt(sum((a.score - b.score) * (a.score - b.score))) AS c "
-        f"FROM v{r} a JOIN v{r - 1} b USING (node)" for r in range(1, rounds + 1))
-    allv = " UNION ALL ".join(f"SELECT {r} AS r, node, score FROM v{r}" for r in range(1, rounds + 1))
-    return body + f""",
-ch AS ({changes}),
-stop AS (SELECT coalesce(min(r), {rounds}) AS r FROM ch WHERE c < 1e-5),
-allv AS ({allv})
-SELECT node, round(score, 6) AS score, r AS rounds FROM allv WHERE r = (SELECT r FROM stop)
+#: The synchronous rounds as one recursion, which ends with the first round whose change is small.
+_CONVERGED = """,
+c_und AS MATERIALIZED (SELECT * FROM und),
+c_n AS MATERIALIZED (SELECT n FROM g_n),
+c_nodes AS MATERIALIZED (SELECT * FROM nodes),
+c_all AS (
+  WITH RECURSIVE cv(node, score, r, done) AS (
+    SELECT node, 1.0::DOUBLE / n, 0, false FROM c_nodes, c_n
+    UNION ALL
+    (WITH cur AS (SELECT * FROM cv WHERE NOT done),
+     raw AS (SELECT c.node, c.score AS old, c.r, CASE WHEN x.s > 0 THEN x.s ELSE 1.0::DOUBLE / n END AS raw
+             FROM cur c LEFT JOIN (SELECT u.i, sum(v.score) AS s FROM c_und u JOIN cur v ON v.node = u.j GROUP BY u.i) x
+             ON x.i = c.node, c_n),
+     g AS (SELECT greatest(0.0, max(raw)) AS mx, least(1.7976931348623157e308, min(raw)) AS mn FROM raw),
+     nw AS (SELECT node, old, r, CASE WHEN mx = mn THEN 0.5 ELSE (raw - mn) / (mx - mn) END AS score FROM raw, g),
+     st AS (SELECT sqrt(sum((score - old) * (score - old))) < 1e-5 AS done FROM nw)
+     SELECT nw.node, nw.score, nw.r + 1, st.done FROM nw, st))
+  SELECT * FROM cv WHERE done)
+SELECT node, round(score, 6) AS score, r AS rounds FROM c_all
 """
 
-
 _SWEEP = """,
 rowlist AS (SELECT i, list(j ORDER BY j) AS js FROM und GROUP BY i),
 sweep AS (
@@ -393,8 +395,10 @@ _V12 = _V0 + "," + _link_round(1) + "," + _link_round(2)
 ORACLE: dict[str, str] = {
     "corpus_upsert": """
 WITH old AS (SELECT url AS path, html AS text FROM pages),
-newd AS (SELECT source || '/' || CAST(doc_id AS VARCHAR) AS path, text FROM documents
-         UNION ALL SELECT url AS path, lower(html) AS text FROM pages WHERE contains(url, '/en/')),
+newd AS (SELECT path, max(text) AS text FROM (
+         SELECT source || '/' || CAST(doc_id AS VARCHAR) AS path, text FROM documents
+         UNION ALL SELECT url AS path, lower(html) AS text FROM pages WHERE contains(url, '/en/')
+         UNION ALL SELECT url AS path, upper(lower(html)) AS text FROM pages WHERE contains(url, '/en/')) GROUP BY path),
 merged AS (SELECT path, text FROM old WHERE path NOT IN (SELECT path FROM newd)
            UNION ALL SELECT path, text FROM newd)
 SELECT row_number() OVER (ORDER BY path) - 1 AS doc_id, path, length(text) AS n_chars, md5(text) AS text_md5
@@ -425,14 +429,14 @@ FROM v1 a JOIN v2 b USING (node)""",
     "node_index": _page_head() + """SELECT k.query_id, k.node, coalesce(p.idx, -1) AS idx FROM (
         SELECT DISTINCT b.query_id, l.dst AS node FROM base b JOIN links l ON l.src = b.node) k
         LEFT JOIN positions p ON p.query_id = k.query_id AND p.node = k.node""",
-    "score_vector": _page_head() + "," + _hits_sql(HITS_FIXED_ROUNDS) + """
-SELECT p.query_id, p.idx, p.node, round(h.authority, 6) AS authority
+    "score_vector": _page_head() + "," + _HITS + """
+SELECT p.query_id, p.idx, p.node, round(h.authority, 6) AS authority, h.rounds
 FROM positions p JOIN hits h ON h.query_id = p.query_id AND h.node = p.node""",
     "undirected_edges": _graph_head() + "SELECT i, j FROM und",
     "row_score_floor": _graph_head() + _V0 + "," + _link_round(1) + "SELECT node, round(score, 9) AS score FROM raw1",
     "link_score_sweep": _graph_head() + _SWEEP,
     "minmax_scale": _graph_head() + _V0 + "," + _link_round(1) + "SELECT node, round(score, 9) AS score FROM v1",
-    "link_score_converged": _link_converged_sql(LINK_ORACLE_ROUNDS),
+    "link_score_converged": _graph_head() + _CONVERGED,
     "consecutive_runs": """
 WITH d AS (SELECT DISTINCT l_suppkey AS seq_id, l_orderkey AS v FROM lineitem),
 p AS (SELECT seq_id, v, row_number() OVER (PARTITION BY seq_id ORDER BY v) - 1 AS idx FROM d)

@@ -7,19 +7,28 @@ reference reads them from a prompt.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.text import decode_path
 from quire.operators import index as ix
 from quire.operators import rank as rk
-from quire.sources.files import dense_ids
-from quire.sources.tables import documents_corpus, read_table
+from quire.functions.text import ENGLISH_STOP_WORDS
+from quire.operators.numbering import dense_ids
+from quire.session import checkpoint_dir
+from quire.sources.files import read_index, write_index
+from quire.sources.tables import documents_corpus, pages_corpus, read_table
 
 # The query batch typed at the prompt (a repeated word, an absent
 # word, an upper-case word), and the term looked up directly.
 DOC_QUERIES = ["the", "the und the", "von zu absentword", "The", "inon thnd of er"]
 LOOKUP_TERM = "the"
+# The given tables are files of one row group: deal their rows to so many tasks.
+TABLE_TASKS = 8
+# A slice inside a small vocabulary, beside the reference's deep one.
+NEAR_SLICE_OFFSET = 1000
 
 
 def doc_queries(spark: SparkSession) -> DataFrame:
@@ -27,7 +36,7 @@ def doc_queries(spark: SparkSession) -> DataFrame:
 
 
 def _index(spark, sf_dir) -> ix.Index:
-    return ix.build_index(documents_corpus(spark, sf_dir))
+    return ix.build_index(documents_corpus(spark, sf_dir, TABLE_TASKS))
 
 
 def q_corpus_size(spark, sf_dir):
@@ -36,32 +45,69 @@ def q_corpus_size(spark, sf_dir):
 
 
 def q_postings(spark, sf_dir):
-    return ix.postings(documents_corpus(spark, sf_dir))
+    return ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS))
 
 
 def q_vocabulary(spark, sf_dir):
-    return ix.vocabulary(ix.postings(documents_corpus(spark, sf_dir)))
+    return ix.vocabulary(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)))
 
 
 def q_vocabulary_slice(spark, sf_dir):
-    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir)))
+    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)))
 
 
 def q_document_frequency(spark, sf_dir):
-    return ix.document_frequency(ix.postings(documents_corpus(spark, sf_dir)))
+    return ix.document_frequency(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)))
 
 
 def q_postings_lookup(spark, sf_dir):
-    return ix.postings_lookup(ix.postings(documents_corpus(spark, sf_dir)), LOOKUP_TERM)
+    return ix.postings_lookup(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)), LOOKUP_TERM)
 
 
 def q_document_lookup(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
-    docs = pages.select(F.col("page_id").alias("doc_id"), F.col("url").alias("path"), F.col("html").alias("text"))
+    docs = pages_corpus(spark, sf_dir, TABLE_TASKS)
     ids = ix.postings_lookup(ix.postings(docs), LOOKUP_TERM)
     return ix.document_lookup(docs, ids)
 
 
+def q_decoded_paths(spark, sf_dir):
+    """T9 on paths in the stored form: each page's URL with its slashes encoded."""
+    pages = read_table(spark, sf_dir, "pages")
+    stored = pages.select("page_id", F.replace("url", F.lit("/"), F.lit("%%")).alias("path"))
+    return stored.select("page_id", "path", decode_path("path").alias("url"))
+
+
+def q_vocabulary_slice_near(spark, sf_dir):
+    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)), offset=NEAR_SLICE_OFFSET)
+
+
+def q_postings_stop_words(spark, sf_dir):
+    return ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS), stop_words=ENGLISH_STOP_WORDS)
+
+
+def q_rank_stop_words(spark, sf_dir):
+    """Ranked search over an index without stop words: ``the`` finds nothing."""
+    index = ix.build_index(documents_corpus(spark, sf_dir, TABLE_TASKS), stop_words=ENGLISH_STOP_WORDS)
+    r = rk.rank(index, doc_queries(spark), mode=rk.MODE_TFIDF)
+    return r.select("query_id", "rank", "doc_id", "url", "score")
+
+
+def _stored(spark, sf_dir):
+    """The index of ``documents``, written and read back."""
+    out = f"{checkpoint_dir(spark).rstrip('/')}/stored-index-{uuid.uuid4().hex[:12]}"
+    write_index(_index(spark, sf_dir), out)
+    return read_index(spark, out)
+
+
+def q_stored_rank_tfidf(spark, sf_dir):
+    r = rk.rank(_stored(spark, sf_dir), doc_queries(spark), mode=rk.MODE_TFIDF)
+    return r.select("query_id", "rank", "doc_id", "url", "score")
+
+
+def q_stored_postings_lookup(spark, sf_dir):
+    return ix.postings_lookup(_stored(spark, sf_dir).postings, LOOKUP_TERM)
+
+
 def q_dense_doc_ids(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return dense_ids(pages, ["url", "page_id"]).select("doc_id", "page_id", "url")
@@ -76,7 +122,8 @@ def q_term_idf(spark, sf_dir):
 
 
 def q_tf_norms(spark, sf_dir):
-    return _index(spark, sf_dir).doc_norms.select("doc_id", F.round("tf_norm", 9).alias("tf_norm"))
+    post = ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS))
+    return ix.tf_norms(post).select("doc_id", F.round("tf_norm", 9).alias("tf_norm"))
 
 
 def q_tfidf_norms(spark, sf_dir):
@@ -97,7 +144,7 @@ def q_query_terms(spark, sf_dir):
     # the batch words that the corpus vocabulary knows, with their df
     i = _index(spark, sf_dir)
     qt = rk.query_terms(doc_queries(spark))
-    return qt.join(i.term_stats, qt["word"] == i.term_stats["term"], "left").select(
+    return qt.join(rk.known_words(i, qt), "word", "left").select(
         "query_id", "pos", "word", F.coalesce("df", F.lit(0)).alias("df"))
 
 
@@ -137,6 +184,12 @@ QUERIES = {
     "postings": q_postings,
     "vocabulary": q_vocabulary,
     "vocabulary_slice": q_vocabulary_slice,
+    "vocabulary_slice_near": q_vocabulary_slice_near,
+    "decoded_paths": q_decoded_paths,
+    "postings_stop_words": q_postings_stop_words,
+    "rank_stop_words": q_rank_stop_words,
+    "stored_rank_tfidf": q_stored_rank_tfidf,
+    "stored_postings_lookup": q_stored_postings_lookup,
     "document_frequency": q_document_frequency,
     "postings_lookup": q_postings_lookup,
     "document_lookup": q_document_lookup,
@@ -166,12 +219,13 @@ def queries_values(queries: list[str]) -> str:
     return f"SELECT * FROM (VALUES {rows}) AS q(query_id, query)"
 
 
-def corpus_sql(docs_select: str, queries: list[str]) -> str:
+def corpus_sql(docs_select: str, queries: list[str], stop_words: list[str] = ()) -> str:
     """CTE chain: docs, toks, postings, n, term_stats, norms, queries, qwords, qt."""
+    stop = "WHERE term NOT IN (" + ", ".join(f"'{w}'" for w in stop_words) + ")" if stop_words else ""
     return f"""
 WITH docs AS ({docs_select}),
 toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_TOKEN}')) AS term FROM docs),
-postings AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM toks {stop} GROUP BY doc_id, term),
 n AS (SELECT count(*) AS n FROM docs),
 term_stats AS (SELECT term, count(*) AS df,
                ln((SELECT n FROM n)::DOUBLE / count(*)::DOUBLE) AS idf FROM postings GROUP BY term),
@@ -189,6 +243,7 @@ qt AS (SELECT query_id, unnest(words) AS word, generate_subscripts(words, 1) - 1
 
 
 BASE = corpus_sql("SELECT doc_id, source AS path, text FROM documents", DOC_QUERIES)
+STOPPED = corpus_sql("SELECT doc_id, source AS path, text FROM documents", DOC_QUERIES, ENGLISH_STOP_WORDS)
 
 
 
@@ -225,8 +280,8 @@ ranges AS (SELECT query_id,
 """
 
 
-def _ranked_sql(mode: str, session: bool = False) -> str:
-    return BASE + cosine_sql(mode) + (_RANGE_SESSION if session else _RANGE_Q) + """,
+def _ranked_sql(mode: str, session: bool = False, base: str = "") -> str:
+    return (base or BASE) + cosine_sql(mode) + (_RANGE_SESSION if session else _RANGE_Q) + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id
                    ORDER BY round(cosine, 12) DESC, first_pos, doc_id) AS rank FROM scores)
 SELECT r.query_id, r.rank, r.doc_id, replace(d.path, '%%', '/') AS url,
@@ -250,6 +305,13 @@ ORACLE = {
     "vocabulary": BASE + "SELECT DISTINCT term FROM postings",
     "vocabulary_slice": BASE + """SELECT 100001 + row_number() OVER (ORDER BY term) - 1 AS ordinal, term
         FROM (SELECT DISTINCT term FROM postings ORDER BY term LIMIT 10 OFFSET 100001)""",
+    "vocabulary_slice_near": BASE + f"""SELECT {NEAR_SLICE_OFFSET} + row_number() OVER (ORDER BY term) - 1 AS ordinal, term
+        FROM (SELECT DISTINCT term FROM postings ORDER BY term LIMIT 10 OFFSET {NEAR_SLICE_OFFSET})""",
+    "decoded_paths": "SELECT page_id, replace(url, '/', '%%') AS path, replace(replace(url, '/', '%%'), '%%', '/') AS url FROM pages",
+    "postings_stop_words": STOPPED + "SELECT doc_id, term, tf FROM postings",
+    "rank_stop_words": _ranked_sql("tfidf", base=STOPPED),
+    "stored_rank_tfidf": _ranked_sql("tfidf"),
+    "stored_postings_lookup": BASE + f"SELECT doc_id, tf FROM postings WHERE term = '{LOOKUP_TERM}'",
     "document_frequency": BASE + "SELECT term, count(*) AS df FROM postings GROUP BY term",
     "postings_lookup": BASE + f"SELECT doc_id, tf FROM postings WHERE term = '{LOOKUP_TERM}'",
     "document_lookup": PAGE_POSTINGS + f"""SELECT p.doc_id, replace(d.path, '%%', '/') AS url

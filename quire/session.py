@@ -75,9 +75,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set; iterative operators need a shared "
         "folder (HDFS/S3/ABFS) to cut lineage")
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for written tables."""
-    import uuid
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -24,7 +24,8 @@ def read_adjacency_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split_line(lines: DataFrame) -> DataFrame:
-    parts = F.split(F.col("value"), "->", 2)
+    # the second piece holds the targets, whatever follows a second arrow
+    parts = F.split(F.col("value"), "->")
     return lines.select(
         "line_no", "value",
         F.trim(F.get(parts, 0)).alias("src_text"),
@@ -55,28 +56,12 @@ def parse_adjacency(lines: DataFrame, src: str = "src", dst: str = "dst") -> tup
     return edges, rejects
 
 
-def read_links(spark: SparkSession, path: str) -> DataFrame:
-    """Links file → ``(src, dst, pos)``."""
-    edges, _ = parse_adjacency(read_adjacency_lines(spark, path))
-    return edges
+def read_links(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Links file → ``(src, dst, pos)`` and the lines that do not parse."""
+    return parse_adjacency(read_adjacency_lines(spark, path))
 
 
-def read_citations(spark: SparkSession, path: str) -> DataFrame:
-    """Citations file → ``(doc, citing, pos)``; an independent file."""
-    edges, _ = parse_adjacency(read_adjacency_lines(spark, path), "doc", "citing")
-    return edges
-
-
-def write_adjacency(edges: DataFrame, path: str, src: str = "src", dst: str = "dst",
-                    nodes: DataFrame | None = None) -> None:
-    """Write edges back in the ``src->d1,d2`` form, one line per source.
-
-    ``nodes`` (``node`` column) adds ``n->`` lines for nodes without edges.
-    Each line gathers one source's targets, which is what the format is.
-    """
-    lines = edges.groupBy(src).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", dst))), lambda x: x[dst].cast("string")), ",").alias("t"))
-    if nodes is not None:
-        lines = nodes.select(F.col("node").alias(src)).join(lines, src, "left")
-    lines.select(F.concat(F.col(src).cast("string"), F.lit("->"), F.coalesce("t", F.lit(""))).alias("value")) \
-        .write.mode("overwrite").text(path)
+def read_citations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Citations file → ``(doc, citing, pos)`` and the lines that do not parse;
+    an independent file."""
+    return parse_adjacency(read_adjacency_lines(spark, path), "doc", "citing")

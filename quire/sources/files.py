@@ -1,133 +1,151 @@
-"""File corpus source, dense document ids, index files and upserts.
+"""File corpus source, document ids, index files and upserts.
 
 A folder of files (one document per file, UTF-8) is read with Spark's text
 source in whole-file mode; the relative path and the file's modification time
-come from the hidden ``_metadata`` column, so listing and reading are
-distributed like any other scan.
+come from the hidden ``_metadata`` column, so reading is distributed like any
+other scan. What that source passes over is not lost silently: empty files
+become empty documents, and files that Spark hides by their name are reported.
 """
 
 from __future__ import annotations
 
 import os
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from quire.operators.index import Index, build_index, term_stats
-from quire.operators.loop import RoundState
+from quire.operators.index import Index, build_index, term_bucket, term_stats
+from quire.operators.numbering import dense_ids
 
+_CORPUS = "path string, modified bigint, text string"
 
-def _abs_uri(root: str) -> str:
-    if "://" in root or root.startswith("file:"):
-        return root.rstrip("/") + "/"
-    return "file:" + os.path.abspath(root).rstrip("/") + "/"
 
+def decoded_path(uri: Column) -> Column:
+    """The path of a file URI as ``_metadata.file_path`` gives it: percent escapes
+    decoded (a plus sign is a plus sign), scheme and host cut off."""
+    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
 
-def read_corpus_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, modified, text)``, one row per readable file under root.
+
+def _listed(spark: SparkSession, root: str) -> tuple[str, list[tuple[str, int]], list[str]]:
+    """The root's own path; empty files under it with their modified times; and
+    the files that Spark's sources hide (a name, or a folder's, that begins with
+    ``_`` or ``.``), by the file system's listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    top = fs.makeQualified(path).toUri().getPath().rstrip("/")
+    files, empty, hidden = fs.listFiles(path, True), [], []
+    while files.hasNext():
+        f = files.next()
+        rel = f.getPath().toUri().getPath()[len(top) + 1:]
+        if any(part.startswith(("_", ".")) for part in rel.split("/")):
+            if not rel.endswith(".crc"):  # the file system's own checksums
+                hidden.append(rel)
+        elif f.getLen() == 0:
+            empty.append((rel, f.getModificationTime()))
+    return top, empty, hidden
+
+
+def read_corpus_files(spark: SparkSession, root: str, hidden: str = "error") -> DataFrame:
+    """``(path, modified, text)``, one row per file under ``root``.
 
     ``path`` is relative to ``root`` (S2); ``modified`` is the file's
-    modification time in epoch milliseconds (S3).
+    modification time in epoch milliseconds (S3). An empty file is an empty
+    text. Spark cannot read a file whose name, or whose folder's name, begins
+    with ``_`` or ``.``: such files raise an error that counts and names them,
+    or are left out on request (``hidden="skip"``).
     """
-    prefix = _abs_uri(root)
+    top, empty, unseen = _listed(spark, root)
+    if unseen and hidden != "skip":
+        raise ValueError(f"{len(unseen)} files have names that Spark hides, such as {sorted(unseen)[:5]}; "
+                         "rename them, or leave them out with hidden='skip'")
     df = (spark.read.option("recursiveFileLookup", "true").option("wholetext", "true")
           .text(root).select("value", "_metadata"))
-    fp = F.col("_metadata.file_path")
-    rel = F.when(F.startswith(fp, F.lit(prefix)), F.substring(fp, len(prefix) + 1, 1 << 30)).otherwise(fp)
-    return df.select(
-        F.url_decode(rel).alias("path"),
+    files = df.select(
+        F.substring(decoded_path(F.col("_metadata.file_path")), len(top) + 2, 1 << 30).alias("path"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("modified"),
         F.col("value").alias("text"))
+    if not empty:
+        return files
+    blank = spark.createDataFrame([(p, m, "") for p, m in empty], _CORPUS)
+    return files.join(F.broadcast(blank.select("path")), "path", "left_anti").unionByName(blank) if len(empty) < 10_000 \
+        else files.join(blank.select("path"), "path", "left_anti").unionByName(blank)
 
 
-def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "doc_id",
-              num_partitions: int | None = None) -> DataFrame:
-    """Dense ids ``0..n-1`` in the order of ``order_cols`` (unique key).
+def corpus_from_files(spark: SparkSession, root: str, hidden: str = "error") -> DataFrame:
+    """``(doc_id, path, modified, text)`` with ids dense in path order."""
+    return with_dense_ids(read_corpus_files(spark, root, hidden), "path")
 
-    Range-partition and sort by the key, number rows inside each partition,
-    and add the row count of all earlier partitions. The offsets table has one
-    row per partition, so it is broadcast with a known bound; no step needs
-    the whole input in one task, unlike ``row_number()`` over a global order.
 
-    The numbered rows are written once under the checkpoint folder: the range
-    bounds come from sampling, and two separate evaluations (one for the
-    counts, one for the rows) could sample differently.
-    """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = ranged.select("*", F.spark_partition_id().alias("_part"),
-                           F.monotonically_increasing_id().alias("_mid"))
-    # monotonically_increasing_id = (partition << 33) + row index in partition
-    tagged = tagged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33))
-    tagged = RoundState(spark, "dense-ids").settle(tagged)
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_part")
-            .withColumn(id_col, F.col("_off") + F.col("_local"))
-            .drop("_part", "_mid", "_local", "_off"))
-
-
-def corpus_from_files(spark: SparkSession, root: str) -> DataFrame:
-    """``(doc_id, path, modified, text)`` with ids dense in path order."""
-    return dense_ids(read_corpus_files(spark, root), ["path"])
+def with_dense_ids(docs: DataFrame, key: str) -> DataFrame:
+    """S4 for documents: only the keys are sorted and written; the rows, with their
+    texts, then get their number by a join on the (unique) key."""
+    return docs.join(dense_ids(docs.select(key), [key]), key)
 
 
-def write_index(index: Index, out: str, docs_text: DataFrame | None = None) -> None:
-    """Write the index tables (overwrite).
+def write_index(index: Index, out: str) -> None:
+    """Write the index tables, replacing the index at ``out``.
 
-    The corpus is tokenised once: raw postings are written first and every
-    statistic is derived from that table (document frequencies: one group-by
-    by term; both norms: one join by term and one group-by by document). The
-    final postings carry their document's norms, so scoring a query needs no
-    join with the norms, and are range-partitioned and sorted by term, so the
-    pushed ``term IN (...)`` filter of a query batch skips every row group
-    whose min/max statistics miss the batch's words.
+    Postings are dealt into folders by a hash of the term, range-partitioned
+    and sorted by (folder, term, document): a look-up reads one folder and, in
+    it, the row groups of its term, while a term of most documents still spans
+    several files. Postings carry their document's norms, so scoring needs no
+    join with them. Everything goes to a new version folder; the pointer to it
+    is written last, so readers see the old index or the whole new one. Old
+    versions stay until ``drop_old_versions``.
     """
     spark = index.postings.sparkSession
-    index.docs.write.mode("overwrite").parquet(os.path.join(out, "docs"))
-    index.postings.write.mode("overwrite").parquet(os.path.join(out, "raw_postings"))
-    stored = spark.read.parquet(os.path.join(out, "raw_postings"))
-    docs = spark.read.parquet(os.path.join(out, "docs"))
-    stats = term_stats(stored, docs.agg(F.count(F.lit(1))).scalar())
-    stats.write.mode("overwrite").parquet(os.path.join(out, "term_stats"))
-    stats = spark.read.parquet(os.path.join(out, "term_stats"))
-    norms = stored.join(stats.select("term", "idf"), "term").groupBy("doc_id").agg(
-        F.sqrt(F.sum((F.col("tf") * F.col("tf")).cast("double"))).alias("tf_norm"),
-        F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("tfidf_norm"))
-    norms.write.mode("overwrite").parquet(os.path.join(out, "doc_norms"))
-    norms = spark.read.parquet(os.path.join(out, "doc_norms"))
-    post = stored.join(norms, "doc_id").repartitionByRange("term").sortWithinPartitions("term", "doc_id")
-    post.select("doc_id", "term", "tf", "tf_norm", "tfidf_norm").write.mode("overwrite").parquet(
-        os.path.join(out, "postings"))
-    if docs_text is not None:
-        docs_text.write.mode("overwrite").parquet(os.path.join(out, "corpus"))
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    to = os.path.join(out, version)
+    index.docs.write.parquet(os.path.join(to, "docs"))
+    stats = index.term_stats
+    stats.write.parquet(os.path.join(to, "term_stats"))
+    index.doc_norms.write.parquet(os.path.join(to, "doc_norms"))
+    norms = spark.read.parquet(os.path.join(to, "doc_norms"))
+    post = (index.postings.select("doc_id", "term", "tf").join(norms, "doc_id")
+            .withColumn("bucket", term_bucket("term")).repartitionByRange("bucket", "term", "doc_id")
+            .sortWithinPartitions("bucket", "term", "doc_id"))
+    post.write.partitionBy("bucket").parquet(os.path.join(to, "postings"))
+    pointer = spark.createDataFrame([(time.time_ns(), version)], "at bigint, version string")
+    pointer.coalesce(1).write.mode("append").parquet(os.path.join(out, "versions"))
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    rows = spark.read.schema("at bigint, version string").parquet(os.path.join(path, "versions")).collect()
+    return [r.version for r in sorted(rows, key=lambda r: r.at)]
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    docs = spark.read.parquet(os.path.join(path, "docs"))
+    at = os.path.join(path, _versions(spark, path)[-1])
+    docs = spark.read.parquet(os.path.join(at, "docs"))
     return Index(docs=docs,
-                 postings=spark.read.parquet(os.path.join(path, "postings")),
-                 term_stats=spark.read.parquet(os.path.join(path, "term_stats")),
-                 doc_norms=spark.read.parquet(os.path.join(path, "doc_norms")),
+                 postings=spark.read.parquet(os.path.join(at, "postings")),
+                 term_stats=spark.read.parquet(os.path.join(at, "term_stats")),
+                 doc_norms=spark.read.parquet(os.path.join(at, "doc_norms")),
                  n_docs=docs.agg(F.count(F.lit(1))).scalar())
 
 
+def drop_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete all index versions but the current one."""
+    for version in _versions(spark, path)[:-1]:
+        old = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, version))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def upsert_documents(old: DataFrame, new: DataFrame, key: str = "path") -> DataFrame:
     """Add or replace documents by path, then give dense ids again.
 
-    Old rows whose path reappears are replaced by the new row; ids are
-    re-assigned in path order (the statistics must be rebuilt after an
-    upsert, as N and document frequencies change).
+    Old rows whose path reappears are replaced by the new row; of several new
+    rows with one path the latest ``modified`` stays (where the column exists),
+    on ties the greatest text. Ids are re-assigned in path order (the
+    statistics must be rebuilt after an upsert, as N and document frequencies
+    change).
     """
     cols = [c for c in old.columns if c != "doc_id"]
+    order = [c for c in ("modified", "text") if c in cols]
+    rest = [c for c in cols if c != key]
+    latest = new.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(key, "_row.*")
     kept = old.select(*cols).join(new.select(key), key, "left_anti")
-    merged = kept.unionByName(new.select(*cols))
-    return dense_ids(merged, [key])
-
-
-def upsert_and_reindex(old_corpus: DataFrame, new_docs: DataFrame) -> tuple[DataFrame, Index]:
-    merged = upsert_documents(old_corpus, new_docs)
-    return merged, build_index(merged)
+    return with_dense_ids(kept.unionByName(latest.select(*cols)), key)

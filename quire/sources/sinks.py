@@ -2,8 +2,9 @@
 
 The reference writes ``TF/TF.txt`` and ``TF/IDF.txt`` (``doc|norm``) and
 ``PR/PageRank.txt`` (``doc|score``), each only when the target does not exist
-yet. Here each is a Spark CSV folder with ``|`` as the separator, written in
-``ignore`` mode (nothing happens when it exists), in parallel part files.
+yet: both norm files when their folder is there, the score file when it is
+there itself. Here each file is a Spark text folder of part files, each with
+the header line (names separated by a comma) and ``|`` between the values.
 Doubles print as Java's ``Double.toString``, as in the reference.
 """
 
@@ -21,23 +22,31 @@ from quire.operators.index import Index
 SEPARATOR = "|"
 
 
-def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("ignore").option("sep", SEPARATOR).option("header", True).csv(path)
+def _write(df: DataFrame, header: str, path: str) -> None:
+    line = F.concat_ws(SEPARATOR, *(F.col(c).cast("string") for c in df.columns)).alias(header)
+    df.select(line).write.option("header", True).option("sep", "\t").option("quote", "\u0000").csv(path)
+
+
+def _exists(df: DataFrame, path: str) -> bool:
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def write_norms(index: Index, folder: str) -> None:
-    """``folder/TF.txt`` (DocID|TFNorm) and ``folder/IDF.txt`` (DocID|IDFNorm)."""
+    """``folder/TF.txt`` and ``folder/IDF.txt``; neither if the folder exists."""
     n = index.doc_norms
-    _write(n.select(F.col("doc_id").alias("DocID"), F.col("tf_norm").alias("TFNorm")),
-           os.path.join(folder, "TF.txt"))
-    _write(n.select(F.col("doc_id").alias("DocID"), F.col("tfidf_norm").alias("IDFNorm")),
-           os.path.join(folder, "IDF.txt"))
+    if _exists(n, folder):
+        return
+    _write(n.select("doc_id", "tf_norm"), "DocID,TFNorm", os.path.join(folder, "TF.txt"))
+    _write(n.select("doc_id", "tfidf_norm"), "DocID,IDFNorm", os.path.join(folder, "IDF.txt"))
 
 
 def write_link_scores(scores: DataFrame, folder: str) -> None:
-    """``folder/PageRank.txt`` (DocID|PageRank) in id order."""
-    _write(scores.select(F.col("node").alias("DocID"), F.col("score").alias("PageRank")).orderBy("DocID"),
-           os.path.join(folder, "PageRank.txt"))
+    """``folder/PageRank.txt`` in id order, unless it exists."""
+    path = os.path.join(folder, "PageRank.txt")
+    if not _exists(scores, path):
+        _write(scores.select("node", "score").orderBy("node"), "DocID,PageRank", path)
 
 
 def ranked_display(ranked: DataFrame) -> DataFrame:

@@ -18,32 +18,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute rows by ``key`` when the scan yields fewer tasks than
-    the cluster has cores (a single-row-group file, say).
+def documents_corpus(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """The ``documents`` table as a corpus; ``source`` serves as the stored path.
 
-    A large input already arrives in many splits and is left alone, so the
-    raw text is never shuffled at scale. When it is spread, the hash
-    partitioning by ``key`` also serves later aggregations keyed on it.
+    ``tasks`` deals the rows into that many partitions, for a table of a single
+    row group; by default the file splits stand and no text is shuffled.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text")
+    return d.repartition(tasks, "doc_id") if tasks else d
 
 
-def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table as a corpus; ``source`` serves as the stored path."""
-    d = read_table(spark, sf_dir, "documents")
-    return spread(d.select("doc_id", F.col("source").alias("path"), "text"), "doc_id")
-
-
-def pages_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages_corpus(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """The ``pages`` table as a corpus: raw HTML is the content, URL the path."""
-    p = read_table(spark, sf_dir, "pages")
-    return spread(p.select(F.col("page_id").alias("doc_id"), F.col("url").alias("path"),
-                           F.col("html").alias("text")), "doc_id")
+    p = read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("doc_id"), F.col("url").alias("path"), F.col("html").alias("text"))
+    return p.repartition(tasks, "doc_id") if tasks else p
 
 
 def _with_page_count(pages: DataFrame) -> DataFrame:
@@ -78,13 +67,7 @@ def transpose_links(links: DataFrame) -> DataFrame:
     citing id itself is the order.
     """
     return links.select(F.col("dst").alias("doc"), F.col("src").alias("citing"),
-                        F.col("src").cast("int").alias("pos"))
-
-
-def page_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
-    links = page_links(pages)
-    return links, transpose_links(links)
+                        F.col("src").alias("pos"))
 
 
 def adjacency_lines(pages: DataFrame) -> DataFrame:

@@ -16,17 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quire.sources.files import dense_ids
+from quire.sources.files import decoded_path, with_dense_ids
 
 
 def start_ingest(spark: SparkSession, src_dir: str, log_path: str, checkpoint_location: str,
                  trigger_once: bool = False) -> StreamingQuery:
     """Stream files under ``src_dir`` into the version log at ``log_path``."""
-    prefix = src_dir.rstrip("/") + "/"
+    path = spark._jvm.org.apache.hadoop.fs.Path(src_dir)
+    top = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/")
     stream = (spark.readStream.option("wholetext", "true").option("recursiveFileLookup", "true")
               .text(src_dir).select("value", "_metadata"))
-    fp = F.col("_metadata.file_path")
-    rel = F.regexp_replace(F.url_decode(fp), r"^.*?" + _re_escape(prefix) + r"[^/]+/", "")
+    inside = F.substring(decoded_path(F.col("_metadata.file_path")), len(top) + 2, 1 << 30)
+    rel = F.regexp_replace(inside, "^[^/]+/", "")  # inside its drop
     versions = stream.select(
         rel.alias("path"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("modified"),
@@ -37,11 +38,6 @@ def start_ingest(spark: SparkSession, src_dir: str, log_path: str, checkpoint_lo
     return w.start()
 
 
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
 def current_corpus(spark: SparkSession, log_path: str) -> DataFrame:
     """Latest version of every path in the log, with dense ids in path order.
 
@@ -51,5 +47,5 @@ def current_corpus(spark: SparkSession, log_path: str) -> DataFrame:
     log = spark.read.parquet(log_path)
     latest = log.groupBy("path").agg(
         F.max_by(F.struct("modified", "text"), F.struct("modified", "text")).alias("v"))
-    return dense_ids(latest.select("path", F.col("v.modified").alias("modified"),
-                                   F.col("v.text").alias("text")), ["path"])
+    return with_dense_ids(latest.select("path", F.col("v.modified").alias("modified"),
+                                        F.col("v.text").alias("text")), "path")

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,10 @@ from quire.operators import graph as gr
 from quire.operators import hits as ht
 from quire.operators import linkscore as ls
 from quire.operators.runs import consecutive_runs, format_runs
+from quire.operators import loop
+from quire.operators.loop import NoConvergence
 from quire.sources.adjacency import parse_adjacency
+from quire.sources.tables import transpose_links
 
 
 def lines(spark, ls_):
@@ -32,6 +37,8 @@ def test_parse(spark, graph):
     e, rej = parse_adjacency(lines(spark, ["1->2,3", "x->1", "2->4,,5", "1->7", "3->8,"]))
     assert sorted((r.src, r.dst) for r in e.collect()) == [(1, 7), (3, 8)]
     assert rej.count() == 2
+    e, rej = parse_adjacency(lines(spark, ["5->3->4"]))  # the second piece holds the targets
+    assert [(r.src, r.dst) for r in e.collect()] == [(5, 3)] and rej.count() == 0
 
 
 def test_undirected_and_degrees(graph):
@@ -58,29 +65,57 @@ def test_converged(graph):
     out = ls.converged(gr.undirected_edges(links, cits), nodes, 5)
     assert vec(out) == [0.858724, 0.858724, 1.0, 0.41416, 0.0]
     assert out.first().rounds == 43
+    with pytest.raises(NoConvergence):
+        ls.converged(gr.undirected_edges(links, cits), nodes, 5, max_iter=42)
+
+
+def test_loops_keep_few_rounds(spark, graph, monkeypatch):
+    links, cits, nodes = graph
+    made = []
+    monkeypatch.setattr(loop.RoundState, "__init__", lambda self, *a, init=loop.RoundState.__init__: (init(self, *a), made.append(self))[0])
+    ht.hits(whole_base(spark), links, cits)
+    ls.converged(gr.undirected_edges(links, cits), nodes, 5)
+    for state in made:
+        folder = state.root.removeprefix("file:")
+        left = [f for f in os.listdir(folder) if f.startswith("round")]
+        assert len(left) <= ls.BATCH + 1 if "linkscore" in folder else len(left) <= 2
 
 
 def whole_base(spark):
     return spark.createDataFrame([(0, i, (0, 0, i)) for i in range(5)],
-                                 "query_id bigint, node bigint, seen struct<stage:int,rank:int,pos:int>")
+                                 "query_id bigint, node bigint, seen struct<stage:int,rank:int,pos:bigint>")
 
 
 def test_hits_rounds(spark, graph):
     links, cits, _ = graph
-    r1 = ht.hits(whole_base(spark), links, cits, max_iter=1)
+    r1 = ht.hits(whole_base(spark), links, cits, rounds=1)
     assert vec(r1, "authority") == [0.301511, 0.301511, 0.904534, 0.0, 0.0]
     assert vec(r1, "hub") == [0.676123, 0.507093, 0.169031, 0.507093, 0.0]
-    r2 = ht.hits(whole_base(spark), links, cits, max_iter=2)
+    r2 = ht.hits(whole_base(spark), links, cits, rounds=2)
     assert [round(x, 4) for x in vec(r2, "authority")] == [0.0925, 0.3698, 0.9245, 0.0, 0.0]
     end = ht.hits(whole_base(spark), links, cits)
     assert vec(end, "authority") == [0.0, 0.382683, 0.92388, 0.0, 0.0]
     assert vec(end, "hub") == [0.707107, 0.5, 0.0, 0.5, 0.0]
-    assert end.first().rounds == 14 and end.first().converged
+    assert end.first().rounds == 14
+    with pytest.raises(NoConvergence):
+        ht.hits(whole_base(spark), links, cits, max_iter=13)
 
 
 def test_runs(spark):
+    # the sample list and its printed runs are fixed values
     arr = [4, 5, 6, 7, 8, 9, 12, 15, 16, 17, 18, 20, 22, 23, 24, 27]
     seq = spark.createDataFrame([(1, v) for v in arr], "seq_id bigint, v bigint")
     assert format_runs(consecutive_runs(seq)).first().runs == "0:57:1012:14"
-    # buckets of width 4 split runs across buckets; the answer must not change
-    assert format_runs(consecutive_runs(seq, bucket_width=4)).first().runs == "0:57:1012:14"
+    wide = [1, 2, 10**6, 10**9, 3 * 10**9, 3 * 10**9 + 1, 10**15, 10**15 + 1, 10**15 + 2]
+    seq = spark.createDataFrame([(s, v) for s in (3_000_000_000, 7) for v in wide], "seq_id bigint, v bigint").repartition(5)
+    assert {(r.seq_id, r.runs) for r in format_runs(consecutive_runs(seq)).collect()} == {(3_000_000_000, "0:14:56:8"), (7, "0:14:56:8")}
+
+
+def test_large_ids(spark):
+    big = 3_000_000_000
+    links = spark.createDataFrame([(big, big + 1, 0), (big + 2, big, 0)], "src bigint, dst bigint, pos bigint")
+    cits = transpose_links(links)
+    root = spark.createDataFrame([(0, big, 1)], "query_id bigint, node bigint, root_rank int")
+    base = gr.base_set(root, links, cits)
+    assert {(r.node, r.seen.stage, r.seen.pos) for r in base.collect()} == {(big, 0, 0), (big + 1, 1, 0), (big + 2, 2, big + 2)}
+    assert sorted((r.node, r.idx) for r in gr.node_positions(base).collect()) == [(big, 0), (big + 1, 1), (big + 2, 2)]

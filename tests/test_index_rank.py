@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions.text import ENGLISH_STOP_WORDS
 from quire.operators import index as ix
 from quire.operators import rank as rk
 
@@ -106,3 +107,33 @@ def test_audit_and_slice(spark, idx, fixture_docs):
     assert [r.doc_id for r in ix.missing_doc_ids(holes).collect()] == [2]
     sl = ix.vocabulary_slice(idx.postings, offset=2, size=3).collect()
     assert [(r.ordinal, r.term) for r in sl] == [(2, "cherry"), (3, "date"), (4, "elder")]
+
+
+def test_stop_words(spark, fixture_queries):
+    docs = spark.createDataFrame([(0, "p", "the cat and the dog"), (1, "p", "the the"), (2, "p", "a dog")],
+                                 "doc_id bigint, path string, text string")
+    index = ix.build_index(docs, stop_words=ENGLISH_STOP_WORDS)
+    assert {(r.doc_id, r.term) for r in index.postings.collect()} == {(0, "cat"), (0, "dog"), (2, "dog")}
+    q = spark.createDataFrame([(0, "the"), (1, "dog the")], "query_id bigint, query string")
+    assert {(r.query_id, r.doc_id) for r in rk.rank(index, q).collect()} == {(1, 0), (1, 2)}
+    assert index.docs.select(index.n_docs.alias("n")).first().n == 3
+
+
+def test_terms_of_other_fields(spark, idx):
+    terms = spark.createDataFrame([("fig",), ("www.example.edu",)], "term string")
+    got = {r.term: r.idf for r in ix.term_idf_with_missing(terms, idx.term_stats).collect()}
+    assert approx(got["fig"], 1.609438) and got["www.example.edu"] == -1.0
+
+
+def test_session_range_on_sparse_ids(spark):
+    ids = [5, 10**6, 10**9, 3 * 10**9, 10**15]
+    scores = spark.createDataFrame([(q, float(i % 3), 0) for i, q in enumerate(ids)], "query_id bigint, cosine double, first_pos int")
+    got = {r.query_id: (r.max_score, r.min_score) for r in rk.session_range(scores.repartition(4)).collect()}
+    assert got == {5: (0.0, 0.0), 10**6: (1.0, 0.0), 10**9: (2.0, 0.0), 3 * 10**9: (2.0, 0.0), 10**15: (2.0, 0.0)}
+
+
+def test_plans_read_the_corpus_once(spark, idx, fixture_queries):
+    ranked = rk.rank(idx, fixture_queries)._jdf.queryExecution().toString()
+    assert "regexp_extract_all" not in ranked  # tokenised before, into a written table
+    norms = ix.tf_norms(idx.postings)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in norms

@@ -2,13 +2,16 @@ import os
 import tempfile
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import FIXTURE_TEXTS
 from quire.operators import index as ix
 from quire.operators import rank as rk
 from quire.sources import sinks
-from quire.sources.files import (corpus_from_files, dense_ids, read_corpus_files, read_index,
+from quire.operators.index import term_bucket
+from quire.operators.numbering import dense_ids
+from quire.sources.files import (corpus_from_files, drop_old_versions, read_corpus_files, read_index,
                                  upsert_documents, write_index)
 from quire.streaming.ingest import current_corpus, start_ingest
 
@@ -36,6 +39,87 @@ def test_file_corpus(spark):
     assert [r.path for r in corpus] == sorted(r.path for r in corpus)
 
 
+def test_file_names(spark):
+    root = os.path.join(tempfile.mkdtemp(prefix="quire-names-"), "a root with spaces+plus")
+    names = ["a+b.html", "a b.html", "p%41.html", "x%%y.html", "sub dir/é.html", "empty.html"]
+    os.makedirs(os.path.join(root, "sub dir"))
+    for n in names:
+        with open(os.path.join(root, n), "w", encoding="utf-8") as f:
+            f.write("" if n == "empty.html" else n)
+    for at in (root, root + "/"):
+        got = {r.path: r.text for r in read_corpus_files(spark, at).collect()}
+        assert got == {n: "" if n == "empty.html" else n for n in names}
+    index = ix.build_index(corpus_from_files(spark, root))
+    out = tempfile.mkdtemp(prefix="quire-index-")
+    write_index(index, out)
+    back = read_index(spark, out)
+    assert back.docs.select(back.n_docs.alias("n")).first().n == len(names)
+    assert all(r.modified > 1_600_000_000_000 for r in back.docs.collect())
+    for hidden in ("_x.html", ".x.html"):
+        with open(os.path.join(root, hidden), "w") as f:
+            f.write("hidden")
+    with pytest.raises(ValueError, match="2 files"):
+        read_corpus_files(spark, root)
+    assert read_corpus_files(spark, root, hidden="skip").count() == len(names)
+
+
+def _scanned(df, column):
+    """Rows that the executed plan's scans of a table with ``column`` put out."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage") or "QueryStage" in node.getClass().getSimpleName():
+            todo.append(node.plan())
+        if name.startswith("Scan parquet") and column in node.schema().fieldNames():
+            rows += node.metrics().get("numOutputRows").get().value()
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return rows
+
+
+def test_hot_term_and_pruned_look_up(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("p").alias("path"),
+                                    F.concat(F.lit("the w"), F.col("id") % 500).alias("text"))
+    out = tempfile.mkdtemp(prefix="quire-hot-")
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_index(ix.build_index(docs), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    post = read_index(spark, out).postings
+    assert post.where("term = 'the'").select(F.col("_metadata.file_path")).distinct().count() > 1
+    words = spark.createDataFrame([(i, f"w{i}") for i in range(50)], "query_id bigint, query string")
+    got = rk.unranked_search(read_index(spark, out), words)
+    assert got.count() == 50 * 8
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    few = rk.unranked_search(read_index(spark, out), words.limit(2))
+    assert _scanned(few, "tf") <= post.where(F.col("bucket").isin([r.b for r in words.limit(2).select(
+        term_bucket("query").alias("b")).collect()])).count() < post.count() / 4
+    one = ix.postings_lookup(post, "w7")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in one
+
+
+def test_index_versions(spark, fixture_docs):
+    out = tempfile.mkdtemp(prefix="quire-versions-")
+    write_index(ix.build_index(fixture_docs), out)
+    index = read_index(spark, out)
+    # an index is replaced by one derived from what is being read
+    again = ix.Index(index.docs, index.postings.where("term <> 'fig'").drop("bucket", "tf_norm", "tfidf_norm"),
+                     index.term_stats, index.doc_norms, index.n_docs)
+    write_index(again, out)
+    assert index.postings.where("term = 'fig'").count() == 1
+    assert read_index(spark, out).postings.where("term = 'fig'").count() == 0
+    drop_old_versions(spark, out)
+    assert len([f for f in os.listdir(out) if f.startswith("v-")]) == 1
+    assert read_index(spark, out).postings.count() == index.docs.sparkSession.read.parquet(
+        os.path.join(out, [f for f in os.listdir(out) if f.startswith("v-")][0], "postings")).count()
+
+
 def test_dense_ids_many_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k"))
     out = dense_ids(df, ["k"], num_partitions=13).orderBy("doc_id").collect()
@@ -61,21 +145,51 @@ def test_upsert(spark, fixture_docs):
     merged = upsert_documents(old, new).orderBy("doc_id").collect()
     assert [r.path for r in merged][0] == "a-new-path" and len(merged) == 6
     assert {r.path: r.text for r in merged}["www.example.edu%%d1.html"] == "fig fig"
+    twice = new.unionByName(spark.createDataFrame([("a-new-path", "kiwi kiwi"), ("a-new-path", "a")], "path string, text string"))
+    merged = upsert_documents(old, twice).collect()
+    assert [r.text for r in merged if r.path == "a-new-path"] == ["kiwi kiwi"] and len(merged) == 6
+    dated = old.withColumn("modified", F.lit(1).cast("bigint"))
+    newer = spark.createDataFrame([("p", "older", 5), ("p", "newer", 9)], "path string, text string, modified bigint")
+    assert [r.text for r in upsert_documents(dated, newer).collect() if r.path == "p"] == ["newer"]
+
+
+def _lines(folder):
+    out = []
+    for f in sorted(os.listdir(folder)):
+        if f.startswith("part-"):
+            with open(os.path.join(folder, f), encoding="utf-8") as h:
+                out.append(h.read().splitlines())
+    return out
 
 
 def test_sinks(spark, fixture_docs):
-    folder = tempfile.mkdtemp(prefix="quire-sinks-")
+    folder = os.path.join(tempfile.mkdtemp(prefix="quire-sinks-"), "TF")
     idx = ix.build_index(fixture_docs)
-    sinks.write_norms(idx, os.path.join(folder, "TF"))
-    back = spark.read.option("sep", "|").option("header", True).csv(os.path.join(folder, "TF", "TF.txt"))
-    vals = {int(r.DocID): float(r.TFNorm) for r in back.collect()}
-    assert abs(vals[0] - 2.449490) < 1e-6
-    # second write is ignored: the folder exists
-    sinks.write_norms(idx, os.path.join(folder, "TF"))
-    assert back.count() == 5
+    sinks.write_norms(idx, folder)
+    parts = _lines(os.path.join(folder, "TF.txt"))
+    assert all(p[0] == "DocID,TFNorm" for p in parts if p)
+    vals = {int(x.split("|")[0]): float(x.split("|")[1]) for p in parts for x in p[1:]}
+    assert len(vals) == 5 and abs(vals[0] - 2.449490) < 1e-6
+    assert all(p[0] == "DocID,IDFNorm" for p in _lines(os.path.join(folder, "IDF.txt")) if p)
+    # the folder exists: neither file is written, also where one is missing
+    other = tempfile.mkdtemp(prefix="quire-sinks-")
+    sinks.write_norms(idx, other)
+    assert os.listdir(other) == []
+    scores = spark.createDataFrame([(1, 0.5), (0, 1.0)], "node bigint, score double")
+    sinks.write_link_scores(scores, other)
+    sinks.write_link_scores(scores.where("node = 0"), other)
+    lines = [x for p in _lines(os.path.join(other, "PageRank.txt")) for x in p if x != "DocID,PageRank"]
+    assert lines == ["0|1.0", "1|0.5"]
+
+
+def test_displays(spark, fixture_docs):
     q = spark.createDataFrame([(0, "fig")], "query_id bigint, query string")
-    lines = [r.line for r in sinks.ranked_display(rk.rank(idx, q, mode=1)).collect()]
-    assert lines == ["[3|0.5] - www.example.edu/d3.html"]
+    ranked = rk.rank(ix.build_index(fixture_docs), q, mode=1)
+    assert [r.line for r in sinks.ranked_display(ranked).collect()] == ["[3|0.5] - www.example.edu/d3.html"]
+    top = spark.createDataFrame([(0, 1, 42)], "query_id bigint, rank int, node bigint")
+    assert [r.line for r in sinks.id_list_display(top).collect()] == ["[42]"]
+    vec = spark.createDataFrame([(7, 0.25)], "node bigint, score double")
+    assert [r.line for r in sinks.vector_display(vec).collect()] == ["7 : 0.25"]
 
 
 def test_stream_ingest(spark):
