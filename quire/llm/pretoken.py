@@ -227,11 +227,11 @@ class PieceIds:
             self._reset()
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        known = self._slot
-        fresh = [p for p in distinct if p not in known]
-        if fresh:
-            self._add(fresh)
-        slots = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
+        slots = np.array([self._slot.get(p, -1) for p in distinct], np.int64)
+        fresh = np.flatnonzero(slots < 0)
+        if len(fresh):
+            slots[fresh] = len(self._slot) + np.arange(len(fresh))
+            self._add([distinct[i] for i in fresh.tolist()])
         slots = slots[coded.indices.to_numpy(zero_copy_only=False)]
         lens = self._len[slots]
         ids = self._flat[ranges(self._start[slots], lens)]

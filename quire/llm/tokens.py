@@ -1,36 +1,40 @@
 """Token ids by a public vocabulary, piece by piece (see ``pretoken``).
 
-``library_ids``: distinct pieces go through the tokenizers library. A
-byte-level BPE model encodes every match of its pattern by itself, and a
-match cut out of its text matches as a whole again, so the ids equal those of
-the library on the whole text; strings that look like special tokens are
-ordinary text.
+Distinct pieces go through the tokenizers library's BPE model. A byte-level
+BPE tokenizer writes every byte of a match as one printable character and
+encodes the match by itself, so the ids of a text's matches are those of the
+library on the whole text; strings that look like special tokens are ordinary
+text.
 """
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
+from tokenizers import Tokenizer
 
 from quire.llm.pretoken import PieceIds
 
 
-def library_ids(path: str) -> PieceIds:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 characters for themselves, the other bytes, in order,
+    for the code points from 256 on."""
+    itself = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in itself]
+    return {b: b for b in itself} | {b: 256 + i for i, b in enumerate(others)}
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+
+def library_ids(path: str) -> PieceIds:
+    tokenize = Tokenizer.from_file(path).model.tokenize
+    written = byte_characters()
 
     def encode_new(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         flat: list[int] = []
         lens = []
-        for lo in range(0, len(pieces), 20_000):
-            for e in tok.encode_batch([p.decode() for p in pieces[lo:lo + 20_000]], add_special_tokens=False):
-                ids = e.ids
-                flat += ids
-                lens.append(len(ids))
+        for p in pieces:
+            ids = [t.id for t in tokenize(p.decode("latin-1").translate(written))]
+            flat += ids
+            lens.append(len(ids))
         return np.array(flat, np.int32), np.array(lens, np.int64)
 
     return PieceIds(encode_new)
