@@ -70,8 +70,7 @@ def read_corpus_files(spark: SparkSession, root: str, hidden: str = "error") ->
     if not empty:
         return files
     blank = spark.createDataFrame([(p, m, "") for p, m in empty], _CORPUS)
-    return files.join(F.broadcast(blank.select("path")), "path", "left_anti").unionByName(blank) if len(empty) < 10_000 \
-        else files.join(blank.select("path"), "path", "left_anti").unionByName(blank)
+    return files.join(blank.select("path"), "path", "left_anti").unionByName(blank)
 
 
 def corpus_from_files(spark: SparkSession, root: str, hidden: str = "error") -> DataFrame:
