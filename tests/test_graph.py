@@ -65,20 +65,20 @@ def test_converged(graph):
     out = ls.converged(gr.undirected_edges(links, cits), nodes, 5)
     assert vec(out) == [0.858724, 0.858724, 1.0, 0.41416, 0.0]
     assert out.first().rounds == 43
-    with pytest.raises(NoConvergence):
-        ls.converged(gr.undirected_edges(links, cits), nodes, 5, max_iter=42)
 
 
-def test_loops_keep_few_rounds(spark, graph, monkeypatch):
+def test_limits_raise_and_loops_keep_few_rounds(spark, graph, monkeypatch):
     links, cits, nodes = graph
     made = []
     monkeypatch.setattr(loop.RoundState, "__init__", lambda self, *a, init=loop.RoundState.__init__: (init(self, *a), made.append(self))[0])
-    ht.hits(whole_base(spark), links, cits)
-    ls.converged(gr.undirected_edges(links, cits), nodes, 5)
+    with pytest.raises(NoConvergence):
+        ht.hits(whole_base(spark), links, cits, max_iter=8)
+    with pytest.raises(NoConvergence):
+        ls.converged(gr.undirected_edges(links, cits), nodes, 5, max_iter=12)
     for state in made:
         folder = state.root.removeprefix("file:")
-        left = [f for f in os.listdir(folder) if f.startswith("round")]
-        assert len(left) <= ls.BATCH + 1 if "linkscore" in folder else len(left) <= 2
+        left = [f for f in os.listdir(folder) if f.startswith("round")] if os.path.exists(folder) else []
+        assert len(left) <= (ls.BATCH + 1 if "linkscore" in folder else 2)
 
 
 def whole_base(spark):
@@ -97,8 +97,6 @@ def test_hits_rounds(spark, graph):
     assert vec(end, "authority") == [0.0, 0.382683, 0.92388, 0.0, 0.0]
     assert vec(end, "hub") == [0.707107, 0.5, 0.0, 0.5, 0.0]
     assert end.first().rounds == 14
-    with pytest.raises(NoConvergence):
-        ht.hits(whole_base(spark), links, cits, max_iter=13)
 
 
 def test_runs(spark):
