@@ -4,10 +4,10 @@ All queries of a batch iterate together: the state holds one row per
 (query, base node). A round is authority update (L7), L2 normalisation (L9),
 hub update from this round's authorities (L8), normalisation, and the
 convergence test (L11) per query. Both updates are linear, so ``BATCH``
-rounds run unnormalised, each as two joins with the edges, and keep their
-vectors side by side; one pass over the written vectors then gives all their
-norms and tests, and each query takes the first round that passes. Queries
-that have converged leave the active state; the loop ends when none is left.
+rounds run unnormalised, each as two joins with the edges and two a job; one
+pass over the written vectors then gives all their norms and tests, and each
+query takes the first round that passes. Queries that have converged leave
+the active state; the loop ends when none is left.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ MAX_ITER = 10_000
 #: Rounds between two tests. The vectors grow by the largest eigenvalue each
 #: round, so the number is small enough for doubles on any graph.
 BATCH = 6
+#: Rounds in one job: more would save jobs, but each later round's plan holds the earlier ones.
+UNROLL = 2
 
 
 def convergence_passes(sum_col, tol: float):
@@ -62,21 +64,28 @@ def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = H
     base = loop.settle(base.select("query_id", "node", "seen"))
     cit, lnk = base_edges(base, links, citations)
     cit, lnk = loop.settle(cit), loop.settle(lnk)
-    state = base.select("*", F.lit(0.0).alias("a0"), F.lit(0.0).alias("h0"), F.lit(1.0).alias("hub_in"))
+    state = base.select("*", F.lit(0.0).alias("a0"), F.lit(0.0).alias("h0"))
+    hub = base.select("query_id", "node", F.lit(1.0).alias("value"))
     finished: list[DataFrame] = []
     done_rounds = 0
     while True:
         steps = min(BATCH, (rounds if rounds is not None else max_iter) - done_rounds)
-        for s in range(1, steps + 1):
-            before = "hub_in" if s == 1 else f"h{s - 1}"
-            # a(p) = sum of hub(q) over q citing p, inside the base
-            a = cit.join(state.select("query_id", F.col("node").alias("citing"), before),
-                         ["query_id", "citing"]).groupBy("query_id", "node").agg(F.sum(before).alias(f"a{s}"))
-            # L8 on this round's authorities
-            h = lnk.join(a.withColumnRenamed("node", "dst"), ["query_id", "dst"]).groupBy(
-                "query_id", "node").agg(F.sum(f"a{s}").alias(f"h{s}"))
-            both = a.join(h, ["query_id", "node"], "full")
-            state = loop.next_round(state.join(both, ["query_id", "node"], "left").na.fill(0.0, [f"a{s}", f"h{s}"]))
+        tables: dict[str, DataFrame] = {}
+        for s in range(1, steps + 1, UNROLL):
+            parts, last = [], min(s + UNROLL - 1, steps)
+            for k in range(s, last + 1):
+                # a(p) = sum of hub(q) over q citing p, inside the base; L8 on this round's authorities
+                auth = cit.join(hub.withColumnRenamed("node", "citing"), ["query_id", "citing"]).groupBy(
+                    "query_id", "node").agg(F.sum("value").alias("value"))
+                hub = lnk.join(auth.withColumnRenamed("node", "dst"), ["query_id", "dst"]).groupBy(
+                    "query_id", "node").agg(F.sum("value").alias("value"))
+                parts += [auth.select("*", F.lit(f"a{k}").alias("of")), hub.select("*", F.lit(f"h{k}").alias("of"))]
+            name = f"steps{done_rounds + s}"
+            tables[name] = loop.settle(reduce(DataFrame.unionByName, parts), name)
+            hub = tables[name].where(F.col("of") == f"h{last}").drop("of")
+        vectors = reduce(DataFrame.unionByName, tables.values()).groupBy("query_id", "node").agg(
+            *(F.max(F.when(F.col("of") == f"{v}{k}", F.col("value"))).alias(f"{v}{k}") for k in range(1, steps + 1) for v in "ah"))
+        state = loop.next_round(state.join(vectors, ["query_id", "node"], "left").na.fill(0.0))
         state, active = _tested(loop, state, steps, tol, term, rounds is None)
         done_rounds += steps
         at_end = rounds is not None and done_rounds >= rounds
@@ -87,7 +96,10 @@ def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = H
             return reduce(DataFrame.unionByName, finished)
         if rounds is None and done_rounds >= max_iter:
             raise NoConvergence(f"HITS has not converged in {max_iter} rounds for some query")
-        state = state.where(F.col("stop").isNull()).select("query_id", "node", "seen", "a0", "h0", F.col("h0").alias("hub_in"))
+        state = state.where(F.col("stop").isNull()).select("query_id", "node", "seen", "a0", "h0")
+        hub = state.select("query_id", "node", F.col("h0").alias("value"))
+        for name in tables:
+            loop.delete(name)
 
 
 def _tested(loop: RoundState, state: DataFrame, steps: int, tol: float, term, test: bool) -> tuple[DataFrame, int]:
