@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import doc_texts, text_blocks
 from quire.llm.exchange import mix
-from quire.llm.folds import held_out, training_labels
+from quire.llm.folds import held_out, labelled_texts
 from quire.llm.words import word_ids, words
 
 FORMS, SHAPES = 28_672, 4_096  # units for words and for shapes
@@ -255,9 +255,8 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
             x = pooled(texts, vectors)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "x"])
 
-    chosen = training_labels(labels, label_col, per_class)
-    rows = (doc_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-            .mapInArrow(features, "doc_id bigint, y int, x binary").collect())  # 2 * per_class rows but for repeated ids
+    rows = (labelled_texts(docs, labels, label_col, per_class)
+            .mapInArrow(features, "doc_id bigint, y int, x binary").collect())  # at most 2 * per_class rows
     rows.sort(key=lambda r: (r.doc_id, r.x))
     x = np.array([np.frombuffer(r.x, np.float32) for r in rows]).reshape(-1, FEATURES)
     return Model(vectors, fit(x, np.array([r.y for r in rows], np.int64)))

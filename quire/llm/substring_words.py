@@ -18,7 +18,9 @@ is ever listed, and a passage in any number of documents costs each of them
 one message item.
 
 A null or empty text has no words. Repeated rows repeat each other's windows.
-A text shorter than the window loses nothing. An empty table gives no rows.
+A text shorter than the window loses nothing. An empty table gives no rows. A
+text is held whole by one task, at about 20 bytes of memory for each of its
+bytes.
 """
 
 from __future__ import annotations

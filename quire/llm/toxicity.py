@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import doc_texts, text_blocks
 from quire.llm.exchange import mix
-from quire.llm.folds import held_out, training_labels
+from quire.llm.folds import held_out, labelled_texts
 
 FEATURES = 1 << 18  # feature 0 is unused: "no such feature"
 PREFIXES = (4, 5, 6)
@@ -164,9 +164,8 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_clas
                 [rows.column(0), rows.column(2), pa.array([words[a:b].astype("<i4").tobytes() for a, b in own], pa.binary()),
                  pa.array([sentence[a:b].astype("<i4").tobytes() for a, b in own], pa.binary())], ["doc_id", "y", "words", "sentence"])
 
-    chosen = training_labels(labels, label_col, per_class)
-    rows = (doc_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-            .mapInArrow(run, "doc_id bigint, y int, words binary, sentence binary").collect())  # 2 * per_class rows but for repeated ids
+    rows = (labelled_texts(docs, labels, label_col, per_class)
+            .mapInArrow(run, "doc_id bigint, y int, words binary, sentence binary").collect())  # at most 2 * per_class rows
     rows.sort(key=lambda r: (r.doc_id, r.words))
     own = [(np.frombuffer(r.words, "<i4").reshape(-1, 1 + len(PREFIXES)).astype(np.int64), np.frombuffer(r.sentence, "<i4")) for r in rows]
     terms = np.concatenate([features([t])[0] for t in identity_terms]) if identity_terms else np.empty((0, 1 + len(PREFIXES)), np.int64)
