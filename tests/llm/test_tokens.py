@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import pytest
 import regex
 import tiktoken
@@ -111,3 +112,20 @@ def test_empty_tables(spark, docs, tmp_path):
     assert packing.pieces(packing.pack(none, TOKENIZER)).count() == 0
     token_files.write_tokens(none, str(tmp_path / "e"), TOKENIZER)
     assert token_files.checksums(token_files.read_tokens(spark, str(tmp_path / "e"))).count() == 0
+
+
+def test_token_file_layout(spark, docs, tmp_path):
+    token_files.write_tokens(docs, str(tmp_path / "t"), TOKENIZER)
+    files = [f for f in (tmp_path / "t" / "tokens").iterdir() if f.name.startswith("part-")]
+    columns = {}
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            for c in range(meta.num_columns):
+                col = meta.row_group(g).column(c)
+                columns.setdefault(col.path_in_schema.split(".")[0], []).append(col)
+    assert all(c.has_column_index and c.has_offset_index for own in columns.values() for c in own)
+    assert all("DELTA_BINARY_PACKED" in c.encodings for c in columns["doc_id"] + columns["n_tokens"])
+    assert any("RLE_DICTIONARY" in c.encodings for c in columns["ids"])
+    plan = token_files.read_tokens(spark, str(tmp_path / "t")).where("doc_id = 7").select("n_tokens")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,part:int,n_tokens:bigint>" in plan and "EqualTo(doc_id,7)" in plan
