@@ -73,14 +73,40 @@ QUERIES = {f.__name__: f for f in (
 
 #: What SQL can express; the other operators are tested against brute force.
 ORACLE: dict[str, str] = {
+    "op2_substring_words": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+again AS (SELECT r, i FROM win JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k)),
+gone AS (SELECT r, list(p) AS ps FROM (SELECT DISTINCT r, i + j AS p FROM again, range(35) t(j)) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)""",
     "op4_maxscore": """
-WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
            FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id,
-             list_sum(list_transform(list_zip(q.e, c.e), p -> coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
+             coalesce(list_sum(list_transform(range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0)::BIGINT AS score
       FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
 t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM t WHERE rank <= 5""",
+    "op6_suffix_array": """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+part AS MATERIALIZED (SELECT r, 512 * j AS o, substr(h, 1024 * j + 1, 1424) AS h, len(h) // 2 AS n
+                      FROM (SELECT r, h, unnest(range(0, len(h) // 1024 + 1)) AS j FROM d)),
+win AS (SELECT r, o + i AS i, md5(substr(h, 2 * i + 1, 400)) AS k
+        FROM (SELECT r, o, h, unnest(range(0, greatest(least(512, n - 199 - o), 0))) AS i FROM part)),
+again AS (SELECT r, i FROM win JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k)),
+runs AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM (
+           SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS run FROM (
+             SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM again))
+         GROUP BY r, run),
+cut AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM runs GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN starts IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(starts) + 1), lambda i:
+           CASE WHEN i = 0 THEN substr(h, 1, 2 * starts[1])
+                WHEN i = len(starts) THEN substr(h, 2 * ends[i] + 1)
+                ELSE substr(h, 2 * ends[i] + 1, 2 * (starts[i + 1] - ends[i])) END), '') END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)""",
 }
