@@ -7,6 +7,7 @@ text counts as the empty text unless an operator's docstring says otherwise.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from quire.session import checkpoint_dir
 
 #: Text bytes that one numpy step works on at once, unless one document is longer.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -44,10 +45,19 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on between
+    tasks, and its high mark would count against the executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], text_col: str = "text",
                 max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of the incoming batches with at most ``max_bytes`` of text (or one row)."""
     for batch in batches:
+        release()
         col = batch.column(batch.schema.get_field_index(text_col))
         upto = np.cumsum(pc.binary_length(col).to_numpy(zero_copy_only=False), dtype=np.int64)
         lo = 0

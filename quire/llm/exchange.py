@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import release
+
 GROUP = "__group"
 MESSAGE = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("keys", pa.binary()), ("data", pa.binary())])
 MESSAGE_DDL = "bucket int, group int, keys binary, data binary"
@@ -122,6 +124,7 @@ def ask(grouped: DataFrame, send: Callable[[pa.Table], pa.Table]) -> DataFrame:
 
 
 def texts_of(table: pa.Table, text_col: str) -> list[str]:
+    release()
     return [t or "" for t in table.column(text_col).to_pylist()]
 
 

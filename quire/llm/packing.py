@@ -65,6 +65,7 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
                         at, held, fill, pieces = at + fill, [], 0, []
         if fill:
             yield block()
+        enc.clear()
 
     return doc_texts(docs).mapInArrow(run, _BLOCK_DDL)
 

@@ -196,9 +196,10 @@ class PieceIds:
     def __init__(self, encode_new: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
                  cache_pieces: int = 400_000):
         self._encode_new, self._max = encode_new, cache_pieces
-        self._reset()
+        self.clear()
 
-    def _reset(self) -> None:
+    def clear(self) -> None:
+        """Forget all pieces."""
         self._slot: dict[bytes, int] = {}
         self._flat = np.empty(1 << 16, np.int32)
         self._used = 0
@@ -224,7 +225,7 @@ class PieceIds:
             zero = np.zeros(len(texts), np.int64)
             return np.empty(0, np.int32), zero, np.empty(0, np.int32), zero
         if len(self._slot) > self._max:
-            self._reset()
+            self.clear()
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         slots = np.array([self._slot.get(p, -1) for p in distinct], np.int64)

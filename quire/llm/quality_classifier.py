@@ -35,6 +35,7 @@ FORMS, SHAPES = 28_672, 4_096  # units for words and for shapes
 UNITS = FORMS + SHAPES
 DIM, ONES = 32, 2  # index vectors: so many dimensions, so many of them +1 or -1
 CHUNK = 512  # units in one partial sum
+POOL_BYTES = 1 << 18  # text pooled at once: a word's vectors take some hundred times its bytes
 _BASE = 0x9E3779B97F4A7C15
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -251,7 +252,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_cl
     vectors = word_vectors(docs)
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_blocks(batches, "text"):
+        for rows, texts in text_blocks(batches, "text", POOL_BYTES):
             x = pooled(texts, vectors)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "y", "x"])
 
@@ -266,7 +267,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_blocks(batches):
+        for rows, texts in text_blocks(batches, "text", POOL_BYTES):
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(model.scores(texts))], ["doc_id", "score"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id bigint, score double").select(
@@ -280,7 +281,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = pa.RecordBatch.from_arrays([batch.column(at).fill_null("")], ["text"])
-            kept = [model.scores(texts) >= 0.5 for _, texts in text_blocks([own])]
+            kept = [model.scores(texts) >= 0.5 for _, texts in text_blocks([own], "text", POOL_BYTES)]
             yield batch.filter(pa.array(np.concatenate(kept) if kept else np.empty(0, bool)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -57,6 +57,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                  pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
                 ["doc_id", "part", "start_in_part", "n_tokens", "ids"])
             at += int(ends[-1])
+        enc.clear()
 
     ordered = doc_texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, _SCHEMA).write.options(**_WRITE).parquet(f"{path}/tokens")

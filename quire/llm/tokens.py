@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 from tokenizers import Tokenizer
 
+from quire.llm.common import release
 from quire.llm.pretoken import PieceIds
 
 
@@ -44,7 +45,10 @@ _worker: dict[str, PieceIds] = {}
 
 
 def worker_ids(path: str) -> PieceIds:
-    """One encoder for each Python worker, kept between tasks."""
+    """The Python worker's encoder for a task: the vocabulary stays between tasks,
+    the pieces of earlier tasks do not."""
     if path not in _worker:
         _worker[path] = library_ids(path)
+    _worker[path].clear()
+    release()
     return _worker[path]

@@ -16,12 +16,12 @@ def words(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     space = _SPACE[data]
     word = ~space
     last = word[:-1] & space[1:]  # the data ends with a space
-    kept = np.cumsum(word)
+    kept = np.cumsum(word, dtype=np.int32 if len(word) < 1 << 31 else np.int64)
     at = np.flatnonzero(last)
     lens = np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), np.int64, len(texts))
     stops = np.cumsum(lens + 1)
     upto = np.searchsorted(at, stops)
-    return data[word].tobytes(), kept[at], np.diff(upto, prepend=0)
+    return data[word].tobytes(), kept[at].astype(np.int64), np.diff(upto, prepend=0)
 
 
 def word_ids(flat: bytes, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
