@@ -23,7 +23,8 @@ Consecutive windows with the same token form a *span*; every window is in one.
 
 A null or empty text has no bytes; texts under ``size`` bytes lose nothing;
 repeated rows repeat each other; an empty table gives no rows. Matches never
-cross rows.
+cross rows. A text is held whole by one task, at about 60 bytes of memory for
+each of its bytes.
 """
 
 from __future__ import annotations
@@ -39,11 +40,13 @@ from quire.llm.pretoken import ranges
 
 GROUP_BYTES = 2 << 20
 BUCKET_BYTES = 24 << 20  # text whose spans make one bucket
+HOT_BYTES = 2 << 20  # text whose windows, if all hot, make one bucket: 16 bytes for each byte
 TOKEN = 32
 HOT = 1024
 BATCH = 8192  # spans that a bucket sorts at once
 PART_BYTES = 3 << 20  # text whose spans make one sorted bucket
-MAX_SPLITTERS = 16_384  # beyond, a range's tokens are dealt on by hash
+MAX_SPLITTERS = 16_384
+SPREAD = 4  # a range's tokens are dealt on by hash into so many parts, or more beyond MAX_SPLITTERS
 SAMPLED = 128  # one in so many documents gives splitters
 _BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D
 _BYTE = ex.mix(np.arange(1, 257, dtype=np.uint64)), ex.mix(np.arange(1001, 1257, dtype=np.uint64))
@@ -77,9 +80,9 @@ def sliding_argmin(h: np.ndarray, width: int) -> np.ndarray:
 class _Group:
     """Bytes, spans and windows of one group of texts."""
 
-    def __init__(self, texts: list[str], size: int, n_buckets: int, bits: int):
+    def __init__(self, texts: list[str], size: int, n_buckets: int, bits: int, n_hot: int = 1):
         raw = [t.encode() for t in texts]
-        self.size, self.n_buckets = size, n_buckets
+        self.size, self.n_hot = size, n_hot
         self.lens = np.array([len(b) for b in raw], np.int64)
         self.bytes = b"".join(raw)
         self.data = np.frombuffer(self.bytes, np.uint8)
@@ -147,7 +150,7 @@ class _Group:
         self.hot_item[order] = np.cumsum(new) - 1
         self.hot_keys = a[new], b[new]
         self.hot_multi = np.bincount(self.hot_item, minlength=int(new.sum())) > 1
-        self.hot_cuts = ex.bucket_cuts(self.hot_keys[0], self.n_buckets)
+        self.hot_cuts = ex.bucket_cuts(self.hot_keys[0], self.n_hot)
 
     def sent(self, group: int, splitters: np.ndarray, sub: int) -> pa.Table:
         """The spans to compare, by range of their token, and messages of the hot
@@ -320,17 +323,17 @@ def dedup(docs: DataFrame, size: int = 200) -> DataFrame:
     are the bytes that stay, ``n_spans`` the maximal removed runs."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = ex.text_bytes(own, "text")
-    n_groups, n_buckets = max(1, -(-total // GROUP_BYTES)), max(1, -(-total // BUCKET_BYTES))
+    n_groups, n_buckets, n_hot = (max(1, -(-total // b)) for b in (GROUP_BYTES, BUCKET_BYTES, HOT_BYTES))
     bits = min(64, max(total, 2).bit_length() + 6)
     grouped = ex.into_groups(own, "doc_id", "text", n_groups)
 
     parts = max(1, -(-total // PART_BYTES))
     n_ranges = min(parts, MAX_SPLITTERS)
-    sub = -(-parts // n_ranges)
+    sub = max(SPREAD, -(-parts // n_ranges))
     splitters = _splitters(own, size, n_ranges)
 
     def load(rows: pa.Table) -> _Group:
-        return _Group(ex.texts_of(rows, "text"), size, n_buckets, bits)
+        return _Group(ex.texts_of(rows, "text"), size, n_buckets, bits, n_hot)
 
     def send_spans(rows: pa.Table) -> pa.Table:
         return load(rows).spans(ex.group_of(rows))
