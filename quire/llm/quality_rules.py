@@ -1,10 +1,12 @@
 """Quality rules: word and line counts, and zstandard compression bands.
 
 A text's compression ratio (bytes over zstandard bytes) tells repetitive text
-(high) from incompressible text such as keys or encoded data (low). The whole
-text must lie in the band for its length, for longer texts compress better;
-and of its fixed chunks no more than a share may lie outside the chunk band,
-so a long text is not saved by its good half.
+(high) from random characters and base64 (low). The whole text must lie in the
+band for its length, for longer texts compress better; and of its fixed chunks
+no more than a share may lie outside the chunk band, so a long text is not
+saved by its good half. The low limits lie above base64 in words of four
+characters or more and below clean prose. Hexadecimal compresses as prose
+does (1.6 to 1.95), so a ratio cannot tell it.
 
 A null or empty text has no words and fails the base rules. Repeated rows are
 judged each for itself; an empty table gives no rows. Texts are read whole.
@@ -31,9 +33,10 @@ class Bands:
     size, band and the share of them that may lie outside it."""
 
     whole: tuple[tuple[float, float, float], ...] = (
-        (512, 0.90, 3.0), (2_048, 1.10, 3.5), (16_384, 1.20, 4.0), (131_072, 1.25, 5.0), (float("inf"), 1.25, 6.0))
+        (384, 1.25, 3.0), (512, 1.30, 3.0), (1_024, 1.38, 3.5), (2_048, 1.45, 3.5), (16_384, 1.50, 4.0),
+        (131_072, 1.50, 5.0), (float("inf"), 1.50, 6.0))
     chunk_bytes: int = 4_096
-    chunk: tuple[float, float] = (1.15, 4.0)
+    chunk: tuple[float, float] = (1.50, 4.0)
     chunk_share: float = 0.25
     min_words: int = 50
     max_repeat_percent: int = 50

@@ -1,10 +1,12 @@
 """Rules, SimHash and both substring dedups against brute force."""
+import base64
 import hashlib
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 
@@ -141,6 +143,24 @@ def test_bands_reject_repetitive_and_incompressible(spark):
     assert verdict["kept"].tolist() == [False, True, False]
 
 
+@pytest.mark.parametrize("size", [340, 400, 512, 520, 1000, 1500, 2048, 4000, 15_000, 60_000, 200_000])
+def test_default_bands_reject_base64_and_random_words(size):
+    rng = random.Random(size)
+    raw = rng.randbytes(size)
+    spaced = lambda s, k: " ".join(s[i:i + k] for i in range(0, len(s), k))[:size]
+    junk = [spaced(base64.b64encode(raw).decode(), k) for k in (4, 6, 9)] + [spaced("".join(chr(33 + x % 94) for x in raw), 6)]
+    found = quality_rules.measure(junk, quality_rules.Bands(min_words=0))
+    assert not found["base_failed"].any() and not found["kept"].any()
+
+
+def test_default_bands_keep_clean_texts():
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    labels = pq.read_table("/root/testdata/sf0.1/labels.parquet", columns=["doc_id", "quality"]).to_pylist()
+    clean = {r["doc_id"] for r in labels if r["quality"] == 1}
+    found = quality_rules.measure([r["text"] for r in docs if r["doc_id"] in clean and r["text"]], quality_rules.Bands())
+    assert found["kept"].sum() > 1000 and (found["kept"] | found["base_failed"]).all()
+
+
 def brute_print(t):
     t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     w = WORDS.findall(t)
