@@ -1,6 +1,7 @@
 """Sets of hashes exchanged between text groups and hash buckets.
 
-Rows are dealt into groups of a few megabytes of text. A group sends each
+Rows are dealt into groups of a few megabytes of text; equal rows too many
+for one group are dealt over all. A group sends each
 bucket of hash values one message: the distinct values it holds there, sorted
 and delta-coded, with a few bytes beside each. A value repeated in a group,
 however often, is sent once, so no bucket grows with a hot value. A bucket
@@ -14,12 +15,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import release
+from quire.llm.common import release, settle
 
 GROUP = "__group"
+GROUP_BYTES = 2 << 20
+ROW_BYTES = 64  # what a row counts besides its text
 MESSAGE = pa.schema([("bucket", pa.int32()), ("group", pa.int32()), ("keys", pa.binary()), ("data", pa.binary())])
 MESSAGE_DDL = "bucket int, group int, keys binary, data binary"
 ANSWER = pa.schema([("kind", pa.int32()), ("group", pa.int32()), ("bucket", pa.int32()), ("status", pa.binary())])
@@ -30,9 +33,27 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
 
 
-def into_groups(docs: DataFrame, id_col: str, text_col: str, n_groups: int) -> DataFrame:
-    """All columns and the row's group, by a hash of id and text."""
-    return docs.select("*", F.pmod(F.xxhash64(id_col, text_col), F.lit(n_groups)).cast("int").alias(GROUP))
+def into_groups(docs: DataFrame, id_col: str, text_col: str, n_groups: int, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """All columns and the row's group, by a hash of id and text.
+
+    Rows of one id and text that together exceed ``group_bytes`` are dealt over
+    all groups by partition and row number, and written, so that every pass
+    finds a row in the same group."""
+    if n_groups < 2:
+        return docs.select("*", F.lit(0).alias(GROUP))
+    key = F.xxhash64(id_col, text_col)
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_BYTES
+    heavy = settle(docs.groupBy(key.alias("__heavy")).agg(F.sum(size).alias("n")).where(F.col("n") > group_bytes).select("__heavy"), "heavy-rows")
+
+    def dealt(rows: DataFrame, by: Column) -> DataFrame:
+        return rows.select("*", F.pmod(by, F.lit(n_groups)).cast("int").alias(GROUP))
+
+    if heavy.isEmpty():
+        return dealt(docs, key)
+    few = F.broadcast(heavy)  # at most one for each ``group_bytes`` of the corpus
+    often = docs.join(few, key == F.col("__heavy"), "left_semi")
+    often = settle(dealt(often, F.xxhash64(F.monotonically_increasing_id())), "heavy-dealt")
+    return dealt(docs.join(few, key == F.col("__heavy"), "left_anti"), key).unionAll(often)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

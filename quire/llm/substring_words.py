@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from quire.llm import exchange as ex
 from quire.llm.words import single_spaced, text_of, word_ids, words
 
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = ex.GROUP_BYTES
 BUCKET_BYTES = 6 << 20
 _BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4D  # odd multipliers
 ANCHOR, WINDOW = 0, 1  # kinds of answers
@@ -156,7 +156,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     total = ex.text_bytes(docs, text_col)
     n_groups, n_buckets = max(1, -(-total // GROUP_BYTES)), max(1, -(-total // BUCKET_BYTES))
     bits = min(64, max(total, 2).bit_length() + 10)  # a probe meets another by chance once in some thousands
-    grouped = ex.into_groups(docs, id_col, text_col, n_groups)
+    grouped = ex.into_groups(docs, id_col, text_col, n_groups, GROUP_BYTES)
 
     def load(rows: pa.Table) -> _Group:
         return _Group(ex.texts_of(rows, text_col), window, n_buckets, bits)

@@ -38,7 +38,7 @@ from quire.llm import exchange as ex
 from quire.llm.common import text_blocks
 from quire.llm.pretoken import ranges
 
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = ex.GROUP_BYTES
 BUCKET_BYTES = 24 << 20  # text whose spans make one bucket
 HOT_BYTES = 2 << 20  # text whose windows, if all hot, make one bucket: 16 bytes for each byte
 TOKEN = 32
@@ -325,7 +325,7 @@ def dedup(docs: DataFrame, size: int = 200) -> DataFrame:
     total = ex.text_bytes(own, "text")
     n_groups, n_buckets, n_hot = (max(1, -(-total // b)) for b in (GROUP_BYTES, BUCKET_BYTES, HOT_BYTES))
     bits = min(64, max(total, 2).bit_length() + 6)
-    grouped = ex.into_groups(own, "doc_id", "text", n_groups)
+    grouped = ex.into_groups(own, "doc_id", "text", n_groups, GROUP_BYTES)
 
     parts = max(1, -(-total // PART_BYTES))
     n_ranges = min(parts, MAX_SPLITTERS)

@@ -9,7 +9,9 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from quire.llm import exchange as ex
 from quire.llm import quality_rules, simhash, substring_words, suffix_dedup
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,6 +102,32 @@ def test_suffix_dedup(spark, monkeypatch, seed, size, hot):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == want
 
 
+def test_equal_rows_spread_over_groups(spark):
+    same = spark.range(0, 6000, 1, 4).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("word " * 200).alias("text"))
+    blank = spark.range(0, 100_000, 1, 4).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    own = spark.range(0, 6000, 1, 4).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("x"), "id", F.lit(" ")), 150).alias("text"))
+    docs = same.unionAll(own).unionAll(blank)
+    grouped = ex.into_groups(docs, "doc_id", "text", 8)
+    assert grouped.columns == ["doc_id", "text", ex.GROUP]
+    found = [grouped.groupBy(ex.GROUP).agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).collect() for _ in range(2)]
+    assert sorted(found[0]) == sorted(found[1]) and sum(r["rows"] for r in found[0]) == 112_000
+    assert len(found[0]) == 8 and max(r.n for r in found[0]) < 3 << 20 and max(r["rows"] for r in found[0]) < 20_000
+
+
+@pytest.mark.parametrize("dedup,brute", [
+    (lambda d: substring_words.dedup(d).select("doc_id", "n_words", "n_removed", "kept_text"), lambda t: brute_words(t, 35)),
+    (lambda d: suffix_dedup.dedup(d).withColumn("kept", F.decode("kept", "utf-8")), lambda t: [(*b[:3], b[3].decode()) for b in brute_bytes(t, 200)])])
+def test_rows_equal_in_id_and_text(spark, monkeypatch, dedup, brute):
+    for module in (substring_words, suffix_dedup):
+        monkeypatch.setattr(module, "GROUP_BYTES", 4000)
+    texts = [t for t in corpus(11) if t and t.isascii() or not t]
+    texts += [" ".join(f"w{i}" for i in range(90))] * 40 + [None] * 80
+    rows = [(None, t) for t in texts] + [(1, t) for t in texts[:20]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    want = Counter((r[0], *b) for r, b in zip(rows, brute([t for _, t in rows])))
+    assert Counter(tuple(r) for r in dedup(docs).collect()) == want
+
+
 def test_multikey_sort():
     rng = np.random.default_rng(0)
     rows = rng.integers(0, 3, (500, 21), dtype=np.uint8)
