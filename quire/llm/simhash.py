@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import doc_texts, settle, text_blocks
@@ -56,14 +56,18 @@ def fingerprint(texts: list[str], shingle: int = 3) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp bigint)``, a row for each document."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: Column | None = None) -> DataFrame:
+    """``(doc_id, fp bigint)``, a row for each document; with ``key``, a bigint of
+    its ``text``, also that."""
+    own, names = doc_texts(docs), ["doc_id", "fp"]
+    if key is not None:
+        own, names = own.withColumn("key", key), [*names, "key"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(batches):
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fingerprint(texts, shingle))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fingerprint(texts, shingle)), *rows.columns[2:]], names)
 
-    return doc_texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+    return own.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
 
 
 def _ball(radius: int) -> list[int]:
@@ -86,35 +90,34 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return met.where("b < a").distinct().where(far <= max_bits)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)``: ``component_id`` is the least ``doc_id`` that
-    links reach (null if the group has no id)."""
-    prints = settle(fingerprints(docs, shingle), "simhash")
+def _groups(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, root, component_id)`` for every distinct ``fp`` of ``(doc_id, fp)``
+    rows; ``root`` names the group itself, for ids may repeat."""
     fps = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = settle(components(links(fps, max_bits)), "simhash-roots")
     placed = settle(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                     .select("fp", F.coalesce("root", "fp").alias("root"), "least"), "simhash-placed")
     named = settle(placed.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-named")
-    by_fp = settle(placed.join(named, "root").select("fp", "component_id"), "simhash-groups")
-    return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return settle(placed.join(named, "root").select("fp", "root", "component_id"), "simhash-groups")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``(doc_id, fp, component_id)``: ``component_id`` is the least ``doc_id`` that
+    links reach (null if the group has no id)."""
+    prints = settle(fingerprints(docs, shingle), "simhash")
+    return prints.join(_groups(prints, max_bits), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs``, all columns, one of each group: that of the least
-    ``doc_id`` (of repeated rows one; rows without an id stay only where their
-    group has none, one of them)."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    stay = settle(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "simhash-stay")
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    bare = found.where(F.col("component_id").isNull()).select("fp").distinct()
-    if bare.isEmpty():
-        return kept
-    # rows without any id: one text for each group of them
-    roots = components(links(bare, max_bits))
-    own = docs.where(F.col("doc_id").isNull())
-    texts = fingerprints(own.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("doc_id"), "text"), shingle)
-    least = (texts.join(bare, "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-             .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("doc_id").alias("h")))
-    own = own.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    own = own.join(least.select(F.col("h").alias("__h")), "__h", "left_semi").dropDuplicates(["__h"])
-    return kept.unionByName(own.select(kept.columns))
+    ``doc_id``; of several texts with that id, the one of the least hash, and of
+    repeated rows one. Rows without an id stay only where their group has none."""
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    prints = settle(fingerprints(docs, shingle, key), "simhash")
+    found = prints.join(_groups(prints, max_bits), "fp")
+    stay = settle(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                  .groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("key").alias("__key"))
+                  .select(F.coalesce("__id", F.lit(0)).alias("__id"), F.isnull("__id").alias("__bare"), "__key"), "simhash-stay")
+    by = ["__id", "__bare", "__key"]
+    own = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__bare": F.isnull("doc_id"), "__key": key})
+    return own.join(stay, by, "left_semi").dropDuplicates(by).select(*(F.col(f"`{c}`") for c in docs.columns))

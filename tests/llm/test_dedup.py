@@ -256,6 +256,17 @@ def test_rows_without_ids(spark):
     assert kept == [(False, 4, "p q r s t"), (True, 0, ""), (True, 0, "a b c d")]
 
 
+def test_keep_one_with_repeated_ids(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    def kept(*rows):
+        docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id bigint, text string, source string")
+        return sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=str)
+    assert kept((5, x), (5, y)) == [(5, x), (5, y)]
+    assert kept((3, x), (5, x), (5, y)) == [(3, x), (5, y)]
+    assert kept((0, x), (None, y), (None, z), (None, y), (0, y)) == [(0, x), (0, y), (None, z)]
+    assert len(kept((5, x), (5, x.upper()), (5, x), (7, x))) == 1  # two texts with one fingerprint
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert substring_words.dedup(none).count() == 0
