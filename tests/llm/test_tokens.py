@@ -10,7 +10,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from quire.llm import bpe, packing, pretoken, token_files
+from quire.llm import bpe, packing, pretoken, token_files, tokens
 from quire.llm.queries import RANKS, TOKENIZER
 
 TEXTS = ["", None, " ", "\n\n  x", "don't I'll we've 'RE 're's", "a" * 3000, "été über ñandú 字 \U0001F600 1234 ٣",
@@ -106,6 +106,36 @@ def test_token_files(spark, docs, tmp_path):
     assert all(sums[r.doc_id, r.start] == zlib.crc32(np.array(r.ids, "<u4")) for r in got)
 
 
+ADDED = ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a <|endoftext|>", "é\n <|endoftext|>  \n字<|endoftext|>'s",
+         "<|endoftext|", "<<|endoftext|>|>", "plain", "", "<|endoftext|>" * 1500, "<|ENDOFTEXT|> don't"]
+
+
+def test_added_tokens_as_the_library_by_default():
+    tok = Tokenizer.from_file(TOKENIZER)
+    enc = tokens.library_ids(TOKENIZER)
+    rng = random.Random(6)
+    some = ["".join(rng.choices(["<|endoftext|>", " ", "  ", "word", "'s", "\n", "é", "<|", "|>", "7"], k=rng.randint(0, 30))) for _ in range(200)]
+    for texts in (ADDED, some, TEXTS[2:], [""], []):
+        ids, counts, offsets, pieces = enc.encode(texts)
+        want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert counts.tolist() == [len(w) for w in want]
+        assert len(offsets) == pieces.sum()
+        for t, o in zip(texts, np.split(offsets, np.cumsum(pieces)[:-1]) if texts else []):
+            assert not len(o) or o[0] == 0 and (np.diff(o) > 0).all() and o[-1] < len(t.encode())
+
+
+def test_added_tokens_in_packing_and_files(spark, tmp_path):
+    tok = Tokenizer.from_file(TOKENIZER)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in ADDED]
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id bigint, text string").repartition(2)
+    token_files.write_tokens(docs, str(tmp_path / "t"), TOKENIZER)
+    got = sorted(token_files.read_tokens(spark, str(tmp_path / "t")).collect(), key=lambda r: r.doc_id)
+    assert [r.ids for r in got] == [w + [2] for w in want]
+    found = packing.pieces(packing.pack(docs, TOKENIZER, window=1 << 14)).collect()
+    assert {(r.doc_id, r.length, r.ids_crc32) for r in found} == {(i, len(w) + 1, zlib.crc32(np.array(w + [0], "<u4"))) for i, w in enumerate(want)}
+
+
 def test_empty_tables(spark, docs, tmp_path):
     none = docs.limit(0)
     assert bpe.decode(bpe.encode(none, RANKS), RANKS).count() == 0
