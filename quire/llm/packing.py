@@ -24,52 +24,111 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import doc_texts, settle, text_blocks
+from quire.llm.pretoken import ranges
 from quire.llm.tokens import worker_ids
 
-BLOCK_TOKENS = 16_384
+BLOCK_TOKENS = 65_536
+TEXT_BYTES = 4 << 20  # text that is tokenised at once
 
 _PIECE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                     ("doc_tokens", pa.int64()), ("at", pa.int64())])
-_BLOCK = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()),
-                    ("pieces", pa.list_(_PIECE))])
-_BLOCK_DDL = ("part int, at bigint, n bigint, ids binary, pieces array<struct<doc_id: bigint, start: bigint, "
-              "length: bigint, doc_tokens: bigint, at: bigint>>")
+_PIECES_DDL = "array<struct<doc_id: bigint, start: bigint, length: bigint, doc_tokens: bigint, {}: bigint>>"
+_BLOCK_DDL = "part int, at bigint, n bigint, ids binary, pieces " + _PIECES_DDL.format("at")
+_WINDOW_DDL = "sequence_id bigint, n_tokens bigint, ids binary, pieces " + _PIECES_DDL.format("offset")
 
 
-def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """The token stream of each task as blocks of ``BLOCK_TOKENS`` (the last
+def _piece_lists(offsets: np.ndarray, doc_ids: pa.Array, start: np.ndarray, length: np.ndarray, total: np.ndarray,
+                 at: np.ndarray, last: str) -> pa.ListArray:
+    values = pa.StructArray.from_arrays([doc_ids, *map(pa.array, (start, length, total, at))],
+                                        ["doc_id", "start", "length", "doc_tokens", last])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
+def _binaries(cuts: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """The ids between consecutive ``cuts`` as little-endian unsigned 32-bit integers."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [
+        None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+
+
+def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """The token stream of each task as blocks of ``block_tokens`` (the last
     shorter): task, position in its stream, ids as little-endian unsigned 32-bit
     integers, and the pieces of documents (``at``: position in the block)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = worker_ids(tokenizer_path), TaskContext.get().partitionId(), 0
-        held, fill, pieces = [], 0, []
-
-        def block() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist(
-                [{"part": part, "at": at, "n": fill, "ids": np.concatenate(held).astype("<u4").tobytes(),
-                  "pieces": pieces}], _BLOCK)
-
-        for rows, texts in text_blocks(batches):
+        stream = np.empty(0, np.int32)  # what no block holds yet, and its documents:
+        doc_ids, none = pa.array([], pa.int64()), np.empty(0, np.int64)
+        begin, start, total = none, none, none  # place in the stream, ids before it, all of the document's
+
+        def blocks(upto: int) -> pa.RecordBatch:
+            edges = np.append(np.arange(0, upto, block_tokens), upto)
+            cuts = np.union1d(begin[begin < upto], edges[:-1])
+            own = np.searchsorted(begin, cuts, side="right") - 1
+            lists = _piece_lists(np.searchsorted(cuts, edges), doc_ids.take(pa.array(own)), start[own] + cuts - begin[own],
+                                 np.append(cuts[1:], upto) - cuts, total[own], cuts % block_tokens, "at")
+            n = len(edges) - 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, part, np.int32)), pa.array(at + edges[:-1]), pa.array(np.diff(edges)),
+                 _binaries(edges, stream[:upto]), lists], ["part", "at", "n", "ids", "pieces"])
+
+        for rows, texts in text_blocks(batches, max_bytes=TEXT_BYTES):
             ids, counts, _, _ = enc.encode(texts)
-            ends = np.cumsum(counts)
-            for doc_id, lo, n in zip(rows.column(0).to_pylist(), (ends - counts).tolist(), counts.tolist()):
-                doc, total, done = np.append(ids[lo:lo + n], np.int32(end_id)), n + 1, 0
-                while done < total:
-                    take = min(total - done, BLOCK_TOKENS - fill)
-                    held.append(doc[done:done + take])
-                    pieces.append({"doc_id": doc_id, "start": done, "length": take, "doc_tokens": total, "at": fill})
-                    done, fill = done + take, fill + take
-                    if fill == BLOCK_TOKENS:
-                        yield block()
-                        at, held, fill, pieces = at + fill, [], 0, []
-        if fill:
-            yield block()
-        enc.clear()
+            own = counts + 1
+            begin = np.concatenate([begin, len(stream) + np.cumsum(own) - own])
+            start, total = np.concatenate([start, np.zeros_like(own)]), np.concatenate([total, own])
+            doc_ids = pa.concat_arrays([doc_ids, rows.column(0)])
+            stream = np.concatenate([stream, np.insert(ids, np.cumsum(counts), end_id)])
+            upto = len(stream) // block_tokens * block_tokens
+            if upto:
+                yield blocks(upto)
+                at += upto
+                stream = stream[upto:].copy()
+                first = int(np.searchsorted(begin, upto, side="right")) - 1 if len(stream) else len(begin)
+                doc_ids, begin, start, total = doc_ids.slice(first), begin[first:] - upto, start[first:], total[first:]
+                if len(begin) and begin[0] < 0:  # a document that the cut parts
+                    start[0], begin[0] = start[0] - begin[0], 0
+        if len(stream):
+            yield blocks(len(stream))
 
     return doc_texts(docs).mapInArrow(run, _BLOCK_DDL)
 
 
+def _whole_windows(placed: DataFrame, window: int) -> DataFrame:
+    """The windows that lie inside one block of ``placed`` (``g``: the block's
+    start in the global stream), with the pieces cut at their borders."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g, n = (np.array(batch.column(c), np.int64) for c in (0, 1))
+            ids = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4")
+            lists = batch.column(3)
+            per_block, values = np.array(lists.value_lengths(), np.int64), lists.flatten()
+            begin = np.cumsum(n) - n  # blocks side by side, in their own order
+            start, total, at = (values.field(k).to_numpy() for k in (1, 3, 4))
+            at = at + np.repeat(begin, per_block)
+            first = -(-g // window) * window
+            inside = np.maximum((g + n - first) // window, 0)  # complete windows of each block
+            block = np.repeat(np.arange(len(n)), inside)
+            seq = np.repeat(first // window, inside) + np.arange(len(block)) - np.repeat(np.cumsum(inside) - inside, inside)
+            lo = seq * window - g[block] + begin[block]
+            borders = np.union1d(lo, lo + window)
+            cuts = np.union1d(at, borders)
+            own = np.searchsorted(at, cuts, side="right") - 1
+            length = np.append(cuts[1:], len(ids)) - cuts
+            from_, to = np.searchsorted(cuts, lo), np.searchsorted(cuts, lo + window)
+            take = ranges(from_, to - from_)
+            offsets = np.concatenate([[0], np.cumsum(to - from_)])
+            out = _piece_lists(offsets, values.field(0).take(pa.array(own[take])), (start[own] + cuts - at[own])[take], length[take],
+                               total[own[take]], cuts[take] - np.repeat(lo, to - from_), "offset")
+            own_ids = ids[ranges(lo, np.full(len(lo), window))] if len(lo) else ids[:0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seq), pa.array(np.full(len(seq), window)), _binaries(np.arange(len(seq) + 1) * window, own_ids), out],
+                ["sequence_id", "n_tokens", "ids", "pieces"])
+
+    return placed.select("g", "n", "ids", "pieces").mapInArrow(run, _WINDOW_DDL)
+
+
 def _cut(blocks: DataFrame, windows: Column, window: int) -> DataFrame:
     """The parts of ``blocks`` (with global start ``g``) in the given windows."""
     cut = blocks.select("g", "n", "ids", "pieces", F.explode(windows).alias("sequence_id"))
@@ -90,7 +149,8 @@ def _cut(blocks: DataFrame, windows: Column, window: int) -> DataFrame:
                       F.transform(own, clip).alias("pieces"))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0,
+         block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``(sequence_id, n_tokens, padded_length, ids, pieces)``: a row for each
     sequence. ``ids`` are its tokens as little-endian unsigned 32-bit integers
     without padding; ``pieces`` its parts of documents in order; a sequence is
@@ -100,7 +160,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
     each input partition.
     """
     spark = docs.sparkSession
-    blocks = settle(token_blocks(docs, tokenizer_path, end_id), "pack-blocks")
+    blocks = settle(token_blocks(docs, tokenizer_path, end_id, block_tokens), "pack-blocks")
     totals = sorted((r.part, r.n) for r in blocks.groupBy("part").agg(F.sum("n").alias("n")).collect())
     base = accumulate((n for _, n in totals), initial=0)
     offsets = spark.createDataFrame([(p, b) for (p, _), b in zip(totals, base)], "part int, base bigint")
@@ -110,7 +170,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
     first = F.floor(F.col("g") / window)
     inner_first = F.ceil(F.col("g") / window)
     inner_last = F.floor((F.col("g") + F.col("n")) / window) - 1
-    whole = _cut(placed.where(inner_first <= inner_last), F.sequence(inner_first, inner_last), window)
+    whole = _whole_windows(placed, window)
     edge = F.filter(F.array_distinct(F.array(first, last)),
                     lambda s: ~s.between(inner_first, inner_last))
     joined = (_cut(placed, edge, window).groupBy("sequence_id")
@@ -118,7 +178,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
               .select("sequence_id", F.aggregate("parts", F.lit(0).cast("bigint"), lambda n, p: n + p["n_tokens"]).alias("n_tokens"),
                       F.aggregate("parts", F.lit(b""), lambda b, p: F.concat(b, p["ids"])).alias("ids"),
                       F.flatten(F.transform("parts", lambda p: p["pieces"])).alias("pieces")))
-    out = whole.select("sequence_id", "n_tokens", "ids", "pieces").unionByName(joined)
+    out = whole.unionByName(joined)
     two_power = F.col("n_tokens").bitwiseAND(F.col("n_tokens") - 1) == 0
     return out.select("sequence_id", "n_tokens",
                       F.when(two_power, F.col("n_tokens")).otherwise(F.lit(window).cast("bigint")).alias("padded_length"), "ids", "pieces")

@@ -1,6 +1,7 @@
 """Token-id files: Parquet list columns that can be read in part.
 
-Documents are range-partitioned and sorted by id, tokenised in that order and
+Documents are range-partitioned and sorted by id (those of one id, or none, by a
+hash of their text and their place, so they need not meet in one task), tokenised in that order and
 written as one Parquet folder. Ids are a dictionary-encoded list column;
 the number columns are delta-encoded; row groups are small and every column
 has a page index, so a reader of a few documents, or of the numbers only,
@@ -8,7 +9,7 @@ reads those pages and columns alone. A manifest holds each part's token total
 and offset, so a document's global position needs no pass over the ids.
 
 A null or empty text is its end id alone; documents with a null id come
-first; rows of one id are ordered by their text; an empty table gives files
+first; rows of one id are ordered by a hash of their text; an empty table gives files
 without rows.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import doc_texts, text_blocks
+from quire.llm.packing import TEXT_BYTES
 from quire.llm.tokens import worker_ids
 
 _SCHEMA = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, ids array<int>"
@@ -46,7 +48,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = worker_ids(tokenizer_path), TaskContext.get().partitionId(), 0
-        for rows, texts in text_blocks(batches):
+        for rows, texts in text_blocks(batches, max_bytes=TEXT_BYTES):
             ids, counts, _, _ = enc.encode(texts)
             ids = np.insert(ids, np.cumsum(counts), end_id)
             counts = counts + 1
@@ -57,9 +59,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                  pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
                 ["doc_id", "part", "start_in_part", "n_tokens", "ids"])
             at += int(ends[-1])
-        enc.clear()
 
-    ordered = doc_texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    own = doc_texts(docs).select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"))
+    ordered = own.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     ordered.mapInArrow(run, _SCHEMA).write.options(**_WRITE).parquet(f"{path}/tokens")
     spark = docs.sparkSession
     totals = sorted((r.part, r.n) for r in spark.read.schema(_SCHEMA).parquet(f"{path}/tokens")

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import accumulate
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from quire.llm.common import release
 from quire.llm.pretoken import PieceIds
 
 
@@ -62,13 +62,16 @@ def library_ids(path: str) -> PieceIds:
     added = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
     if any(t.single_word or t.lstrip or t.rstrip for t in tokenizer.get_added_tokens_decoder().values()):
         raise ValueError("added tokens that depend on the text around them are not supported")
-    written = byte_characters()
+    written = np.array([c for _, c in sorted(byte_characters().items())], "<u4")
 
     def encode_new(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        chars = written[raw].tobytes().decode("utf-32-le")  # a character for each byte
+        ends = list(accumulate(map(len, pieces)))
         flat: list[int] = []
         lens = []
-        for p in pieces:
-            ids = [t.id for t in tokenize(p.decode("latin-1").translate(written))]
+        for lo, hi in zip([0, *ends], ends):
+            ids = [t.id for t in tokenize(chars[lo:hi])]
             flat += ids
             lens.append(len(ids))
         return np.array(flat, np.int32), np.array(lens, np.int64)
@@ -80,10 +83,8 @@ _worker: dict[str, PieceIds] = {}
 
 
 def worker_ids(path: str) -> PieceIds:
-    """The Python worker's encoder for a task: the vocabulary stays between tasks,
-    the pieces of earlier tasks do not."""
+    """The Python worker's encoder; vocabulary and cached pieces (at most a few
+    tens of MB) stay between tasks."""
     if path not in _worker:
         _worker[path] = library_ids(path)
-    _worker[path].clear()
-    release()
     return _worker[path]

@@ -40,6 +40,28 @@ def test_split_equals_pattern():
         assert counts.tolist() == [len(w) for w in want]
 
 
+def test_split_of_other_white_space_and_apostrophes():
+    rng, pat = random.Random(4), regex.compile(P.PATTERN)
+    alphabet = list(" \u00a0\u3000\u2003\x85\tlrveL字aé1\U0001F600" + "'" * 4)
+    for _ in range(500):
+        texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 90))) for _ in range(4)]
+        pieces, counts = pretoken.split(texts)
+        want = [pat.findall(t) for t in texts]
+        assert pieces.to_pylist() == [p.encode() for w in want for p in w]
+        assert counts.tolist() == [len(w) for w in want]
+
+
+def test_cache_is_bounded_and_changes_nothing():
+    enc, fresh = tokens.library_ids(TOKENIZER), tokens.library_ids(TOKENIZER)
+    enc._max = 300
+    rng = random.Random(8)
+    for _ in range(40):
+        texts = ["".join(rng.choices("abcdefgh ", k=400)) for _ in range(3)]
+        fresh.clear()
+        assert [x.tolist() for x in enc.encode(texts)] == [x.tolist() for x in fresh.encode(texts)]
+        assert len(enc._known) < 1200
+
+
 def test_merges_equal_tiktoken():
     ranks = bpe.read_ranks(RANKS)
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -61,10 +83,11 @@ def test_bpe_round_trip(spark, docs):
         assert by_text[r.doc_id, (r.text or "").encode()] == enc.encode_ordinary(r.text or "")
 
 
-@pytest.mark.parametrize("window", [16, 1024])
-def test_packing(docs, window):
+@pytest.mark.parametrize("window, block", [(16, 65_536), (1024, 65_536), (16, 100), (64, 16), (1024, 2048)])
+def test_packing(docs, window, block):
+    """Documents and windows longer than a block included."""
     ids_of = reference_ids()
-    packed = packing.pack(docs, TOKENIZER, window=window)
+    packed = packing.pack(docs, TOKENIZER, window=window, block_tokens=block)
     seqs = sorted(packed.collect(), key=lambda r: r.sequence_id)
     assert [s.sequence_id for s in seqs] == list(range(len(seqs)))
     assert all(s.n_tokens == window for s in seqs[:-1])
