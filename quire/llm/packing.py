@@ -23,11 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import doc_texts, settle, text_blocks
+from quire.llm.common import doc_texts, release, settle, text_blocks
 from quire.llm.pretoken import ranges
 from quire.llm.tokens import worker_ids
 
 BLOCK_TOKENS = 65_536
+BLOCKS_AT_ONCE = 16  # blocks that pass 2 cuts at once
 TEXT_BYTES = 4 << 20  # text that is tokenised at once
 
 _PIECE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
@@ -98,33 +99,37 @@ def _whole_windows(placed: DataFrame, window: int) -> DataFrame:
     """The windows that lie inside one block of ``placed`` (``g``: the block's
     start in the global stream), with the pieces cut at their borders."""
 
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        g, n = (np.array(batch.column(c), np.int64) for c in (0, 1))
+        lists = batch.column(3)
+        per_block, values = np.array(lists.value_lengths(), np.int64), lists.flatten()
+        begin = np.cumsum(n) - n  # blocks side by side, in their own order
+        start, total, at = (values.field(k).to_numpy() for k in (1, 3, 4))
+        at = at + np.repeat(begin, per_block)
+        first = -(-g // window) * window
+        inside = np.maximum((g + n - first) // window, 0)  # complete windows of each block
+        block = np.repeat(np.arange(len(n)), inside)
+        seq = np.repeat(first // window, inside) + np.arange(len(block)) - np.repeat(np.cumsum(inside) - inside, inside)
+        lo = seq * window - g[block] + begin[block]
+        cuts = np.union1d(at, np.union1d(lo, lo + window))
+        own = np.searchsorted(at, cuts, side="right") - 1
+        length = np.append(cuts[1:], n.sum()) - cuts
+        since, to = np.searchsorted(cuts, lo), np.searchsorted(cuts, lo + window)
+        take = ranges(since, to - since)
+        pieces = _piece_lists(np.concatenate([[0], np.cumsum(to - since)]), values.field(0).take(pa.array(own[take])),
+                              (start[own] + cuts - at[own])[take], length[take], total[own[take]],
+                              cuts[take] - np.repeat(lo, to - since), "offset")
+        ids = b"".join(memoryview(b)[4 * a:4 * (a + k * window)] for b, a, k in
+                       zip((x.as_buffer() for x in batch.column(2)), (first - g).tolist(), inside.tolist()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(seq), pa.array(np.full(len(seq), window)),
+             _binaries(np.arange(len(seq) + 1) * window, np.frombuffer(ids, "<u4")), pieces], ["sequence_id", "n_tokens", "ids", "pieces"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g, n = (np.array(batch.column(c), np.int64) for c in (0, 1))
-            ids = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4")
-            lists = batch.column(3)
-            per_block, values = np.array(lists.value_lengths(), np.int64), lists.flatten()
-            begin = np.cumsum(n) - n  # blocks side by side, in their own order
-            start, total, at = (values.field(k).to_numpy() for k in (1, 3, 4))
-            at = at + np.repeat(begin, per_block)
-            first = -(-g // window) * window
-            inside = np.maximum((g + n - first) // window, 0)  # complete windows of each block
-            block = np.repeat(np.arange(len(n)), inside)
-            seq = np.repeat(first // window, inside) + np.arange(len(block)) - np.repeat(np.cumsum(inside) - inside, inside)
-            lo = seq * window - g[block] + begin[block]
-            borders = np.union1d(lo, lo + window)
-            cuts = np.union1d(at, borders)
-            own = np.searchsorted(at, cuts, side="right") - 1
-            length = np.append(cuts[1:], len(ids)) - cuts
-            from_, to = np.searchsorted(cuts, lo), np.searchsorted(cuts, lo + window)
-            take = ranges(from_, to - from_)
-            offsets = np.concatenate([[0], np.cumsum(to - from_)])
-            out = _piece_lists(offsets, values.field(0).take(pa.array(own[take])), (start[own] + cuts - at[own])[take], length[take],
-                               total[own[take]], cuts[take] - np.repeat(lo, to - from_), "offset")
-            own_ids = ids[ranges(lo, np.full(len(lo), window))] if len(lo) else ids[:0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seq), pa.array(np.full(len(seq), window)), _binaries(np.arange(len(seq) + 1) * window, own_ids), out],
-                ["sequence_id", "n_tokens", "ids", "pieces"])
+            release()
+            for lo in range(0, batch.num_rows, BLOCKS_AT_ONCE):
+                yield cut(batch.slice(lo, BLOCKS_AT_ONCE))
 
     return placed.select("g", "n", "ids", "pieces").mapInArrow(run, _WINDOW_DDL)
 
