@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe, packing, quality_classifier, quality_rules, simhash, substring_words, suffix_dedup,
+from quire.llm import (bpe, conversations, packing, quality_classifier, quality_rules, simhash, substring_words, suffix_dedup,
                        token_files, topk, toxicity)
 from quire.llm.common import settled_path
 from quire.sources.tables import read_table
@@ -67,9 +67,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations; one with no rows left after the damage has zeros."""
+    rows = read_table(spark, sf_dir, "conversations")
+    done = conversations.digest(conversations.repair(conversations.damage(rows)))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    of = every.join(done, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return of.select(F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+                     F.coalesce("audit", F.lit("")).alias("audit"),
+                     F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_substring_words, op3_quality_classifier, op4_maxscore, op5_toxicity, op6_suffix_array,
-    op7_bpe, op8_token_files, op9_quality_rules, op10_simhash)}
+    op7_bpe, op8_token_files, op9_quality_rules, op10_simhash, op11_conversation_repair)}
 
 #: What SQL can express; the other operators are tested against brute force.
 ORACLE: dict[str, str] = {
@@ -109,4 +121,53 @@ SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT
                 WHEN i = len(starts) THEN substr(h, 2 * ends[i] + 1)
                 ELSE substr(h, 2 * ends[i] + 1, 2 * (starts[i + 1] - ends[i])) END), '') END)) AS kept_sha256
 FROM d LEFT JOIN cut USING (r)""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i AS v FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+k AS (SELECT c.*, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+                                  lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS kind FROM c, tab),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE kind <> 0),
+o AS (SELECT conv_id, turn, role, text, rpad(left(role, 1), 1, ' ') AS ini,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'B'
+                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'D'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'T' ELSE ' ' END AS fault,
+             lag(ini) OVER (PARTITION BY conv_id ORDER BY rn) || ini AS pair FROM o),
+w AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS rn, 0 AS q, {'cost': 0, 'audit': '', 'lines': []::VARCHAR[]} AS s FROM f
+  UNION ALL
+  SELECT conv_id, rn, q, min(s) FROM (
+    SELECT conv_id, rn, CASE e WHEN 'D' THEN q1 WHEN 'R' THEN CASE q1 WHEN 2 THEN 3 ELSE 2 END ELSE
+             CASE ini WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END END AS q,
+           {'cost': cost + CASE e WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END + CASE WHEN e <> 'D' AND fault = 'T' THEN 1 ELSE 0 END,
+            'audit': audit || e,
+            'lines': CASE e WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+                     ELSE list_append(lines, CASE q1 WHEN 2 THEN 'assistant:' ELSE 'user:' END || text) END} AS s
+    FROM (SELECT w.conv_id, f.rn, f.ini, f.fault, f.role, f.text, e.e,
+                 CASE WHEN i.i = 0 THEN w.q WHEN w.q = 2 THEN 3 ELSE 2 END AS q1, w.s.cost + 2 * i.i AS cost,
+                 w.s.audit || repeat('I', i.i) AS audit,
+                 CASE WHEN i.i = 0 THEN w.s.lines ELSE list_append(w.s.lines, CASE w.q WHEN 2 THEN 'assistant:' ELSE 'user:' END) END AS lines
+          FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.rn = w.rn + 1
+               CROSS JOIN (VALUES (0), (1)) i(i) CROSS JOIN (VALUES ('D'), ('K'), ('R')) e(e))
+    WHERE e = 'D' OR fault NOT IN ('B', 'D') AND (e = 'R' OR ini = 's' AND q1 = 0 OR ini = 'u' AND q1 <> 2 OR ini = 'a' AND q1 = 2))
+  GROUP BY conv_id, rn, q),
+sums AS (SELECT conv_id, max(rn) AS n, count(DISTINCT turn) AS turns, max(turn) AS hi, min(turn) AS lo,
+                count(*) FILTER (fault = 'B') AS blank, count(*) FILTER (fault = 'D') AS duplicate, count(*) FILTER (fault = 'T') AS truncated,
+                count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+best AS (SELECT w.conv_id, min({'cost': s.cost + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END,
+                                'audit': s.audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+                                'lines': CASE q WHEN 1 THEN list_concat(s.lines, ['user:', 'assistant:']) WHEN 2 THEN list_append(s.lines, 'assistant:')
+                                         ELSE s.lines END}) AS s
+         FROM w JOIN sums m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.rn GROUP BY w.conv_id)
+SELECT a.conv_id, coalesce(hi - lo + 1 - turns, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(s.cost, 0)::BIGINT AS cost,
+       coalesce(s.audit, '') AS audit, sha256(coalesce(array_to_string(s.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN sums m ON m.conv_id IS NOT DISTINCT FROM a.conv_id
+     LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id""",
 }
