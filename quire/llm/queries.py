@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe, conversations, packing, quality_classifier, quality_rules, simhash, substring_words, suffix_dedup,
+from quire.llm import (bpe, conversations, packing, quality_classifier, quality_rules, simhash, spotsigs, substring_words, suffix_dedup,
                        token_files, topk, toxicity)
 from quire.llm.common import settled_path
 from quire.sources.tables import read_table
@@ -79,9 +79,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
 
 
+def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.neighbours(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_substring_words, op3_quality_classifier, op4_maxscore, op5_toxicity, op6_suffix_array,
-    op7_bpe, op8_token_files, op9_quality_rules, op10_simhash, op11_conversation_repair)}
+    op7_bpe, op8_token_files, op9_quality_rules, op10_simhash, op11_conversation_repair,
+    op12_spotsigs)}
 
 #: What SQL can express; the other operators are tested against brute force.
 ORACLE: dict[str, str] = {
