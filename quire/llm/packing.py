@@ -23,32 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import doc_texts, release, settle, text_blocks
-from quire.llm.pretoken import ranges
+from quire.llm.common import doc_texts, settle, text_blocks
 from quire.llm.tokens import worker_ids
 
 BLOCK_TOKENS = 65_536
-BLOCKS_AT_ONCE = 16  # blocks that pass 2 cuts at once
-TEXT_BYTES = 4 << 20  # text that is tokenised at once
+TEXT_BYTES = 2 << 20  # text that is tokenised at once
 
-_PIECE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                    ("doc_tokens", pa.int64()), ("at", pa.int64())])
-_PIECES_DDL = "array<struct<doc_id: bigint, start: bigint, length: bigint, doc_tokens: bigint, {}: bigint>>"
-_BLOCK_DDL = "part int, at bigint, n bigint, ids binary, pieces " + _PIECES_DDL.format("at")
-_WINDOW_DDL = "sequence_id bigint, n_tokens bigint, ids binary, pieces " + _PIECES_DDL.format("offset")
-
-
-def _piece_lists(offsets: np.ndarray, doc_ids: pa.Array, start: np.ndarray, length: np.ndarray, total: np.ndarray,
-                 at: np.ndarray, last: str) -> pa.ListArray:
-    values = pa.StructArray.from_arrays([doc_ids, *map(pa.array, (start, length, total, at))],
-                                        ["doc_id", "start", "length", "doc_tokens", last])
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-
-
-def _binaries(cuts: np.ndarray, ids: np.ndarray) -> pa.Array:
-    """The ids between consecutive ``cuts`` as little-endian unsigned 32-bit integers."""
-    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [
-        None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+_BLOCK_DDL = ("part int, at bigint, n bigint, ids binary, pieces array<struct<doc_id: bigint, start: bigint, "
+              "length: bigint, doc_tokens: bigint, at: bigint>>")
 
 
 def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -66,12 +48,17 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens
             edges = np.append(np.arange(0, upto, block_tokens), upto)
             cuts = np.union1d(begin[begin < upto], edges[:-1])
             own = np.searchsorted(begin, cuts, side="right") - 1
-            lists = _piece_lists(np.searchsorted(cuts, edges), doc_ids.take(pa.array(own)), start[own] + cuts - begin[own],
-                                 np.append(cuts[1:], upto) - cuts, total[own], cuts % block_tokens, "at")
+            pieces = pa.StructArray.from_arrays(
+                [doc_ids.take(pa.array(own)), *map(pa.array, (start[own] + cuts - begin[own], np.append(cuts[1:], upto) - cuts,
+                                                              total[own], cuts % block_tokens))],
+                ["doc_id", "start", "length", "doc_tokens", "at"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(cuts, edges), pa.int32()), pieces)
             n = len(edges) - 1
+            ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((edges * 4).astype(np.int32)),
+                                                         pa.py_buffer(stream[:upto].astype("<u4"))])
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, part, np.int32)), pa.array(at + edges[:-1]), pa.array(np.diff(edges)),
-                 _binaries(edges, stream[:upto]), lists], ["part", "at", "n", "ids", "pieces"])
+                [pa.array(np.full(n, part, np.int32)), pa.array(at + edges[:-1]), pa.array(np.diff(edges)), ids, lists],
+                ["part", "at", "n", "ids", "pieces"])
 
         for rows, texts in text_blocks(batches, max_bytes=TEXT_BYTES):
             ids, counts, _, _ = enc.encode(texts)
@@ -95,63 +82,45 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens
     return doc_texts(docs).mapInArrow(run, _BLOCK_DDL)
 
 
-def _whole_windows(placed: DataFrame, window: int) -> DataFrame:
-    """The windows that lie inside one block of ``placed`` (``g``: the block's
-    start in the global stream), with the pieces cut at their borders."""
-
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        g, n = (np.array(batch.column(c), np.int64) for c in (0, 1))
-        lists = batch.column(3)
-        per_block, values = np.array(lists.value_lengths(), np.int64), lists.flatten()
-        begin = np.cumsum(n) - n  # blocks side by side, in their own order
-        start, total, at = (values.field(k).to_numpy() for k in (1, 3, 4))
-        at = at + np.repeat(begin, per_block)
-        first = -(-g // window) * window
-        inside = np.maximum((g + n - first) // window, 0)  # complete windows of each block
-        block = np.repeat(np.arange(len(n)), inside)
-        seq = np.repeat(first // window, inside) + np.arange(len(block)) - np.repeat(np.cumsum(inside) - inside, inside)
-        lo = seq * window - g[block] + begin[block]
-        cuts = np.union1d(at, np.union1d(lo, lo + window))
-        own = np.searchsorted(at, cuts, side="right") - 1
-        length = np.append(cuts[1:], n.sum()) - cuts
-        since, to = np.searchsorted(cuts, lo), np.searchsorted(cuts, lo + window)
-        take = ranges(since, to - since)
-        pieces = _piece_lists(np.concatenate([[0], np.cumsum(to - since)]), values.field(0).take(pa.array(own[take])),
-                              (start[own] + cuts - at[own])[take], length[take], total[own[take]],
-                              cuts[take] - np.repeat(lo, to - since), "offset")
-        ids = b"".join(memoryview(b)[4 * a:4 * (a + k * window)] for b, a, k in
-                       zip((x.as_buffer() for x in batch.column(2)), (first - g).tolist(), inside.tolist()))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(seq), pa.array(np.full(len(seq), window)),
-             _binaries(np.arange(len(seq) + 1) * window, np.frombuffer(ids, "<u4")), pieces], ["sequence_id", "n_tokens", "ids", "pieces"])
+def _parts(placed: DataFrame, window: int, inner: bool) -> DataFrame:
+    """The parts of blocks (``g``: a block's start in the global stream) in each
+    window, with the pieces cut at the windows' borders: those that are whole
+    windows (``inner``), or the others. ``first``: the part's place in its window.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            release()
-            for lo in range(0, batch.num_rows, BLOCKS_AT_ONCE):
-                yield cut(batch.slice(lo, BLOCKS_AT_ONCE))
+    Every piece is cut once; the cuts of a window follow each other, from the one
+    at the window's start on. No lambda runs beside the ids once windows are rows,
+    so a block's ids are not copied for each."""
+    g, n, size = F.col("g"), F.col("n"), F.lit(window).cast("bigint")
 
-    return placed.select("g", "n", "ids", "pieces").mapInArrow(run, _WINDOW_DDL)
+    def below(x: Column) -> Column:
+        return ((x - F.pmod(x, size)) / size).cast("bigint")
 
+    def cut(p: Column) -> Column:
+        begin = g + p["at"]
+        stop = begin + p["length"]
 
-def _cut(blocks: DataFrame, windows: Column, window: int) -> DataFrame:
-    """The parts of ``blocks`` (with global start ``g``) in the given windows."""
-    cut = blocks.select("g", "n", "ids", "pieces", F.explode(windows).alias("sequence_id"))
-    lo = F.greatest(F.col("g"), F.col("sequence_id") * window) - F.col("g")
-    hi = F.least(F.col("n"), (F.col("sequence_id") + 1) * window - F.col("g"))
-    cut = cut.select("*", lo.alias("lo"), hi.alias("hi"),
-                     (F.col("g") - F.col("sequence_id") * window).alias("shift"))
-    own = F.filter("pieces", lambda p: (p["at"] < F.col("hi")) & (p["at"] + p["length"] > F.col("lo")))
+        def inside(w: Column) -> Column:
+            lo = F.greatest(begin, w * size)
+            return F.struct(p["doc_id"].alias("doc_id"), (p["start"] + lo - begin).alias("start"),
+                            (F.least(stop, (w + 1) * size) - lo).alias("length"), p["doc_tokens"].alias("doc_tokens"),
+                            (lo - w * size).alias("offset"))
 
-    def clip(p: Column) -> Column:
-        first = F.greatest(p["at"], F.col("lo"))
-        return F.struct(p["doc_id"].alias("doc_id"), (p["start"] + first - p["at"]).alias("start"),
-                        (F.least(p["at"] + p["length"], F.col("hi")) - first).alias("length"),
-                        p["doc_tokens"].alias("doc_tokens"), (first + F.col("shift")).alias("offset"))
+        return F.transform(F.sequence(below(begin), below(stop - 1)), inside)
 
-    return cut.select("sequence_id", (F.col("lo") + F.col("shift")).alias("first"), (F.col("hi") - F.col("lo")).alias("n_tokens"),
-                      F.col("ids").substr((F.col("lo") * 4 + 1).cast("int"), ((F.col("hi") - F.col("lo")) * 4).cast("int")).alias("ids"),
-                      F.transform(own, clip).alias("pieces"))
+    cuts, at = F.col("cuts"), F.col("at")
+    df = placed.select("g", "n", "ids", F.flatten(F.transform("pieces", cut)).alias("cuts"))
+    df = df.select("*", F.filter(F.sequence(F.lit(1), F.size(cuts)), lambda i: (i == 1) | (F.element_at(cuts, i)["offset"] == 0)).alias("at"))
+    df = df.select("g", "n", "ids", F.transform(at, lambda x, k: F.struct(
+        (below(g) + k).alias("sequence_id"),
+        F.slice(cuts, x, F.coalesce(F.try_element_at(at, k + 2), F.size(cuts) + 1) - x).alias("pieces"))).alias("parts"))
+    whole = lambda t: t["sequence_id"].between(below(g + size - 1), below(g + n) - 1)
+    df = df.select("g", "n", "ids", F.filter("parts", whole if inner else lambda t: ~whole(t)).alias("parts"))
+    # the outer form: the plain one gets a filter on the array's size, pushed below where it would be evaluated for every element
+    df = df.select("g", "n", "ids", F.inline_outer("parts")).where(F.col("sequence_id").isNotNull())
+    lo = F.greatest(g, F.col("sequence_id") * size) - g
+    hi = F.least(n, (F.col("sequence_id") + 1) * size - g)
+    return df.select("sequence_id", (lo + g - F.col("sequence_id") * size).alias("first"), (hi - lo).alias("n_tokens"),
+                     F.col("ids").substr((lo * 4 + 1).cast("int"), ((hi - lo) * 4).cast("int")).alias("ids"), "pieces")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0,
@@ -171,14 +140,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
     offsets = spark.createDataFrame([(p, b) for (p, _), b in zip(totals, base)], "part int, base bigint")
     placed = blocks.join(F.broadcast(offsets), "part").select(
         (F.col("base") + F.col("at")).alias("g"), "n", "ids", "pieces")
-    last = F.floor((F.col("g") + F.col("n") - 1) / window)
-    first = F.floor(F.col("g") / window)
-    inner_first = F.ceil(F.col("g") / window)
-    inner_last = F.floor((F.col("g") + F.col("n")) / window) - 1
-    whole = _whole_windows(placed, window)
-    edge = F.filter(F.array_distinct(F.array(first, last)),
-                    lambda s: ~s.between(inner_first, inner_last))
-    joined = (_cut(placed, edge, window).groupBy("sequence_id")
+    whole = _parts(placed, window, inner=True).select("sequence_id", "n_tokens", "ids", "pieces")
+    joined = (_parts(placed, window, inner=False).groupBy("sequence_id")
               .agg(F.sort_array(F.collect_list(F.struct("first", "n_tokens", "ids", "pieces"))).alias("parts"))
               .select("sequence_id", F.aggregate("parts", F.lit(0).cast("bigint"), lambda n, p: n + p["n_tokens"]).alias("n_tokens"),
                       F.aggregate("parts", F.lit(b""), lambda b, p: F.concat(b, p["ids"])).alias("ids"),
