@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe, conversations, packing, quality_classifier, quality_rules, simhash, spotsigs, substring_words, suffix_dedup,
+from quire.llm import (bpe, conversations, hard_negatives, packing, quality_classifier, quality_rules, simhash, spotsigs, substring_words, suffix_dedup,
                        token_files, topk, toxicity)
 from quire.llm.common import settled_path
 from quire.sources.tables import read_table
@@ -83,10 +83,18 @@ def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.neighbours(read_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 first get the next of the ten labels."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), anchor_every=50, positives=5, negatives=3,
+                               low=50, high=95, scale=256)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_substring_words, op3_quality_classifier, op4_maxscore, op5_toxicity, op6_suffix_array,
     op7_bpe, op8_token_files, op9_quality_rules, op10_simhash, op11_conversation_repair,
-    op12_spotsigs)}
+    op12_spotsigs, op13_hard_negatives)}
 
 #: What SQL can express; the other operators are tested against brute force.
 ORACLE: dict[str, str] = {
@@ -175,4 +183,20 @@ SELECT a.conv_id, coalesce(hi - lo + 1 - turns, 0)::BIGINT AS gaps, coalesce(bla
        coalesce(s.audit, '') AS audit, sha256(coalesce(array_to_string(s.lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN sums m ON m.conv_id IS NOT DISTINCT FROM a.conv_id
      LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id""",
+    "op13_hard_negatives": """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.r, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         coalesce(list_sum(list_transform(range(1, least(len(a.e), len(c.e)) + 1), lambda i: a.e[i] * c.e[i])), 0)::BIGINT AS score
+  FROM v a JOIN v c ON a.r <> c.r WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.r = p.r AND NOT s.same AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
 }
