@@ -1,12 +1,16 @@
 """Quality rules: word and line counts, and zstandard compression bands.
 
 A text's compression ratio (bytes over zstandard bytes) tells repetitive text
-(high) from random characters and base64 (low). The whole text must lie in the
-band for its length, for longer texts compress better; and of its fixed chunks
-no more than a share may lie outside the chunk band, so a long text is not
-saved by its good half. The low limits lie above base64 in words of four
-characters or more and below clean prose. Hexadecimal compresses as prose
-does (1.6 to 1.95), so a ratio cannot tell it.
+(high) from random characters and base64 (low). Longer texts compress better,
+so the whole text must lie in the band for its length: limits at given lengths,
+in between linear in the logarithm of the length. Of its fixed chunks no more
+than a share may lie outside the chunk band, so a long text is not saved by its
+good half. The low limits lie above base64 in words of four characters or more
+and below clean prose. Hexadecimal compresses as prose does (1.6 to 1.95), so a
+ratio cannot tell it. The high limits lie a little above clean prose of the
+length (natural prose reaches 1.9 at 1 KB, 2.2 at 4 KB, 2.5 at 32 KB, 2.9 at a
+few hundred KB): words that all end or begin alike, rulers and other padding
+between words and repeated phrases lie above them.
 
 A null or empty text has no words and fails the base rules. Repeated rows are
 judged each for itself; an empty table gives no rows. Texts are read whole.
@@ -29,14 +33,14 @@ from quire.llm.words import text_of, word_ids, words
 
 @dataclass(frozen=True)
 class Bands:
-    """(bytes up to, lowest ratio, highest ratio) for whole texts; the chunks'
-    size, band and the share of them that may lie outside it."""
+    """(bytes, lowest ratio, highest ratio) for whole texts, shorter or longer ones
+    by the nearest; the chunks' size, band and the share of them that may lie outside it."""
 
     whole: tuple[tuple[float, float, float], ...] = (
-        (384, 1.25, 3.0), (512, 1.30, 3.0), (1_024, 1.38, 3.5), (2_048, 1.45, 3.5), (16_384, 1.50, 4.0),
-        (131_072, 1.50, 5.0), (float("inf"), 1.50, 6.0))
+        (320, 1.25, 1.85), (512, 1.30, 1.93), (1_024, 1.38, 2.04), (2_048, 1.45, 2.18), (4_096, 1.50, 2.28), (8_192, 1.50, 2.39),
+        (16_384, 1.50, 2.48), (32_768, 1.50, 2.60), (131_072, 1.50, 2.90), (1_048_576, 1.50, 3.20))
     chunk_bytes: int = 4_096
-    chunk: tuple[float, float] = (1.50, 4.0)
+    chunk: tuple[float, float] = (1.50, 2.35)
     chunk_share: float = 0.25
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -94,9 +98,10 @@ def measure(texts: list[str], bands: Bands) -> dict[str, np.ndarray]:
     squeeze = zstandard.ZstdCompressor(level=bands.level)
     ratios = np.array([_ratios(b, bands, squeeze) if b else (0.0, 0.0) for b in raw]).reshape(len(raw), 2)
     out["whole_ratio"], out["chunks_outside"] = ratios[:, 0], ratios[:, 1]
-    upto, low, high = np.array(bands.whole).T
-    band = np.searchsorted(upto, [len(b) for b in raw])
-    inside = (out["whole_ratio"] >= low[band]) & (out["whole_ratio"] <= high[band])
+    at, low, high = np.array(bands.whole).T
+    size = np.log2([max(len(b), 1) for b in raw])
+    low, high = (np.interp(size, np.log2(at), limit) for limit in (low, high))
+    inside = (out["whole_ratio"] >= low) & (out["whole_ratio"] <= high)
     out["kept"] = ~out["base_failed"] & inside & (out["chunks_outside"] <= bands.chunk_share)
     return out
 

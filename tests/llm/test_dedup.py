@@ -1,6 +1,7 @@
 """Rules, SimHash and both substring dedups against brute force."""
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from quire.llm import exchange as ex
@@ -189,6 +191,45 @@ def test_default_bands_keep_clean_texts():
     assert found["kept"].sum() > 1000 and (found["kept"] | found["base_failed"]).all()
 
 
+def brute_verdict(t, bands=quality_rules.Bands()):
+    """Ratio of the whole text, share of chunks outside their band, and whether the bands keep the text."""
+    data = t.encode()
+    ratio = lambda b: len(b) / len(zstandard.ZstdCompressor(level=3).compress(b))
+    x = math.log2(len(data))
+    points = [(math.log2(n), low, high) for n, low, high in bands.whole]
+    low, high = points[0][1:] if x <= points[0][0] else points[-1][1:]
+    for (a, *left), (b, *right) in zip(points, points[1:]):
+        if a < x <= b:
+            low, high = (p + (q - p) * (x - a) / (b - a) for p, q in zip(left, right))
+    n = len(data) // 4096 + (len(data) % 4096 >= 1024 or len(data) < 4096)
+    chunks = [data[4096 * k:4096 * (k + 1) if k < n - 1 else None] for k in range(n)]
+    share = 0 if n < 2 else sum(not bands.chunk[0] <= ratio(c) <= bands.chunk[1] for c in chunks) / n
+    return ratio(data), share, low <= ratio(data) <= high and share <= 0.25
+
+
+def test_ratios_and_verdict_by_brute_force():
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    rng = random.Random(5)
+    texts = [t for t in docs if t] + [" ".join(rng.choices(docs[3].split(), k=k)) for k in (60, 700, 800, 2500, 9000)] + ["ab " * 5000, "é" * 4100]
+    found = quality_rules.measure(texts, quality_rules.Bands())
+    for k, t in enumerate(texts):
+        whole, share, stays = brute_verdict(t)
+        assert (found["whole_ratio"][k], found["chunks_outside"][k]) == (whole, share)
+        assert found["kept"][k] == (stays and not brute_rules(t)[-1])
+
+
+def test_bands_decide():
+    """Of labelled texts that the base rules keep, the bands reject bad ones and leave clean ones."""
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    labels = {r["doc_id"]: r["quality"] for r in pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist()}
+    own = [r for r in docs if r["text"] and labels.get(r["doc_id"]) is not None]
+    found = quality_rules.measure([r["text"] for r in own], quality_rules.Bands())
+    clean = np.array([labels[r["doc_id"]] == 1 for r in own])
+    base, kept = ~found["base_failed"], found["kept"]
+    assert (base & ~clean & ~kept).sum() >= 0.4 * (base & ~clean).sum() > 100
+    assert (base & clean & ~kept).sum() <= 0.01 * (base & clean).sum()
+
+
 def brute_print(t):
     t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     w = WORDS.findall(t)
