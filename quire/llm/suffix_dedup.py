@@ -100,7 +100,8 @@ class _Group:
             self.at = best[self.first]
             stop = np.flatnonzero(inside & np.append(~inside[1:] | new[1:], True)) + 1
             self.count = stop - self.first
-            token_keys = tokens[self.at] >> np.uint64(64 - bits)
+            # the token is the one of least hash, so all of these hashes are small: buckets go by another
+            token_keys = ex.mix(tokens[self.at] ^ np.uint64(_BASES[1])) >> np.uint64(64 - bits)
         span = self._span_hashes()
         order = np.lexsort((span, token_keys))
         fresh = ex.run_starts(token_keys[order], span[order])

@@ -191,6 +191,13 @@ def test_default_bands_keep_clean_texts():
     assert found["kept"].sum() > 1000 and (found["kept"] | found["base_failed"]).all()
 
 
+def test_suffix_buckets_are_even():
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    g = suffix_dedup._Group([t for t in docs if t], 200, 21, 40)
+    size = np.diff(g.cuts)
+    assert len(size) == 21 and size.max() < 3 * size.mean() and size.min() > 0
+
+
 def brute_verdict(t, bands=quality_rules.Bands()):
     """Ratio of the whole text, share of chunks outside their band, and whether the bands keep the text."""
     data = t.encode()
