@@ -7,17 +7,20 @@ sum is not positive, and the whole vector is min-max scaled afterwards.
 
 * :func:`ordered_sweep` (L20) is what the reference computes: one pass over
   ids in ascending order where each id already sees the new scores of lower
-  ids (an in-place update). Its result equals a schedule in *waves*: an id is
-  ready once all its lower neighbours are done, so each wave is one join and
-  one group-by over the edges leaving the previous wave.
+  ids (an in-place update). That is a triangular solve, done by block forward
+  substitution: contiguous blocks of ids one after another, in each block
+  first what finished blocks contribute (a join and a sum), then the
+  dependencies inside the block in one streaming task.
 * :func:`converged` (L22) repeats a synchronous update until the L2 change
   drops below the tolerance, the evident aim of the reference's loop.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,57 +40,93 @@ def _number(df: DataFrame, n_nodes) -> float:
     return float(n_nodes if isinstance(n_nodes, (int, float)) else df.sparkSession.range(1).select(n_nodes).first()[0])
 
 
-def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, scale: bool = True) -> DataFrame:
+#: Ids of one block of the sweep: eight bytes of task memory each.
+BLOCK_IDS = 1 << 17
+#: More blocks would read the finished scores too often: blocks grow beyond this number.
+MAX_BLOCKS = 256
+
+
+def _substitute(lo: int, size: int, floor: float):
+    """Scores of one block from its rows ``(i, j, part)``, sorted: first ``j`` null,
+    with what is known of ``i``'s sum, then its neighbours inside the block."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = [0.0] * size
+        node, total = None, 0.0
+
+        def result(nodes: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([score[i - lo] for i in nodes], pa.float64())],
+                                              ["node", "score"])
+
+        for batch in batches:
+            done = []
+            for i, j, part in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if i != node:
+                    if node is not None:
+                        score[node - lo] = total if total > 0 else floor
+                        done.append(node)
+                    node, total = i, 0.0
+                total += part if j is None else score[j - lo]
+            if done:
+                yield result(done)
+        if node is not None:
+            score[node - lo] = total if total > 0 else floor
+            yield result([node])
+
+    return run
+
+
+def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, scale: bool = True, block_ids: int = BLOCK_IDS) -> DataFrame:
     """``(node, score)`` after one in-place ascending sweep (+ L21).
 
     ``rows (i, j)`` are deduplicated row entries (L18); ``nodes (node)`` all
     ids ``0..n-1``; ``n_nodes`` a scalar column or number. Row entries with
     ``j >= i`` (the id itself included) still hold the start value ``1/n``
     when ``i`` is computed, so they add a constant; entries with ``j < i``
-    add the final score of ``j``.
-
-    A wave touches only the nodes that its frontier contributes to and those
-    that still wait with a part of their sum; it is appended to one table
-    partitioned by wave, whose complete rows are the result. Every wave
-    completes at least the lowest unfinished node, so the loop ends by itself
-    after as many waves as the longest ascending path has nodes.
+    add the final score of ``j``. Row entries of ids that are no nodes, and
+    nodes without an id, take no part.
+
+    One job for each block of ``block_ids`` ids (at most ``MAX_BLOCKS`` blocks),
+    however long the ascending paths are. The entries lie in a folder for each
+    block of ``i``; a block reads its folder and the finished scores once. The
+    task that finishes a block holds its scores and streams its inner entries,
+    which Spark sorts; the sums over earlier blocks are partly added up before
+    their shuffle, so a node of very many neighbours meets no task as a whole.
     """
-    loop = RoundState(rows.sparkSession, "sweep")
-    inv_n = F.lit(1.0 / max(_number(rows, n_nodes), 1.0))
-    lower = loop.settle(rows.filter(F.col("j") < F.col("i")).select("i", "j"))
-    per_node = rows.groupBy(F.col("i").alias("node")).agg(
-        F.count(F.when(F.col("j") < F.col("i"), 1)).alias("rem"),
-        F.count(F.when(F.col("j") >= F.col("i"), 1)).alias("upper"))
-    start = nodes.select("node").join(per_node, "node", "left").select(
-        "node", F.coalesce("rem", F.lit(0)).cast("long").alias("rem"),
-        (F.coalesce("upper", F.lit(0)).cast("double") * inv_n).alias("acc"))
-    wave = start = loop.settle(start, "waves/wave=0")
-    number = 0
-
-    def complete(df: DataFrame) -> DataFrame:
-        return df.filter("rem = 0").select("node", F.when(F.col("acc") > 0, F.col("acc")).otherwise(inv_n).alias("score"))
-
-    while True:
-        given = lower.join(complete(wave).withColumnRenamed("node", "j"), "j").groupBy(F.col("i").alias("node")).agg(
-            F.count(F.lit(1)).alias("c"), F.sum("score").alias("s"))
-        if number == 0:
-            touched = start.join(given, "node")
-        else:
-            waiting = wave.filter("rem > 0")
-            fresh = given.join(waiting, "node", "left_anti").join(start, "node")
-            touched = fresh.select("node", "rem", "acc", "c", "s").unionByName(
-                waiting.join(given, "node", "left").select("node", "rem", "acc", "c", "s"))
-        number += 1
-        wave, counts = loop.settle_observed(touched.select(
-            "node", (F.col("rem") - F.coalesce("c", F.lit(0))).alias("rem"),
-            (F.col("acc") + F.coalesce("s", F.lit(0.0))).alias("acc")),
-            F.count(F.when(F.col("rem") == 0, 1)).alias("ready"), F.count(F.lit(1)).alias("n"), path=f"waves/wave={number}")
-        if not counts["ready"]:
-            if counts["n"]:
-                raise RuntimeError("ordered sweep made no progress; the row table is inconsistent")
-            break
-    out = complete(rows.sparkSession.read.parquet(f"{loop.root}/waves"))
-    return minmax_vector(out) if scale else out
+    spark = rows.sparkSession
+    loop = RoundState(spark, "sweep")
+    floor = 1.0 / max(_number(rows, n_nodes), 1.0)
+    ids = nodes.select(F.col("node").cast("long").alias("node")).where("node is not null").distinct()
+    least, most = ids.agg(F.min("node"), F.max("node")).first()
+    if least is None:
+        return nodes.select("node", F.lit(None).cast("double").alias("score"))
+    size = max(block_ids, -(-(most - least + 1) // MAX_BLOCKS))
+    blocks = -(-(most - least + 1) // size)
+
+    def block_of(c: str) -> Column:
+        return F.floor((F.col(c) - least) / size).cast("int")
+
+    lower = rows.where(F.col("j") < F.col("i")).select("i", "j", block_of("i").alias("b"))
+    lower = loop.settle_by(lower.where((F.col("j") >= least) & F.col("b").between(0, blocks - 1)), "b", "lower")
+    upper = rows.where(F.col("j") >= F.col("i")).groupBy(F.col("i").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    start = ids.join(upper, "node", "left").select(
+        "node", (F.coalesce("n", F.lit(0)) * F.lit(floor)).alias("part"), block_of("node").alias("b"))
+    start = loop.settle_by(start, "b", "start")
+    known = spark.createDataFrame([], "node bigint, score double")
+    for b in range(blocks):
+        lo = least + b * size
+        own = lower.where(F.col("b") == b)
+        begun = start.where(F.col("b") == b).select(F.col("node").alias("i"), "part")
+        given = (own.where(F.col("j") < lo).join(known.withColumnRenamed("node", "j"), "j")
+                 .groupBy("i").agg(F.sum("score").alias("part")))
+        inner = own.where(F.col("j") >= lo).select("i", "j", F.lit(0.0).alias("part"))
+        parts = begun.unionByName(given).groupBy("i").agg(F.sum("part").alias("part")) if b else begun
+        entries = parts.select("i", F.lit(None).cast("long").alias("j"), "part").unionByName(inner.join(begun.select("i"), "i", "left_semi"))
+        solved = entries.repartition(1).sortWithinPartitions("i", F.col("j").asc_nulls_first()).mapInArrow(
+            _substitute(lo, size, floor), "node bigint, score double")
+        loop.settle(solved, f"scores/block={b}")
+        known = spark.read.schema("node bigint, score double").parquet(f"{loop.root}/scores")
+    return minmax_vector(known) if scale else known
 
 
 def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,

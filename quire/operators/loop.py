@@ -38,6 +38,13 @@ class RoundState:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle_by(self, df: DataFrame, key: str, path: str) -> DataFrame:
+        """``settle`` with a folder for each value of ``key``, whose rows may span
+        several files (the rebalancing splits what is large and joins what is small)."""
+        path = f"{self.root}/{path}"
+        df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def settle_observed(self, df: DataFrame, *metrics, path: str | None = None) -> tuple[DataFrame, dict]:
         """Write the state and gather aggregate ``metrics`` over it in the
         same job (``DataFrame.observe``), so they cost no extra pass."""

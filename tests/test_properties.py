@@ -4,6 +4,7 @@ import os
 import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import graph as gr
@@ -25,7 +26,8 @@ def _sequential_sweep(n, rows):
     return [0.5] * n if mx == mn else [(x - mn) / (mx - mn) for x in pr]
 
 
-def test_sweep_waves_equal_sequential_loop(spark):
+@pytest.mark.parametrize("block_ids", [1 << 17, 7, 1])
+def test_sweep_equals_sequential_loop(spark, block_ids):
     rnd = random.Random(7)
     n = 30
     edges = {(rnd.randrange(n), rnd.randrange(n)) for _ in range(70)}
@@ -38,10 +40,42 @@ def test_sweep_waves_equal_sequential_loop(spark):
         rows.setdefault(b, set()).add(a)
     want = _sequential_sweep(n, rows)
     nodes = spark.range(n).withColumnRenamed("id", "node")
-    got = {r.node: r.score for r in ls.ordered_sweep(gr.undirected_edges(links, cits), nodes, n).collect()}
+    got = {r.node: r.score for r in ls.ordered_sweep(gr.undirected_edges(links, cits), nodes, n, block_ids=block_ids).collect()}
     assert all(abs(got[i] - want[i]) < 1e-9 for i in range(n))
 
 
+def test_sweep_of_a_long_ascending_path(spark):
+    """As many jobs write scores as there are blocks, not as the path has ids."""
+    n = 100_000
+    rows = spark.range(n - 1).select(F.col("id").alias("i"), (F.col("id") + 1).alias("j"))
+    rows = rows.unionByName(rows.select(F.col("j").alias("i"), F.col("i").alias("j")))
+    out = ls.ordered_sweep(rows, spark.range(n).withColumnRenamed("id", "node"), n, scale=False, block_ids=25_000)
+    assert len({f.split("block=")[1].split("/")[0] for f in out.inputFiles()}) == 4
+    want = [0.0] * n
+    for i in range(n):
+        s = (want[i - 1] if i else 0.0) + (1.0 / n if i < n - 1 else 0.0)
+        want[i] = s if s > 0 else 1.0 / n
+    assert out.count() == n
+    worst = out.agg(F.max(F.abs(F.col("score") - (F.least(F.col("node") + 1, F.lit(n - 1)) / n)))).first()[0]
+    assert worst < 1e-9 and abs(want[-1] - (n - 1) / n) < 1e-9
+
+
+def test_sweep_of_a_hub_nulls_and_strangers(spark):
+    """A hub in the last block and one in the first, ids that are no nodes, an isolated node."""
+    n = 40
+    edges = {(39, j) for j in range(38)} | {(0, j) for j in range(2, 39)}
+    edges |= {(b, a) for a, b in edges}
+    rows = spark.createDataFrame([*edges, (99, 1), (3, -7), (None, 2)], "i bigint, j bigint")
+    nodes = spark.createDataFrame([(i,) for i in range(n)] + [(None,)], "node bigint")
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+    got = {r.node: r.score for r in ls.ordered_sweep(rows, nodes, n, block_ids=9).collect()}
+    want = _sequential_sweep(n, near)
+    assert len(got) == n and all(abs(got[i] - want[i]) < 1e-9 for i in range(n))
+    assert ls.ordered_sweep(rows.limit(0), nodes.limit(0), 0).count() == 0
+
+
 def test_tf_scores_unchanged_by_repeating_a_document(spark):
     base = [(0, "p", "apple banana apple cherry"), (1, "p", "banana cherry date"), (2, "p", "apple fig")]
     twice = [(d, p, t + " " + t if d == 0 else t) for d, p, t in base]
