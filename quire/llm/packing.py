@@ -23,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import doc_texts, settle, text_blocks
+from quire.llm.common import doc_texts, release, settle, text_blocks
 from quire.llm.tokens import worker_ids
 
-BLOCK_TOKENS = 65_536
+BLOCK_TOKENS = 32_768
 TEXT_BYTES = 2 << 20  # text that is tokenised at once
 
 _BLOCK_DDL = ("part int, at bigint, n bigint, ids binary, pieces array<struct<doc_id: bigint, start: bigint, "
@@ -78,6 +78,8 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, block_tokens
                     start[0], begin[0] = start[0] - begin[0], 0
         if len(stream):
             yield blocks(len(stream))
+        del stream, doc_ids, begin, start, total
+        release()
 
     return doc_texts(docs).mapInArrow(run, _BLOCK_DDL)
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import doc_texts, text_blocks
+from quire.llm.common import doc_texts, release, text_blocks
 from quire.llm.packing import TEXT_BYTES
 from quire.llm.tokens import worker_ids
 
@@ -59,6 +59,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                  pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
                 ["doc_id", "part", "start_in_part", "n_tokens", "ids"])
             at += int(ends[-1])
+        release()
 
     own = doc_texts(docs).select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"))
     ordered = own.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
