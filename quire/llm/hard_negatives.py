@@ -4,15 +4,17 @@ An anchor's positives are the rows of its label with the largest inner product;
 its negatives for a positive are the rows of other labels whose score is
 largest inside a window below the positive's score.
 
-Rows are dealt into shards of at most ``SHARD_ROWS``. A shard cuts its vectors
+Rows are dealt into shards of about ``SHARD_BYTES``, anchors into sets. A shard cuts its vectors
 in two halves, learns a codebook for each half from all of them, and files every
 row in the cell of its two codewords. A codeword's bound for an anchor's half is
 its inner product with it plus the codeword's radius times the half's length; a
 cell's is the sum of its two, so no row of the cell scores higher. The
-multi-sequence heap gives the cells in falling order of their bounds; their
-rows are scored exactly. The visit ends once every list asked for is certified:
-it is full and its last score is above the next cell's bound, or the window
-lies above that bound. Shards' lists are merged by anchor.
+multi-sequence heap gives each anchor the cells in falling order of their
+bounds. Anchors visit cells in waves, each of about twice the rows of the one
+before, and those that want the same cell score its rows together, exactly. An
+anchor's visit ends once every list asked for is certified: it is full and its
+last score is above the next cell's bound, or the window lies above that bound.
+Shards' lists are merged by anchor.
 
 Scores are exact integers: components are ``floor(scale * x)``. Equal scores are
 ordered by the smaller id. Rows with a null id, label or vector, or with a null
@@ -25,20 +27,21 @@ candidates give fewer rows, an empty table none. Other columns are not read.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import settle
 
-SHARD_ROWS, SET_ANCHORS = 8192, 4096
+SHARD_BYTES, SET_BYTES = 16 << 20, 2 << 20  # of 8-byte components: 32,768 rows and 4,096 anchors of 64
 CODEWORDS = 16  # of each half: 256 cells of a shard
 ROUNDS = 6  # of fitting a codebook
-AT_ONCE = 384  # rows that are scored together
+FIRST_WAVE = 512  # rows that an anchor visits before its lists are first looked at
+TOGETHER = 1024  # rows, and anchors, that are scored in one step
+HELD = 1 << 20  # rows offered to lists before these are cut
 _HITS = pa.schema([("anchor", pa.int64()), ("slot", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 _HITS_DDL = "anchor bigint, slot int, vec_id bigint, score bigint"
 
@@ -141,81 +144,106 @@ class MultiIndex:
                 yield -bound, cell
 
 
-class _List:
-    """The best rows of one window ``least <= score <= most`` (any, if None)."""
+class Lists:
+    """For each anchor and each of its windows ``least <= score <= most`` the ``k``
+    best rows. Windows are rows of ``least`` and ``most``, one for each anchor."""
 
-    def __init__(self, k: int, least: int | None, most: int | None):
+    def __init__(self, least: np.ndarray, most: np.ndarray, k: int):
         self.k, self.least, self.most = k, least, most
-        self.ids, self.scores = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
-        ok = np.ones(len(scores), bool)
-        if self.most is not None:
-            ok &= (scores <= self.most).astype(bool)
-        if self.least is not None:
-            ok &= (scores >= self.least).astype(bool)
-        if self.k and len(self.scores) == self.k:
-            ok &= (scores >= self.scores[-1]).astype(bool)
-        if ok.any():
-            ids, scores = np.concatenate([self.ids, ids[ok]]), np.concatenate([self.scores, scores[ok]])
-            if scores.dtype == object:
-                best = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i])))[:self.k]
-            else:
-                best = np.lexsort((ids, -scores))[:self.k]
-            self.ids, self.scores = ids[best], scores[best]
-
-    def certified(self, bound: float) -> bool:
-        """Can rows that score at most ``bound`` no longer change the list?"""
-        if self.k == 0 or self.least is not None and (bound < self.least or self.most < self.least):
-            return True
-        return len(self.scores) == self.k and bound < self.scores[-1]
-
-
-def visit(index: MultiIndex, q: np.ndarray, wanted: Callable[[slice], np.ndarray], lists: list[_List],
-          score: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> None:
-    """Fill ``lists`` with an anchor's best rows of those that ``wanted`` picks of a
-    cell, cells by falling bounds, until all lists are certified."""
-    held: list[np.ndarray] = []
-    n = 0
-
-    def settle_held() -> None:
-        rows = np.concatenate(held)
-        got = score(index.v[rows], q)
-        for x in lists:
-            x.add(index.ids[rows], got)
-
-    for bound, cell in index.cells(q):
-        if all(x.certified(bound) for x in lists):
-            break
-        rows = wanted(slice(index.start[cell], index.start[cell + 1]))
-        if len(rows):
-            held.append(rows)
-            n += len(rows)
-        if n >= AT_ONCE:
-            settle_held()
-            held, n = [], 0
-    if held:
-        settle_held()
-
-
-def _scorer(rows: np.ndarray, anchors: np.ndarray) -> tuple[np.dtype, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
-    """How to score exactly: in doubles, 64-bit integers or, for very large
+        self.width = least.shape[1]
+        self.none = -np.inf if least.dtype != np.int64 else np.iinfo(np.int64).min
+        self.last = np.full(least.shape, self.none, least.dtype)  # score and id of the last row of a full list
+        self.last_id = np.full(least.shape, -1, np.int64)
+        self.full = np.zeros(least.shape, bool)
+        self.slots, self.ids, self.scores = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, least.dtype)
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_held = 0
+
+    def offer(self, who: np.ndarray, ids: np.ndarray, scores: np.ndarray, allowed: np.ndarray) -> None:
+        """Scores of rows (columns) for the anchors ``who`` (rows of ``scores``)."""
+        for w in range(self.width):
+            low, last, last_id = self.least[who, w][:, None], self.last[who, w][:, None], self.last_id[who, w][:, None]
+            better = (scores > last) | ((scores == last) & (ids < last_id)) | ~self.full[who, w][:, None]
+            a, r = np.nonzero((allowed & better & (scores >= low) & (scores <= self.most[who, w][:, None])).astype(bool))
+            if len(a):
+                self.held.append((who[a] * self.width + w, ids[r], scores[a, r]))
+                self.n_held += len(a)
+        if self.n_held > HELD:
+            self.cut()
+
+    def cut(self) -> None:
+        """Keep the ``k`` best rows of every list."""
+        if not self.held:
+            return
+        slots, ids, scores = (np.concatenate(x) for x in zip((self.slots, self.ids, self.scores), *self.held))
+        if scores.dtype == object:
+            order = np.array(sorted(range(len(ids)), key=lambda i: (slots[i], -scores[i], ids[i])))
+        else:
+            order = np.lexsort((ids, -scores, slots))
+        slots, ids, scores = slots[order], ids[order], scores[order]
+        place = np.arange(len(slots)) - np.searchsorted(slots, slots)
+        end = place == self.k - 1
+        at = np.divmod(slots[end], self.width)
+        self.last[at], self.last_id[at], self.full[at] = scores[end], ids[end], True
+        kept = place < self.k
+        self.slots, self.ids, self.scores = slots[kept], ids[kept], scores[kept]
+        self.held, self.n_held = [], 0
+
+    def certified(self, who: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The anchors whose lists rows that score at most ``bounds`` can no longer change."""
+        bound = bounds[:, None]
+        past = (bound < self.least[who]) | (self.most[who] < self.least[who])
+        return (past | (self.full[who] & (bound < self.last[who]))).astype(bool).all(axis=1)
+
+
+def visit(index: MultiIndex, q: np.ndarray, labels: np.ndarray, own: np.ndarray, lists: Lists, same_label: bool) -> int:
+    """Fill ``lists`` with the anchors' best rows of the same label (not the
+    anchor's own row), or of others; the number of scores computed."""
+    cells = [index.cells(one) for one in q]
+    ahead = [next(c, None) for c in cells]
+    size = np.diff(index.start).tolist()
+    active, wave, scored = np.arange(len(q)), FIRST_WAVE, 0
+    while len(active):
+        wanted: dict[int, list[int]] = {}
+        for a in active.tolist():
+            n = 0
+            while n < wave and ahead[a] is not None:
+                cell = ahead[a][1]
+                wanted.setdefault(cell, []).append(a)
+                n += size[cell]
+                ahead[a] = next(cells[a], None)
+        for cell, anchors in wanted.items():
+            for lo in range(index.start[cell], index.start[cell + 1], TOGETHER):
+                rows = slice(lo, min(lo + TOGETHER, index.start[cell + 1]))
+                for k in range(0, len(anchors), TOGETHER):
+                    who = np.array(anchors[k:k + TOGETHER])
+                    same = labels[who][:, None] == index.labels[rows]
+                    allowed = same & (own[who][:, None] != index.row_no[rows]) if same_label else ~same
+                    lists.offer(who, index.ids[rows], q[who] @ index.v[rows].T, allowed)
+                    scored += allowed.size
+        lists.cut()
+        bounds = np.array([-np.inf if ahead[a] is None else ahead[a][0] for a in active])
+        active = active[~lists.certified(active, bounds) & (bounds > -np.inf)]
+        wave *= 2
+    return scored
+
+
+def _exact(rows: np.ndarray, anchors: np.ndarray) -> type:
+    """What scores are exact in: doubles, 64-bit integers or, for very large
     components, Python integers."""
     most = float(np.abs(rows.astype(np.float64)).max(initial=0)) * float(np.abs(anchors.astype(np.float64)).max(initial=0)) * max(rows.shape[1], 1)
-    kind = np.float64 if most < 2.0**52 else np.int64 if most < 2.0**62 else object
-    return np.dtype(kind), lambda v, q: (v @ q).astype(np.int64) if kind is np.float64 else v @ q
+    return np.float64 if most < 2.0**52 else np.int64 if most < 2.0**62 else object
 
 
-def _fits(anchor: int, ids: list[int], scores: list) -> None:
-    for i, s in zip(ids, scores):
+def _fits(anchors: list[int], ids: list[int], scores: list) -> None:
+    for anchor, i, s in zip(anchors, ids, scores):
         if not -(1 << 63) <= int(s) < 1 << 63:
             raise ValueError(f"the score of vec_id {i} for anchor row {anchor} does not fit 64 bits")
 
 
-def _searched(data: DataFrame, anchors: DataFrame, n: int, n_anchors: int,
-              lists_of: Callable[[dict], list[_List]], same_label: bool) -> DataFrame:
-    """Each shard's lists for each anchor: ``(anchor, slot, vec_id, score)``."""
-    shards, sets = max(1, -(-n // SHARD_ROWS)), max(1, -(-n_anchors // SET_ANCHORS))
+def _searched(data: DataFrame, anchors: DataFrame, shards: int, sets: int, k: int, same_label: bool) -> DataFrame:
+    """Each shard's lists for each anchor: ``(anchor, slot, vec_id, score)``. Anchors
+    may have ``windows``: the least and most score of each."""
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
@@ -227,28 +255,25 @@ def _searched(data: DataFrame, anchors: DataFrame, n: int, n_anchors: int,
         raw, a_raw = mine.column("v").to_pylist(), asked.column("v").to_pylist()
         width = max(2, max(map(len, raw + a_raw)) // 8)
         v, q = _matrix(raw, width), _matrix(a_raw, width)
-        kind, score = _scorer(v, q)
+        kind = _exact(v, q)
         index = MultiIndex(v, *(np.array(mine.column(c)) for c in ("vec_id", "label", "row")))
         index.v, q = index.v.astype(kind), q.astype(kind)
-        out: tuple[list, list, list, list] = ([], [], [], [])
-        for anchor, one in zip(asked.drop_columns(["v"]).to_pylist(), q):
-
-            def wanted(rows: slice, label: int = anchor["label"], own: int = anchor["row"]) -> np.ndarray:
-                lo, hi = rows.start + np.searchsorted(index.labels[rows], [label, label + 1])
-                if same_label:
-                    at = np.arange(lo, hi)
-                    return at[index.row_no[lo:hi] != own]
-                return np.concatenate([np.arange(rows.start, lo), np.arange(hi, rows.stop)])
-
-            lists = lists_of(anchor)
-            visit(index, one, wanted, lists, score)
-            for slot, x in enumerate(lists):
-                ids, scores = x.ids.tolist(), x.scores.tolist()
-                if kind == object:
-                    _fits(anchor["row"], ids, scores)
-                for c, values in zip(out, ([anchor["row"]] * len(ids), [slot] * len(ids), ids, scores)):
-                    c += values
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, _HITS.types)], schema=_HITS)
+        asked_rows = np.array(asked.column("row"))
+        far = np.iinfo(np.int64).max
+        if "windows" in asked.column_names:
+            windows = asked.column("windows").to_pylist()
+            slots = max(map(len, windows))
+            least, most = (np.array([[w[side] for w in own] + [empty] * (slots - len(own)) for own in windows], dtype=object).astype(kind)
+                           for side, empty in (("least", 1), ("most", 0)))
+        else:
+            least, most = (np.full((len(q), 1), x, dtype=object).astype(kind) for x in (-far, far))
+        lists = Lists(least, most, k)
+        visit(index, q, np.array(asked.column("label")), asked_rows, lists, same_label)
+        of, slot = np.divmod(lists.slots, lists.width)
+        if kind is object:
+            _fits(asked_rows[of].tolist(), lists.ids.tolist(), lists.scores.tolist())
+        return pa.Table.from_arrays([pa.array(asked_rows[of]), pa.array(slot, pa.int32()), pa.array(lists.ids),
+                                     pa.array([int(x) for x in lists.scores.tolist()], pa.int64())], schema=_HITS)
 
     rows = dealt(data, "shard", shards, "set", sets)
     asked = dealt(anchors, "set", sets, "shard", shards)
@@ -270,18 +295,18 @@ def mine(vectors: DataFrame, anchor_every: int = 50, positives: int = 5, negativ
     ``high`` percent of the positive's score, both included."""
     data = settle(quantised(vectors, scale, id_col, label_col, vector_col), "negatives")
     is_anchor = F.pmod("vec_id", F.lit(anchor_every)) == 0
-    n, n_anchors = data.agg(F.count("*"), F.count(F.when(is_anchor, 1))).first()
+    n, n_anchors, width = data.agg(F.count("*"), F.count(F.when(is_anchor, 1)), F.max(F.octet_length("v"))).first()
+    shards, sets = (max(1, -(-count * max(width or 8, 8) // size)) for count, size in ((n, SHARD_BYTES), (n_anchors, SET_BYTES)))
     anchors = settle(data.where(is_anchor), "negatives-anchors")
-    near = _searched(data, anchors.select("row", "label", "v"), n, n_anchors, lambda a: [_List(positives, None, None)], True)
+    near = _searched(data, anchors.select("row", "label", "v"), shards, sets, positives, True)
     best = _merged(near, positives, "place").select("anchor", "place", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     best = settle(best, "negatives-positives")
-    of = best.groupBy(F.col("anchor").alias("row")).agg(F.array_sort(F.collect_list(F.struct("place", "positive_score"))).alias("of"))
-    asked = settle(anchors.join(of, "row").select("row", "label", "v", F.col("of.positive_score").alias("positive_scores")), "negatives-asked")
-
-    def windows(a: dict) -> list[_List]:  # low * p <= 100 * s <= high * p
-        return [_List(negatives, -(-low * p // 100), high * p // 100) for p in a["positive_scores"]]
-
-    found = _merged(_searched(data, asked, n, n_anchors, windows, False), negatives, "rank")
+    # low * p <= 100 * s <= high * p, in integers
+    p = F.col("positive_score").cast("decimal(38,0)")
+    window = F.struct("place", F.ceil(low * p / 100).cast("long").alias("least"), F.floor(high * p / 100).cast("long").alias("most"))
+    of = best.groupBy(F.col("anchor").alias("row")).agg(F.array_sort(F.collect_list(window)).alias("windows"))
+    asked = settle(anchors.join(of, "row").select("row", "label", "v", "windows"), "negatives-asked")
+    found = _merged(_searched(data, asked, shards, sets, negatives, False), negatives, "rank")
     found = found.select("anchor", (F.col("slot") + 1).alias("place"), "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     ids = anchors.select(F.col("row").alias("anchor"), F.col("vec_id").alias("anchor_id"))
     return found.join(best, ["anchor", "place"]).join(ids, "anchor").select(

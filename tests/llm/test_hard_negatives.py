@@ -43,10 +43,10 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, "x", 1, 2) for r in rows], DDL).repartition(3)
 
 
-@pytest.mark.parametrize("dims, shard, sets", [(16, 8192, 4096), (7, 100, 3), (1, 8192, 4096)])
+@pytest.mark.parametrize("dims, shard, sets", [(16, 1 << 24, 1 << 21), (7, 100 * 56, 3 * 56), (1, 1 << 24, 1 << 21)])
 def test_equal_to_brute_force(spark, monkeypatch, dims, shard, sets):
-    monkeypatch.setattr(hn, "SHARD_ROWS", shard)
-    monkeypatch.setattr(hn, "SET_ANCHORS", sets)
+    monkeypatch.setattr(hn, "SHARD_BYTES", shard)
+    monkeypatch.setattr(hn, "SET_BYTES", sets)
     rows = some_vectors(500, dims, seed=dims)
     got = sorted(map(tuple, hn.mine(frame(spark, rows)).collect()))
     want = brute(rows)
@@ -71,18 +71,26 @@ def test_visits_stop_early_and_stay_right(monkeypatch):
     centres = rng.normal(0, 200, (16, 16))
     v = np.concatenate([c + rng.normal(0, 5, (100, 16)) for c in centres]).astype(np.int64)
     index = hn.MultiIndex(v, np.arange(1600), np.zeros(1600, np.int64), np.arange(1600))
-    scored = []
-
-    def score(rows, q):
-        scored.append(len(rows))
-        return rows @ q
-
-    monkeypatch.setattr(hn, "AT_ONCE", 50)
-    for q in v[::100]:
-        best = hn._List(5, None, None)
-        hn.visit(index, q, lambda s: np.arange(s.start, s.stop), [best], score)
-        assert best.scores.tolist() == sorted((v @ q).tolist(), reverse=True)[:5]
-    assert sum(scored) < 16 * 1600 / 3
+    monkeypatch.setattr(hn, "FIRST_WAVE", 50)
+    q = v[::100].astype(float)
+    index.v = index.v.astype(float)
+    none = np.full((16, 1), np.inf)
+    lists = hn.Lists(-none, none, 5)
+    scored = hn.visit(index, q, np.zeros(16, np.int64), np.full(16, -1), lists, True)
+    want = [sorted((v @ x).tolist(), reverse=True)[:5] for x in v[::100]]
+    assert lists.scores.reshape(16, 5).tolist() == want and lists.slots.tolist() == sorted(list(range(16)) * 5)
+    assert scored < 16 * 1600 / 3
+
+
+def test_many_ties_are_cut(monkeypatch):
+    monkeypatch.setattr(hn, "HELD", 100)
+    v = np.ones((3000, 4), np.int64)
+    ids = np.random.default_rng(3).permutation(3000)
+    index = hn.MultiIndex(v, ids, np.zeros(3000, np.int64), np.arange(3000))
+    most = np.full((2, 1), 100, np.int64)
+    lists = hn.Lists(-most, most, 5)
+    hn.visit(index, v[:2], np.zeros(2, np.int64), np.full(2, -1), lists, True)
+    assert lists.ids.tolist() == [0, 1, 2, 3, 4] * 2
 
 
 def test_very_large_components(spark):
