@@ -4,10 +4,12 @@ All queries of a batch iterate together: the state holds one row per
 (query, base node). A round is authority update (L7), L2 normalisation (L9),
 hub update from this round's authorities (L8), normalisation, and the
 convergence test (L11) per query. Both updates are linear, so ``BATCH``
-rounds run unnormalised, each as two joins with the edges and two a job; one
-pass over the written vectors then gives all their norms and tests, and each
-query takes the first round that passes. Queries that have converged leave
-the active state; the loop ends when none is left.
+rounds run unnormalised, one job each: the edges stay in place
+(``PlacedEdges``) and only vectors move. The hubs are written, and the
+authorities of all the batch's rounds follow from them in one pass; another
+over the vectors then gives all their norms and tests, and each query takes
+the first round that passes. Queries that have converged leave the active
+state; the loop ends when none is left.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions.scaling import l2_change_term, signed_change_term
+from quire.operators.edges import PlacedEdges
 from quire.operators.graph import base_edges
 from quire.operators.loop import NoConvergence, RoundState
 
@@ -29,8 +32,6 @@ MAX_ITER = 10_000
 #: Rounds between two tests. The vectors grow by the largest eigenvalue each
 #: round, so the number is small enough for doubles on any graph.
 BATCH = 6
-#: Rounds in one job: more would save jobs, but each later round's plan holds the earlier ones.
-UNROLL = 2
 
 
 def convergence_passes(sum_col, tol: float):
@@ -47,7 +48,8 @@ def _unit(value: str, norm: str):
 
 
 def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = HITS_TOL,
-         max_iter: int = MAX_ITER, criterion: str = "l2", rounds: int | None = None) -> DataFrame:
+         max_iter: int = MAX_ITER, criterion: str = "l2", rounds: int | None = None,
+         broadcast: bool | None = None) -> DataFrame:
     """Run HITS per query (L6-L10, with L9 norms per query; a zero norm gives
     zeros and stops, where the reference divides 0/0 forever). Returns
     ``(query_id, node, seen, authority, hub, rounds)``.
@@ -62,43 +64,62 @@ def hits(base: DataFrame, links: DataFrame, citations: DataFrame, tol: float = H
     loop = RoundState(spark, "hits")
     term = l2_change_term if criterion == "l2" else signed_change_term
     base = loop.settle(base.select("query_id", "node", "seen"))
+    n_rows = base.count()
     cit, lnk = base_edges(base, links, citations)
-    cit, lnk = loop.settle(cit), loop.settle(lnk)
+    cit = PlacedEdges(loop, loop.settle(cit), ["query_id", "citing"], ["query_id", "node"], n_rows, broadcast)
+    lnk = PlacedEdges(loop, loop.settle(lnk), ["query_id", "dst"], ["query_id", "node"], n_rows, broadcast)
+    try:
+        return _iterated(loop, base, cit, lnk, tol, max_iter, term, rounds)
+    finally:
+        cit.close()
+        lnk.close()
+
+
+def _authorities(cit: PlacedEdges, hub: DataFrame, *keys: str) -> DataFrame:
+    """a(p) = sum of hub(q) over q citing p, inside the base."""
+    return cit.pull(hub.withColumnRenamed("node", "citing")).groupBy(*keys, "query_id", "node").agg(F.sum("value").alias("value"))
+
+
+def _hubs(lnk: PlacedEdges, auth: DataFrame) -> DataFrame:
+    """h(p) = sum of a(q) over q that p links to, inside the base."""
+    return lnk.pull(auth.withColumnRenamed("node", "dst")).groupBy("query_id", "node").agg(F.sum("value").alias("value"))
+
+
+def _iterated(loop: RoundState, base: DataFrame, cit: PlacedEdges, lnk: PlacedEdges, tol: float, max_iter: int, term,
+              rounds: int | None) -> DataFrame:
     state = base.select("*", F.lit(0.0).alias("a0"), F.lit(0.0).alias("h0"))
     hub = base.select("query_id", "node", F.lit(1.0).alias("value"))
-    finished: list[DataFrame] = []
-    done_rounds = 0
+    done_rounds, batch = 0, 0
     while True:
         steps = min(BATCH, (rounds if rounds is not None else max_iter) - done_rounds)
-        tables: dict[str, DataFrame] = {}
-        for s in range(1, steps + 1, UNROLL):
-            parts, last = [], min(s + UNROLL - 1, steps)
-            for k in range(s, last + 1):
-                # a(p) = sum of hub(q) over q citing p, inside the base; L8 on this round's authorities
-                auth = cit.join(hub.withColumnRenamed("node", "citing"), ["query_id", "citing"]).groupBy(
-                    "query_id", "node").agg(F.sum("value").alias("value"))
-                hub = lnk.join(auth.withColumnRenamed("node", "dst"), ["query_id", "dst"]).groupBy(
-                    "query_id", "node").agg(F.sum("value").alias("value"))
-                parts += [auth.select("*", F.lit(f"a{k}").alias("of")), hub.select("*", F.lit(f"h{k}").alias("of"))]
-            name = f"steps{done_rounds + s}"
-            tables[name] = loop.settle(reduce(DataFrame.unionByName, parts), name)
-            hub = tables[name].where(F.col("of") == f"h{last}").drop("of")
-        vectors = reduce(DataFrame.unionByName, tables.values()).groupBy("query_id", "node").agg(
+        begin = hub
+        names = [f"hubs{done_rounds + s}" for s in range(1, steps + 1)]
+        hubs: list[DataFrame] = []
+        for name in names:
+            hub = loop.settle(_hubs(lnk, _authorities(cit, hub)), name)
+            hubs.append(hub)
+        before = reduce(DataFrame.unionByName, (h.select("*", F.lit(s).alias("step")) for s, h in enumerate([begin, *hubs[:-1]], 1)))
+        auths = _authorities(cit, before, "step").select("query_id", "node", F.concat(F.lit("a"), "step").alias("of"), "value")
+        after = reduce(DataFrame.unionByName, (h.select("query_id", "node", F.lit(f"h{s}").alias("of"), "value") for s, h in enumerate(hubs, 1)))
+        vectors = auths.unionByName(after).groupBy("query_id", "node").agg(
             *(F.max(F.when(F.col("of") == f"{v}{k}", F.col("value"))).alias(f"{v}{k}") for k in range(1, steps + 1) for v in "ah"))
         state = loop.next_round(state.join(vectors, ["query_id", "node"], "left").na.fill(0.0))
         state, active = _tested(loop, state, steps, tol, term, rounds is None)
         done_rounds += steps
         at_end = rounds is not None and done_rounds >= rounds
-        finished.append(loop.settle(state.where(F.lit(True) if at_end else F.col("stop").isNotNull()).select(
+        loop.settle(state.where(F.lit(True) if at_end else F.col("stop").isNotNull()).select(
             "query_id", "node", "seen", F.col("a0").alias("authority"), F.col("h0").alias("hub"),
-            (F.coalesce("stop", F.lit(steps)) + (done_rounds - steps)).alias("rounds"))))
+            (F.coalesce("stop", F.lit(steps)) + (done_rounds - steps)).alias("rounds")), f"finished/batch={batch}")
+        batch += 1
         if at_end or not active:
-            return reduce(DataFrame.unionByName, finished)
+            ddl = f"query_id {base.schema['query_id'].dataType.simpleString()}, node {base.schema['node'].dataType.simpleString()}, " \
+                  f"seen {base.schema['seen'].dataType.simpleString()}, authority double, hub double, rounds int"
+            return loop.spark.read.schema(ddl).parquet(f"{loop.root}/finished").drop("batch")
         if rounds is None and done_rounds >= max_iter:
             raise NoConvergence(f"HITS has not converged in {max_iter} rounds for some query")
         state = state.where(F.col("stop").isNull()).select("query_id", "node", "seen", "a0", "h0")
         hub = state.select("query_id", "node", F.col("h0").alias("value"))
-        for name in tables:
+        for name in names:
             loop.delete(name)
 
 

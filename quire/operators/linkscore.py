@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.scaling import RANGE_MAX_START, RANGE_MIN_START, l2_change_term, minmax_scale
+from quire.operators.edges import PlacedEdges
 from quire.operators.graph import minmax_vector
 from quire.operators.loop import NoConvergence, RoundState
 
@@ -130,26 +131,43 @@ def ordered_sweep(rows: DataFrame, nodes: DataFrame, n_nodes, scale: bool = True
 
 
 def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
-              max_iter: int = MAX_ITER) -> DataFrame:
+              max_iter: int = MAX_ITER, broadcast: bool | None = None) -> DataFrame:
     """Repeat L19 + L21 with a synchronous update until
     ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``; raises
     :class:`NoConvergence` when ``max_iter`` rounds do not suffice.
 
-    A round is one job: it writes the unscaled vector beside the vector it
-    came from and observes its range; the scaling (L21) is applied with that
-    range when the vector is read. The changes of ``BATCH`` rounds are one
-    scan of their tables, and the first that passes is the result.
+    The row entries stay in place (``PlacedEdges``); a round moves the vector or
+    sums of it. Every node has an entry of its own beside its row's, which
+    brings its old score along. A round is one job: it writes the unscaled
+    vector beside the vector it came from and observes its range; the scaling
+    (L21) is applied with that range when the vector is read. The changes of
+    ``BATCH`` rounds are one scan of their tables, and the first that passes is
+    the result.
     """
     loop = RoundState(rows.sparkSession, "linkscore")
     inv_n = 1.0 / max(_number(rows, n_nodes), 1.0)
-    edges = loop.settle(rows.select("i", "j"))
     cur = loop.settle(nodes.select("node", F.lit(inv_n).alias("score")))
+    entries = rows.select("i", "j", F.lit(False).alias("own")).unionByName(
+        nodes.select(F.col("node").alias("i"), F.col("node").alias("j"), F.lit(True).alias("own")))
+    placed = PlacedEdges(loop, entries, ["j"], ["i"], cur.count(), broadcast)
+    try:
+        return _iterated(loop, placed, cur, inv_n, tol, max_iter)
+    finally:
+        placed.close()
+
+
+def link_round(placed: PlacedEdges, cur: DataFrame, inv_n: float) -> DataFrame:
+    """One synchronous update: ``(node, old, raw)``."""
+    sums = placed.pull(cur.withColumnRenamed("node", "j")).groupBy(F.col("i").alias("node")).agg(
+        F.max(F.when(F.col("own"), F.col("score"))).alias("old"), F.sum(F.when(~F.col("own"), F.col("score"))).alias("s"))
+    return sums.where(F.col("old").isNotNull()).select(
+        "node", "old", F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(inv_n)).alias("raw"))
+
+
+def _iterated(loop: RoundState, placed: PlacedEdges, cur: DataFrame, inv_n: float, tol: float, max_iter: int) -> DataFrame:
     rounds: list[tuple[int, DataFrame, Column]] = []
     for r in range(1, max_iter + 1):
-        sums = edges.join(cur.withColumnRenamed("node", "j"), "j").groupBy(F.col("i").alias("node")).agg(F.sum("score").alias("s"))
-        nxt = cur.withColumnRenamed("score", "old").join(sums, "node", "left").select(
-            "node", "old", F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(inv_n)).alias("raw"))
-        nxt, m = loop.next_round(nxt, F.max("raw").alias("mx"), F.min("raw").alias("mn"), keep=BATCH)
+        nxt, m = loop.next_round(link_round(placed, cur, inv_n), F.max("raw").alias("mx"), F.min("raw").alias("mn"), keep=BATCH)
         if m["mx"] is None:  # no nodes
             return cur.select("node", "score", F.lit(r).alias("rounds"))
         scaled = minmax_scale("raw", F.lit(min(RANGE_MIN_START, m["mn"])), F.lit(max(RANGE_MAX_START, m["mx"])), digits=None)
