@@ -202,6 +202,13 @@ class Index:
     term_stats: DataFrame    # term, df, idf
     doc_norms: DataFrame     # doc_id, tf_norm, tfidf_norm
     n_docs: Column           # scalar
+    terms: DataFrame | None = None  # doc_id, terms array<struct<term, tf>>: postings by document, of an index just built
+
+
+def document_norms(dt: DataFrame, stats: DataFrame) -> DataFrame:
+    """T12 and T13 together from per-document term arrays; only documents with
+    postings, as in the reference."""
+    return tfidf_norms(explode_terms(dt), stats).join(tf_norms_from_terms(dt), "doc_id").select("doc_id", "tf_norm", "tfidf_norm")
 
 
 def build_index(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN,
@@ -218,6 +225,4 @@ def build_index(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PA
     n = corpus_size(dt)
     stats = term_stats(post, n)
     # inner join: only documents with postings have norms, as in the reference
-    norms = tfidf_norms(post, stats).join(tf_norms_from_terms(dt), "doc_id").select(
-        "doc_id", "tf_norm", "tfidf_norm")
-    return Index(docs=dt.drop("terms"), postings=post, term_stats=stats, doc_norms=norms, n_docs=n)
+    return Index(docs=dt.drop("terms"), postings=post, term_stats=stats, doc_norms=document_norms(dt, stats), n_docs=n, terms=dt)

@@ -66,8 +66,7 @@ def unranked_search(index: Index, queries: DataFrame) -> DataFrame:
 def known_words(index: Index, qt: DataFrame) -> DataFrame:
     """The distinct words of ``qt`` that the index has, with their statistics:
     few rows, so that words without any are found between two small sides."""
-    words = RoundState(qt.sparkSession, "query-words").settle(qt.select(F.col("word").alias("term")).distinct())
-    return index.term_stats.join(words, "term").withColumnRenamed("term", "word")
+    return index.term_stats.join(qt.select(F.col("word").alias("term")).distinct(), "term").withColumnRenamed("term", "word")
 
 
 def missing_keywords(index: Index, queries: DataFrame) -> DataFrame:
@@ -106,11 +105,17 @@ def cosine_scores(index: Index, queries: DataFrame, mode="tfidf") -> DataFrame:
         F.min("pos").alias("first_pos"))
 
 
+def _extremes(scores: DataFrame) -> DataFrame:
+    """Greatest and least score of each query, NaN skipped. It reads all columns of
+    the scores, so that their shuffle is the same as the top list's, and shared."""
+    value = F.when(F.col("first_pos").isNotNull(), not_nan("cosine"))
+    return scores.groupBy("query_id").agg(F.max(value).alias("q_max"), F.min(value).alias("q_min"))
+
+
 def score_range(scores: DataFrame) -> DataFrame:
     """Per query ``(query_id, max_score, min_score)``; NaN skipped; max
     starts at 0.0 and min at the largest double."""
-    return scores.groupBy("query_id").agg(
-        F.max(not_nan("cosine")).alias("q_max"), F.min(not_nan("cosine")).alias("q_min")).select(
+    return _extremes(scores).select(
         "query_id",
         F.greatest(F.lit(RANGE_MAX_START), F.coalesce("q_max", F.lit(RANGE_MAX_START))).alias("max_score"),
         F.coalesce("q_min", F.lit(RANGE_MIN_START)).alias("min_score"))
@@ -119,9 +124,7 @@ def score_range(scores: DataFrame) -> DataFrame:
 def session_range(scores: DataFrame) -> DataFrame:
     """Running range over the batch in query order (the reference keeps
     max/min across queries), by range partitions of the query ids."""
-    per_q = scores.groupBy("query_id").agg(
-        F.max(not_nan("cosine")).alias("q_max"), F.min(not_nan("cosine")).alias("q_min"))
-    return running_extremes(per_q, "query_id", "q_max", "q_min").select(
+    return running_extremes(_extremes(scores), "query_id", "q_max", "q_min").select(
         "query_id", F.greatest(F.lit(RANGE_MAX_START), F.coalesce("run_max", F.lit(RANGE_MAX_START))).alias("max_score"),
         F.coalesce("run_min", F.lit(RANGE_MIN_START)).alias("min_score"))
 
@@ -144,9 +147,13 @@ def rank(index: Index, queries: DataFrame, mode="tfidf", k: int = TOP_K,
 
     ``score`` is the min-max scaled cosine, half-up to 5 digits (R7);
     ``normalize="session"`` scales by the running range over the batch (R8).
+    On a stored index the range and the top k read one shuffle of the scores by
+    query and document; scores of an index that is not stored are written once.
     The URL is fetched after the limit, for k rows per query only.
     """
-    scores = RoundState(queries.sparkSession, "scores").settle(cosine_scores(index, queries, mode))
+    scores = cosine_scores(index, queries, mode)
+    if "bucket" not in index.postings.columns:
+        scores = RoundState(queries.sparkSession, "scores").settle(scores)
     ranges = session_range(scores) if normalize == "session" else score_range(scores)
     best = top_k(scores, k).join(ranges, "query_id")
     best = best.join(index.docs, "doc_id", "left")

@@ -25,8 +25,6 @@ from quire.sources.tables import documents_corpus, pages_corpus, read_table
 # word, an upper-case word), and the term looked up directly.
 DOC_QUERIES = ["the", "the und the", "von zu absentword", "The", "inon thnd of er"]
 LOOKUP_TERM = "the"
-# The given tables are files of one row group: deal their rows to so many tasks.
-TABLE_TASKS = 8
 # A slice inside a small vocabulary, beside the reference's deep one.
 NEAR_SLICE_OFFSET = 1000
 
@@ -36,7 +34,7 @@ def doc_queries(spark: SparkSession) -> DataFrame:
 
 
 def _index(spark, sf_dir) -> ix.Index:
-    return ix.build_index(documents_corpus(spark, sf_dir, TABLE_TASKS))
+    return ix.build_index(documents_corpus(spark, sf_dir))
 
 
 def q_corpus_size(spark, sf_dir):
@@ -45,27 +43,27 @@ def q_corpus_size(spark, sf_dir):
 
 
 def q_postings(spark, sf_dir):
-    return ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS))
+    return ix.postings(documents_corpus(spark, sf_dir))
 
 
 def q_vocabulary(spark, sf_dir):
-    return ix.vocabulary(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)))
+    return ix.vocabulary(ix.postings(documents_corpus(spark, sf_dir)))
 
 
 def q_vocabulary_slice(spark, sf_dir):
-    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)))
+    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir)))
 
 
 def q_document_frequency(spark, sf_dir):
-    return ix.document_frequency(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)))
+    return ix.document_frequency(ix.postings(documents_corpus(spark, sf_dir)))
 
 
 def q_postings_lookup(spark, sf_dir):
-    return ix.postings_lookup(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)), LOOKUP_TERM)
+    return ix.postings_lookup(ix.postings(documents_corpus(spark, sf_dir)), LOOKUP_TERM)
 
 
 def q_document_lookup(spark, sf_dir):
-    docs = pages_corpus(spark, sf_dir, TABLE_TASKS)
+    docs = pages_corpus(spark, sf_dir)
     ids = ix.postings_lookup(ix.postings(docs), LOOKUP_TERM)
     return ix.document_lookup(docs, ids)
 
@@ -78,16 +76,16 @@ def q_decoded_paths(spark, sf_dir):
 
 
 def q_vocabulary_slice_near(spark, sf_dir):
-    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS)), offset=NEAR_SLICE_OFFSET)
+    return ix.vocabulary_slice(ix.postings(documents_corpus(spark, sf_dir)), offset=NEAR_SLICE_OFFSET)
 
 
 def q_postings_stop_words(spark, sf_dir):
-    return ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS), stop_words=ENGLISH_STOP_WORDS)
+    return ix.postings(documents_corpus(spark, sf_dir), stop_words=ENGLISH_STOP_WORDS)
 
 
 def q_rank_stop_words(spark, sf_dir):
     """Ranked search over an index without stop words: ``the`` finds nothing."""
-    index = ix.build_index(documents_corpus(spark, sf_dir, TABLE_TASKS), stop_words=ENGLISH_STOP_WORDS)
+    index = ix.build_index(documents_corpus(spark, sf_dir), stop_words=ENGLISH_STOP_WORDS)
     r = rk.rank(index, doc_queries(spark), mode=rk.MODE_TFIDF)
     return r.select("query_id", "rank", "doc_id", "url", "score")
 
@@ -122,7 +120,7 @@ def q_term_idf(spark, sf_dir):
 
 
 def q_tf_norms(spark, sf_dir):
-    post = ix.postings(documents_corpus(spark, sf_dir, TABLE_TASKS))
+    post = ix.postings(documents_corpus(spark, sf_dir))
     return ix.tf_norms(post).select("doc_id", F.round("tf_norm", 9).alias("tf_norm"))
 
 

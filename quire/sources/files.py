@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.index import Index, build_index, term_bucket, term_stats
+from quire.operators.index import Index, document_norms, term_bucket
 from quire.operators.numbering import dense_ids
 
 _CORPUS = "path string, modified bigint, text string"
@@ -84,29 +84,59 @@ def with_dense_ids(docs: DataFrame, key: str) -> DataFrame:
     return docs.join(dense_ids(docs.select(key), [key]), key)
 
 
+_NORMS = "doc_id bigint, tf_norm double, tfidf_norm double"
+#: Parquet row groups of the documents table: what a look-up of one document reads.
+DOCS_ROW_GROUP = 4 << 20
+
+
+#: Slices of a folder by document: a hot term spans as many tasks, and more where it fills them.
+FOLDER_SLICES = 4
+
+
+def write_docs(docs: DataFrame, path: str) -> None:
+    """Documents in the order of their ids, in small row groups with Bloom filters."""
+    options = {"parquet.block.size": DOCS_ROW_GROUP, "parquet.block.row.count.limit": 20_000,
+               "parquet.bloom.filter.enabled#doc_id": "true", "parquet.bloom.filter.enabled#path": "true"}
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.options(**options).parquet(path)
+
+
+def write_postings(post: DataFrame, path: str) -> None:
+    """Postings with their norms in folders of terms."""
+    slice_ = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDER_SLICES))
+    (post.select("*", term_bucket("term").alias("bucket"), slice_.alias("_slice")).hint("rebalance", "bucket", "_slice").drop("_slice")
+     .sortWithinPartitions("bucket", "term", "doc_id").write.partitionBy("bucket").parquet(path))
+
+
 def write_index(index: Index, out: str) -> None:
     """Write the index tables, replacing the index at ``out``.
 
-    Postings are dealt into folders by a hash of the term, range-partitioned
-    and sorted by (folder, term, document): a look-up reads one folder and, in
-    it, the row groups of its term, while a term of most documents still spans
-    several files. Postings carry their document's norms, so scoring needs no
-    join with them. Everything goes to a new version folder; the pointer to it
-    is written last, so readers see the old index or the whole new one. Old
-    versions stay until ``drop_old_versions``.
+    Postings are dealt into folders by a hash of the term and sorted by (term,
+    document) in their files: a look-up reads one folder and, in it, the row
+    groups of its term. The rebalancing shuffle splits a folder with a term of
+    most documents over several tasks and files, without a sampling pass.
+    Postings carry their document's norms, so scoring needs no join with them;
+    they are attached to the documents' term arrays, before these become rows.
+    Documents are sorted by id, with Bloom filters on id and path, so a look-up
+    of one reads one row group. Everything goes to a new version folder; the
+    pointer to it is written last, so readers see the old index or the whole
+    new one. Old versions stay until ``drop_old_versions``.
     """
-    spark = index.postings.sparkSession
+    spark = index.docs.sparkSession
     version = f"v-{uuid.uuid4().hex[:12]}"
     to = os.path.join(out, version)
-    index.docs.write.parquet(os.path.join(to, "docs"))
-    stats = index.term_stats
-    stats.write.parquet(os.path.join(to, "term_stats"))
-    index.doc_norms.write.parquet(os.path.join(to, "doc_norms"))
-    norms = spark.read.parquet(os.path.join(to, "doc_norms"))
-    post = (index.postings.select("doc_id", "term", "tf").join(norms, "doc_id")
-            .withColumn("bucket", term_bucket("term")).repartitionByRange("bucket", "term", "doc_id")
-            .sortWithinPartitions("bucket", "term", "doc_id"))
-    post.write.partitionBy("bucket").parquet(os.path.join(to, "postings"))
+    write_docs(index.docs, os.path.join(to, "docs"))
+    index.term_stats.write.parquet(os.path.join(to, "term_stats"))
+    if index.terms is not None:  # statistics are read back, not computed again
+        stats = spark.read.schema(index.term_stats.schema).parquet(os.path.join(to, "term_stats"))
+        document_norms(index.terms, stats).write.parquet(os.path.join(to, "doc_norms"))
+        norms = spark.read.schema(_NORMS).parquet(os.path.join(to, "doc_norms"))
+        own = index.terms.select("doc_id", "terms").join(norms, "doc_id")
+        post = own.select("doc_id", F.inline_outer("terms"), "tf_norm", "tfidf_norm").where(F.col("term").isNotNull())
+    else:
+        index.doc_norms.write.parquet(os.path.join(to, "doc_norms"))
+        norms = spark.read.schema(_NORMS).parquet(os.path.join(to, "doc_norms"))
+        post = index.postings.select("doc_id", "term", "tf").join(norms, "doc_id")
+    write_postings(post, os.path.join(to, "postings"))
     pointer = spark.createDataFrame([(time.time_ns(), version)], "at bigint, version string")
     pointer.coalesce(1).write.mode("append").parquet(os.path.join(out, "versions"))
 

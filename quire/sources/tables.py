@@ -18,21 +18,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def documents_corpus(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
-    """The ``documents`` table as a corpus; ``source`` serves as the stored path.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df``, dealt out by ``key`` if its files have fewer splits than the session
+    has cores (a small table of one row group); larger tables keep their splits,
+    and no text is shuffled. Spark sizes the partitions."""
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(key)
 
-    ``tasks`` deals the rows into that many partitions, for a table of a single
-    row group; by default the file splits stand and no text is shuffled.
-    """
-    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text")
-    return d.repartition(tasks, "doc_id") if tasks else d
+
+def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` table as a corpus; ``source`` serves as the stored path."""
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("path"), "text"), "doc_id")
 
 
-def pages_corpus(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+def pages_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``pages`` table as a corpus: raw HTML is the content, URL the path."""
-    p = read_table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("doc_id"), F.col("url").alias("path"), F.col("html").alias("text"))
-    return p.repartition(tasks, "doc_id") if tasks else p
+    return spread(read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("doc_id"), F.col("url").alias("path"), F.col("html").alias("text")), "doc_id")
 
 
 def _with_page_count(pages: DataFrame) -> DataFrame:

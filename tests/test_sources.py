@@ -205,3 +205,27 @@ def test_stream_ingest(spark):
     start_ingest(spark, src, os.path.join(log, "v"), ck, trigger_once=True).awaitTermination(120)
     cur = {r.path: r.text for r in current_corpus(spark, os.path.join(log, "v")).collect()}
     assert len(cur) == 2 and cur["sub/p1.txt"] == "changed text"
+
+
+def test_look_up_of_one_document_reads_one_row_group(spark):
+    from quire.sources.files import write_docs
+    n = 120_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("p"), F.md5(F.col("id").cast("string"))).alias("path"))
+    out = os.path.join(tempfile.mkdtemp(), "docs")
+    write_docs(docs.repartition(5), out)
+    stored = spark.read.parquet(out)
+    path = stored.where("doc_id = 77777").first().path
+    assert 0 < _scanned(stored.where("doc_id = 77777"), "doc_id") <= 20_000
+    assert 0 < _scanned(stored.where(F.col("path") == path), "path") <= 40_000  # a Bloom filter may let another pass
+    assert _scanned(stored.where("path = 'nowhere'"), "path") <= 20_000
+    assert stored.count() == n
+
+
+def test_top_list_and_range_share_one_shuffle(spark, fixture_docs, fixture_queries):
+    out = tempfile.mkdtemp()
+    write_index(ix.build_index(fixture_docs), out)
+    ranked = rk.rank(read_index(spark, out), fixture_queries)
+    ranked.collect()
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
