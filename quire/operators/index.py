@@ -203,6 +203,9 @@ class Index:
     doc_norms: DataFrame     # doc_id, tf_norm, tfidf_norm
     n_docs: Column           # scalar
     terms: DataFrame | None = None  # doc_id, terms array<struct<term, tf>>: postings by document, of an index just built
+    block_max: DataFrame | None = None  # bucket, term, block, tf_max, tfidf_max, of a stored index
+    block_docs: int = 0      # documents of a block
+    block_min_df: int = 0    # least document frequency of a term in block_max
 
 
 def document_norms(dt: DataFrame, stats: DataFrame) -> DataFrame:

@@ -9,10 +9,13 @@ HTML for a batch of typed queries.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.scaling import l2_change_term, signed_change_term
+from quire.operators import blockmax
 from quire.operators import graph as gr
 from quire.operators import hits as ht
 from quire.operators import index as ix
@@ -22,7 +25,8 @@ from quire.operators.runs import consecutive_runs
 from quire.sources.adjacency import parse_adjacency
 from quire.operators.loop import RoundState
 from quire.operators.numbering import dense_ids
-from quire.sources.files import upsert_documents
+from quire.session import checkpoint_dir
+from quire.sources.files import read_index, upsert_documents, write_index
 from quire.sources.tables import adjacency_lines, page_links, pages_corpus, read_table, transpose_links
 
 # The root-set query batch over the pages (frequent words at
@@ -97,6 +101,13 @@ def q_root_set(spark, sf_dir):
     return _root(spark, sf_dir)
 
 
+def q_root_set_block_max(spark, sf_dir):
+    """The root set from the stored index of the pages, by block-max pruning."""
+    out = f"{checkpoint_dir(spark).rstrip('/')}/stored-pages-{uuid.uuid4().hex[:12]}"
+    write_index(ix.build_index(pages_corpus(spark, sf_dir)), out, block_docs=16, block_min_df=32)
+    return blockmax.root_set(read_index(spark, out), page_queries(spark), ROOT_MODE)
+
+
 def q_base_set(spark, sf_dir):
     return _flat_seen(_base(spark, sf_dir))
 
@@ -229,6 +240,7 @@ QUERIES = {
     "in_links": q_in_links,
     "degrees": q_degrees,
     "root_set": q_root_set,
+    "root_set_block_max": q_root_set_block_max,
     "base_set": q_base_set,
     "hits_authorities": q_hits_authorities,
     "hits_hubs": q_hits_hubs,
@@ -411,6 +423,7 @@ FROM merged""",
         FROM (SELECT src AS node, count(*) AS c FROM links GROUP BY src) a
         FULL OUTER JOIN (SELECT doc AS node, count(*) AS c FROM citations GROUP BY doc) b ON a.node = b.node""",
     "root_set": _page_head() + "SELECT query_id, node, root_rank FROM root",
+    "root_set_block_max": _page_head() + "SELECT query_id, node, root_rank FROM root",
     "base_set": _page_head() + "SELECT query_id, node, seen_stage, seen_rank, seen_pos FROM base",
     "hits_authorities": _hits_top("authority"),
     "hits_hubs": _hits_top("hub"),

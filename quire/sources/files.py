@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators.blockmax import BLOCK_DOCS, MIN_DF, block_maxima, block_of
 from quire.operators.index import Index, document_norms, term_bucket
 from quire.operators.numbering import dense_ids
 
@@ -89,7 +90,7 @@ _NORMS = "doc_id bigint, tf_norm double, tfidf_norm double"
 DOCS_ROW_GROUP = 4 << 20
 
 
-#: Slices of a folder by document: a hot term spans as many tasks, and more where it fills them.
+#: Slices of a folder by block of documents: a hot term spans as many tasks, and more where it fills them.
 FOLDER_SLICES = 4
 
 
@@ -102,12 +103,21 @@ def write_docs(docs: DataFrame, path: str) -> None:
 
 def write_postings(post: DataFrame, path: str) -> None:
     """Postings with their norms in folders of terms."""
-    slice_ = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDER_SLICES))
+    slice_ = F.pmod(block_of("doc_id", BLOCK_DOCS), F.lit(FOLDER_SLICES))
     (post.select("*", term_bucket("term").alias("bucket"), slice_.alias("_slice")).hint("rebalance", "bucket", "_slice").drop("_slice")
-     .sortWithinPartitions("bucket", "term", "doc_id").write.partitionBy("bucket").parquet(path))
+     .sortWithinPartitions("bucket", "term", "doc_id").write.option("parquet.page.row.count.limit", BLOCK_DOCS)
+     .partitionBy("bucket").parquet(path))
 
 
-def write_index(index: Index, out: str) -> None:
+def write_block_maxima(spark: SparkSession, to: str, block_docs: int, min_df: int) -> None:
+    """Block maxima of a version's postings, and the parameters they were made with."""
+    post, stats = (spark.read.parquet(os.path.join(to, t)) for t in ("postings", "term_stats"))
+    block_maxima(post, stats, block_docs, min_df).write.parquet(os.path.join(to, "block_max"))
+    (spark.createDataFrame([(block_docs, min_df)], "block_docs int, block_min_df int").coalesce(1)
+     .write.parquet(os.path.join(to, "layout")))
+
+
+def write_index(index: Index, out: str, block_docs: int = BLOCK_DOCS, block_min_df: int = MIN_DF) -> None:
     """Write the index tables, replacing the index at ``out``.
 
     Postings are dealt into folders by a hash of the term and sorted by (term,
@@ -137,6 +147,7 @@ def write_index(index: Index, out: str) -> None:
         norms = spark.read.schema(_NORMS).parquet(os.path.join(to, "doc_norms"))
         post = index.postings.select("doc_id", "term", "tf").join(norms, "doc_id")
     write_postings(post, os.path.join(to, "postings"))
+    write_block_maxima(spark, to, block_docs, block_min_df)
     pointer = spark.createDataFrame([(time.time_ns(), version)], "at bigint, version string")
     pointer.coalesce(1).write.mode("append").parquet(os.path.join(out, "versions"))
 
@@ -149,11 +160,14 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
 def read_index(spark: SparkSession, path: str) -> Index:
     at = os.path.join(path, _versions(spark, path)[-1])
     docs = spark.read.parquet(os.path.join(at, "docs"))
+    layout = spark.read.parquet(os.path.join(at, "layout")).first()
     return Index(docs=docs,
                  postings=spark.read.parquet(os.path.join(at, "postings")),
                  term_stats=spark.read.parquet(os.path.join(at, "term_stats")),
                  doc_norms=spark.read.parquet(os.path.join(at, "doc_norms")),
-                 n_docs=docs.agg(F.count(F.lit(1))).scalar())
+                 n_docs=docs.agg(F.count(F.lit(1))).scalar(),
+                 block_max=spark.read.parquet(os.path.join(at, "block_max")), block_docs=layout.block_docs,
+                 block_min_df=layout.block_min_df)
 
 
 def drop_old_versions(spark: SparkSession, path: str) -> None:
