@@ -18,8 +18,8 @@ from quire.operators import rank as rk
 from quire.functions.text import ENGLISH_STOP_WORDS
 from quire.operators.numbering import dense_ids
 from quire.session import checkpoint_dir
-from quire.sources.files import read_index, write_index
-from quire.sources.tables import documents_corpus, pages_corpus, read_table
+from quire.sources.files import read_index, upsert_index, write_index
+from quire.sources.tables import documents_corpus, pages_corpus, read_table, spread
 
 # The query batch typed at the prompt (a repeated word, an absent
 # word, an upper-case word), and the term looked up directly.
@@ -106,6 +106,20 @@ def q_stored_postings_lookup(spark, sf_dir):
     return ix.postings_lookup(_stored(spark, sf_dir).postings, LOOKUP_TERM)
 
 
+def q_index_upsert(spark, sf_dir):
+    """The stored index of the pages, then an upsert: every document under its own
+    path, and a changed text of the English pages under theirs."""
+    pages = read_table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.col("html").alias("text"))
+    out = f"{checkpoint_dir(spark).rstrip('/')}/upserted-index-{uuid.uuid4().hex[:12]}"
+    write_index(ix.build_index(spread(dense_ids(pages, ["path"]), "doc_id")), out)
+    docs = read_table(spark, sf_dir, "documents").select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("path"), "text")
+    changed = pages.where(F.contains("path", F.lit("/en/"))).select("path", F.replace("text", F.lit("the"), F.lit("thee")).alias("text"))
+    upsert_index(spark, out, docs.unionByName(changed))
+    index = read_index(spark, out)
+    return index.docs.join(index.doc_norms, "doc_id", "left").select(
+        "path", F.round("tf_norm", 6).alias("tf_norm"), F.round("tfidf_norm", 6).alias("tfidf_norm"))
+
+
 def q_dense_doc_ids(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return dense_ids(pages, ["url", "page_id"]).select("doc_id", "page_id", "url")
@@ -191,6 +205,7 @@ QUERIES = {
     "document_frequency": q_document_frequency,
     "postings_lookup": q_postings_lookup,
     "document_lookup": q_document_lookup,
+    "index_upsert": q_index_upsert,
     "dense_doc_ids": q_dense_doc_ids,
     "doc_id_audit": q_doc_id_audit,
     "term_idf": q_term_idf,
@@ -321,6 +336,14 @@ ORACLE = {
         count(*) = count(DISTINCT CASE WHEN doc_id >= 0 AND doc_id < (SELECT count(*) FROM documents)
                                        THEN doc_id END) AS complete
         FROM documents""",
+    "index_upsert": f"""
+WITH docs AS (SELECT url AS path, CASE WHEN contains(url, '/en/') THEN replace(html, 'the', 'thee') ELSE html END AS text FROM pages
+              UNION ALL SELECT source || '/' || CAST(doc_id AS VARCHAR), text FROM documents),
+toks AS (SELECT path, unnest(regexp_extract_all(lower(text), '{_TOKEN}')) AS term FROM docs),
+postings AS (SELECT path, term, count(*) AS tf FROM toks GROUP BY path, term),
+stats AS (SELECT term, ln((SELECT count(*) FROM docs) / count(*)) AS idf FROM postings GROUP BY term),
+norms AS (SELECT path, sqrt(sum(tf * tf)) AS tf_norm, sqrt(sum(pow(tf * idf, 2))) AS tfidf_norm FROM postings JOIN stats USING (term) GROUP BY path)
+SELECT path, round(tf_norm, 6) AS tf_norm, round(tfidf_norm, 6) AS tfidf_norm FROM docs LEFT JOIN norms USING (path)""",
     "term_idf": BASE + "SELECT term, df, round(idf, 9) AS idf FROM term_stats",
     "tf_norms": BASE + "SELECT doc_id, round(tf_norm, 9) AS tf_norm FROM norms",
     "tfidf_norms": BASE + "SELECT doc_id, round(tfidf_norm, 9) AS tfidf_norm FROM norms",

@@ -16,12 +16,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.text import TOKEN_PATTERN
 from quire.operators.blockmax import BLOCK_DOCS, MIN_DF, block_maxima, block_of
-from quire.operators.index import Index, document_norms, term_bucket
+from quire.operators.index import Index, doc_terms, document_norms, explode_terms, term_bucket, tf_norms, tfidf_norms
+from quire.operators.loop import RoundState
 from quire.operators.numbering import dense_ids
 
-_CORPUS = "path string, modified bigint, text string"
-
 
 def decoded_path(uri: Column) -> Column:
     """The path of a file URI as ``_metadata.file_path`` gives it: percent escapes
@@ -30,14 +30,34 @@ def decoded_path(uri: Column) -> Column:
     return F.regexp_replace(plain, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
 
 
-def _listed(spark: SparkSession, root: str) -> tuple[str, list[tuple[str, int]], list[str]]:
-    """The root's own path; empty files under it with their modified times; and
-    the files that Spark's sources hide (a name, or a folder's, that begins with
-    ``_`` or ``.``), by the file system's listing."""
+def _root_path(spark: SparkSession, root: str) -> str:
+    """The root's own path, without scheme and host."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    top = fs.makeQualified(path).toUri().getPath().rstrip("/")
-    files, empty, hidden = fs.listFiles(path, True), [], []
+    return fs.makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, modified, length)`` of the files under ``root`` that Spark's sources
+    read, as rows of the binary-file source: no content is read."""
+    top = _root_path(spark, root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select(F.substring(decoded_path(F.col("path")), len(top) + 2, 1 << 30).alias("path"),
+                        F.unix_millis("modificationTime").alias("modified"), "length")
+
+
+def _passed_over(spark: SparkSession, root: str) -> tuple[list[tuple[str, int]], list[str]]:
+    """What Spark's sources pass over under ``root``: empty files with their
+    modified times, and files that they hide (a name, or a folder's, that
+    begins with ``_`` or ``.``).
+
+    The file system counts all files in one call and Spark counts the rows of
+    its listing; only if they differ are the files gone through one by one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getContentSummary(path).getFileCount() == listing(spark, root).count():
+        return [], []
+    top, files, empty, hidden = _root_path(spark, root), fs.listFiles(path, True), [], []
     while files.hasNext():
         f = files.next()
         rel = f.getPath().toUri().getPath()[len(top) + 1:]
@@ -46,7 +66,7 @@ def _listed(spark: SparkSession, root: str) -> tuple[str, list[tuple[str, int]],
                 hidden.append(rel)
         elif f.getLen() == 0:
             empty.append((rel, f.getModificationTime()))
-    return top, empty, hidden
+    return empty, hidden
 
 
 def read_corpus_files(spark: SparkSession, root: str, hidden: str = "error") -> DataFrame:
@@ -56,12 +76,14 @@ def read_corpus_files(spark: SparkSession, root: str, hidden: str = "error") ->
     modification time in epoch milliseconds (S3). An empty file is an empty
     text. Spark cannot read a file whose name, or whose folder's name, begins
     with ``_`` or ``.``: such files raise an error that counts and names them,
-    or are left out on request (``hidden="skip"``).
+    or are left out on request (``hidden="skip"``). Where no file is empty or
+    hidden, nothing is listed file by file on the driver.
     """
-    top, empty, unseen = _listed(spark, root)
+    empty, unseen = _passed_over(spark, root)
     if unseen and hidden != "skip":
         raise ValueError(f"{len(unseen)} files have names that Spark hides, such as {sorted(unseen)[:5]}; "
                          "rename them, or leave them out with hidden='skip'")
+    top = _root_path(spark, root)
     df = (spark.read.option("recursiveFileLookup", "true").option("wholetext", "true")
           .text(root).select("value", "_metadata"))
     files = df.select(
@@ -70,7 +92,7 @@ def read_corpus_files(spark: SparkSession, root: str, hidden: str = "error") ->
         F.col("value").alias("text"))
     if not empty:
         return files
-    blank = spark.createDataFrame([(p, m, "") for p, m in empty], _CORPUS)
+    blank = spark.createDataFrame([(p, m, "") for p, m in empty], "path string, modified bigint, text string")
     return files.join(blank.select("path"), "path", "left_anti").unionByName(blank)
 
 
@@ -132,8 +154,7 @@ def write_index(index: Index, out: str, block_docs: int = BLOCK_DOCS, block_min_
     new one. Old versions stay until ``drop_old_versions``.
     """
     spark = index.docs.sparkSession
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    to = os.path.join(out, version)
+    version, to = _new_version(out)
     write_docs(index.docs, os.path.join(to, "docs"))
     index.term_stats.write.parquet(os.path.join(to, "term_stats"))
     if index.terms is not None:  # statistics are read back, not computed again
@@ -148,10 +169,64 @@ def write_index(index: Index, out: str, block_docs: int = BLOCK_DOCS, block_min_
         post = index.postings.select("doc_id", "term", "tf").join(norms, "doc_id")
     write_postings(post, os.path.join(to, "postings"))
     write_block_maxima(spark, to, block_docs, block_min_df)
+    _point_to(spark, out, version)
+
+
+def _new_version(out: str) -> tuple[str, str]:
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    return version, os.path.join(out, version)
+
+
+def _point_to(spark: SparkSession, out: str, version: str) -> None:
     pointer = spark.createDataFrame([(time.time_ns(), version)], "at bigint, version string")
     pointer.coalesce(1).write.mode("append").parquet(os.path.join(out, "versions"))
 
 
+def upsert_index(spark: SparkSession, out: str, new: DataFrame, key: str = "path", text_col: str = "text",
+                 pattern: str = TOKEN_PATTERN, stop_words: list[str] | None = None) -> None:
+    """S6 on a stored index: add documents, or replace those of the same path.
+
+    Only the new texts are read and tokenised; a stored index holds no texts. A
+    replaced document keeps its id, the others get the next ids in path order.
+    Document frequencies change by what the new documents' terms add and the
+    replaced ones' take away (a term that none holds any more goes); norms
+    follow from the stored postings and the new frequencies, as N changes all.
+    Of several new rows with one path the latest ``modified`` stays (where the
+    column exists), on ties the greatest text; rows without a path are one
+    document and replace none. The result is a new version, equal to an index
+    built from all texts with these ids."""
+    old = read_index(spark, out)
+    stored = [c for c in old.docs.columns if c != "doc_id"]
+    loop = RoundState(spark, "upsert")
+    latest = _latest(new, key, [c for c in (*stored, text_col) if c != key], [c for c in ("modified", text_col) if c in new.columns])
+    known = old.docs.where(F.col(key).isNotNull()).select(key, "doc_id")
+    replaced = latest.join(known, key)
+    fresh = latest.join(known, key, "left_anti")
+    after = int(old.docs.agg(F.coalesce(F.max("doc_id") + 1, F.lit(0))).first()[0])
+    numbered = dense_ids(fresh.select(F.col(key).alias("_key")), ["_key"])
+    fresh = fresh.join(numbered, fresh[key].eqNullSafe(numbered["_key"])).drop("_key").withColumn("doc_id", F.col("doc_id") + after)
+    terms = loop.settle(doc_terms(replaced.unionByName(fresh), text_col, pattern, stop_words, keep=stored))
+    gone = loop.settle(replaced.select("doc_id"))
+    kept = old.postings.join(gone, "doc_id", "left_anti").select("doc_id", "term", "tf")
+    less = old.postings.join(gone, "doc_id", "left_semi").groupBy("term").agg((-F.count(F.lit(1))).alias("df"))
+    more = explode_terms(terms).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+    version, to = _new_version(out)
+    docs = old.docs.join(gone, "doc_id", "left_anti").unionByName(terms.drop("terms").select(old.docs.columns))
+    write_docs(docs, os.path.join(to, "docs"))
+    n = spark.read.parquet(os.path.join(to, "docs")).count()
+    df = old.term_stats.select("term", "df").unionByName(less).unionByName(more).groupBy("term").agg(F.sum("df").alias("df"))
+    stats = df.where("df > 0").select("term", "df", F.ln(F.lit(float(n)) / F.col("df").cast("double")).alias("idf"))
+    stats.write.parquet(os.path.join(to, "term_stats"))
+    stats = spark.read.schema(stats.schema).parquet(os.path.join(to, "term_stats"))
+    post = kept.unionByName(explode_terms(terms))
+    tfidf_norms(post, stats).join(tf_norms(post), "doc_id").select("doc_id", "tf_norm", "tfidf_norm").write.parquet(os.path.join(to, "doc_norms"))
+    norms = spark.read.schema(_NORMS).parquet(os.path.join(to, "doc_norms"))
+    write_postings(post.join(norms, "doc_id"), os.path.join(to, "postings"))
+    write_block_maxima(spark, to, old.block_docs, old.block_min_df)
+    _point_to(spark, out, version)
+
+
 def _versions(spark: SparkSession, path: str) -> list[str]:
     rows = spark.read.schema("at bigint, version string").parquet(os.path.join(path, "versions")).collect()
     return [r.version for r in sorted(rows, key=lambda r: r.at)]
@@ -177,6 +252,11 @@ def drop_old_versions(spark: SparkSession, path: str) -> None:
         old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
+def _latest(new: DataFrame, key: str, rest: list[str], order: list[str]) -> DataFrame:
+    """One row of each ``key``: that with the greatest ``order``."""
+    return new.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(key, "_row.*")
+
+
 def upsert_documents(old: DataFrame, new: DataFrame, key: str = "path") -> DataFrame:
     """Add or replace documents by path, then give dense ids again.
 
@@ -189,6 +269,6 @@ def upsert_documents(old: DataFrame, new: DataFrame, key: str = "path") -> DataF
     cols = [c for c in old.columns if c != "doc_id"]
     order = [c for c in ("modified", "text") if c in cols]
     rest = [c for c in cols if c != key]
-    latest = new.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(key, "_row.*")
+    latest = _latest(new, key, rest, order)
     kept = old.select(*cols).join(new.select(key), key, "left_anti")
     return with_dense_ids(kept.unionByName(latest.select(*cols)), key)

@@ -140,3 +140,26 @@ def test_adjacency_file_last_line_wins(spark):
     assert links == [(0, 3, 0), (1, 2, 0)]
     cits = sorted((r.doc, r.citing) for r in read_citations(spark, os.path.join(d, "IntCitations.txt"))[0].collect())
     assert cits == [(1, 0), (2, 0), (2, 1), (3, 0)]
+
+
+def test_runs_across_partition_borders(spark):
+    """Runs of any length over many range partitions, in many sequences and in one."""
+    rnd = random.Random(21)
+    rows = [(s, v) for s in range(12) for v in range(rnd.randint(1, 400)) if rnd.random() < (0.98 if s % 3 else 0.5)]
+    rows += [(99, v) for v in range(5000)] + [(7, 10**9), (7, 10**9 + 1), (7, 10**9 + 1), (None, 3), (3, None), (5, -4), (5, -3)]
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(map(tuple, consecutive_runs(spark.createDataFrame(rows, "seq_id bigint, v bigint")).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    want = []
+    for s in {s for s, v in rows if s is not None}:
+        vs = sorted({v for t, v in rows if t == s and v is not None})
+        start = 0
+        for k in range(1, len(vs) + 1):
+            if k == len(vs) or vs[k] != vs[k - 1] + 1:
+                if k - 1 > start:
+                    want.append((s, start, k - 1))
+                start = k
+    assert got == sorted(want)

@@ -11,7 +11,7 @@ from quire.operators import rank as rk
 from quire.sources import sinks
 from quire.operators.index import term_bucket
 from quire.operators.numbering import dense_ids
-from quire.sources.files import (corpus_from_files, drop_old_versions, read_corpus_files, read_index,
+from quire.sources.files import (corpus_from_files, drop_old_versions, read_corpus_files, read_index, upsert_index,
                                  upsert_documents, write_index)
 from quire.streaming.ingest import current_corpus, start_ingest
 
@@ -229,3 +229,55 @@ def test_top_list_and_range_share_one_shuffle(spark, fixture_docs, fixture_queri
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def _tables(index):
+    return {"docs": sorted(map(tuple, index.docs.select("doc_id", "path").collect())),
+            "postings": sorted((r.doc_id, r.term, r.tf, round(r.tf_norm, 9), round(r.tfidf_norm, 9)) for r in index.postings.collect()),
+            "stats": sorted((r.term, r.df, round(r.idf, 9)) for r in index.term_stats.collect()),
+            "norms": sorted((r.doc_id, round(r.tf_norm, 9), round(r.tfidf_norm, 9)) for r in index.doc_norms.collect())}
+
+
+def test_index_upsert_equals_a_rebuild(spark):
+    """All four tables; the second upsert takes a term's last document away and empties another."""
+    ddl = "doc_id bigint, path string, text string"
+    rows = [(i, f"p{i:03}", f"common w{i % 7} w{i % 11} only{i}" if i != 4 else "") for i in range(60)]
+    out = tempfile.mkdtemp(prefix="quire-upsert-")
+    write_index(ix.build_index(spark.createDataFrame(rows, ddl)), out, block_docs=8, block_min_df=5)
+    for step, new in enumerate([[("p007", "common changed words"), ("a-new", "common fresh"), ("z-new", "w1 w1"), ("a-new", "common fresher")],
+                                [("p008", ""), ("a-new", "w3"), (None, "no path"), ("p004", "common")]]):
+        upsert_index(spark, out, spark.createDataFrame(new, "path string, text string"))
+        have = {p: i for i, p, _ in rows if p is not None}
+        latest = {p: max(t for q, t in new if q == p) for p, _ in new}
+        nxt = max(i for i, _, _ in rows) + 1
+        for p in sorted(latest, key=lambda p: (p is not None, p or "")):
+            if p in have:
+                rows = [(i, q, latest[p] if q == p else t) for i, q, t in rows]
+            else:
+                rows.append((nxt, p, latest[p]))
+                nxt += 1
+        got, again = read_index(spark, out), tempfile.mkdtemp(prefix="quire-upsert-")
+        write_index(ix.build_index(spark.createDataFrame(rows, ddl)), again, block_docs=8, block_min_df=5)
+        want = read_index(spark, again)
+        key = lambda t: {k: sorted(map(str, v)) for k, v in _tables(t).items()}
+        assert key(got) == key(want), step
+        top = lambda t: sorted((r.term, r.block, round(r.tf_max, 9), round(r.tfidf_max, 9)) for r in t.block_max.collect())
+        assert top(got) == top(want)
+    assert "text" not in got.docs.columns  # there is no text to read again
+
+
+def test_many_files_are_listed_by_rows(spark, monkeypatch):
+    """No file by file pass on the driver where nothing is empty or hidden."""
+    from quire.sources import files as fl
+    root = tempfile.mkdtemp(prefix="quire-many-")
+    for k in range(300):
+        os.makedirs(f"{root}/d{k % 7}", exist_ok=True)
+        with open(f"{root}/d{k % 7}/f{k}.txt", "w") as f:
+            f.write("x" * (k + 1))
+    rows = {r.path: r.length for r in fl.listing(spark, root).collect()}
+    assert rows == {f"d{k % 7}/f{k}.txt": k + 1 for k in range(300)}
+    assert fl._passed_over(spark, root) == ([], [])
+    assert {r.path: len(r.text) for r in read_corpus_files(spark, root).collect()} == rows
+    open(f"{root}/d1/none.txt", "w").close()
+    assert [p for p, _ in fl._passed_over(spark, root)[0]] == ["d1/none.txt"]
+    assert read_corpus_files(spark, root).count() == 301
