@@ -13,10 +13,29 @@ from pyspark.sql import functions as F
 # case"; a maximal run of letters and digits is the token. Query words are split
 # on runs of white space. Stored paths encode "/" as "%%".
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+# What may stand inside a word between two letters, and inside a number between two digits, by
+# the public word-break rules (MidLetter, MidNum, MidNumLet, the single quote).
+MID_LETTERS = ":.'\\u00B7\\u0387\\u05F4\\u2018\\u2019\\u2024\\u2027\\uFE13\\uFE52\\uFE55\\uFF07\\uFF0E\\uFF1A"
+MID_NUMBERS = ".,;'\\u037E\\u0589\\u060C\\u060D\\u066C\\u07F8\\u2018\\u2019\\u2024\\u2044\\uFE10\\uFE14\\uFE52\\uFF07\\uFF0C\\uFF0E\\uFF1B"
 QUERY_SPLIT_PATTERN = r"\s+"
 PATH_SLASH_CODE = "%%"
 
 
+def word_break_pattern() -> str:
+    """The tokens of the standard analyzer's word breaks as one pattern (T1): runs
+    of letters and digits, joined by underscores, where a letter may follow a
+    letter after one of ``MID_LETTERS`` and a digit a digit after one of
+    ``MID_NUMBERS`` (``don't``, ``3.14`` and ``example.org`` stay whole); ideographs
+    and Hiragana are one token each."""
+    single = r"[\p{IsHan}\p{IsHiragana}]"
+    letter = r"[\p{L}&&[^\p{IsHan}\p{IsHiragana}]]"
+    letters = rf"{letter}(?:{letter}|\p{{M}})*"
+    digits = r"\p{N}[\p{N}\p{M}]*"
+    word = rf"{letters}(?:[{MID_LETTERS}]{letters})*"
+    number = rf"{digits}(?:[{MID_NUMBERS}]{digits})*"
+    return rf"{single}|(?:_*(?:{word}|{number}))+_*"
+
+
 #: The English stop words that the standard analyzer removes.
 ENGLISH_STOP_WORDS = [
     "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import decode_path
 from quire.operators import index as ix
 from quire.operators import rank as rk
-from quire.functions.text import ENGLISH_STOP_WORDS
+from quire.functions.text import ENGLISH_STOP_WORDS, word_break_pattern
 from quire.operators.numbering import dense_ids
 from quire.session import checkpoint_dir
 from quire.sources.files import read_index, upsert_index, write_index
@@ -83,6 +83,11 @@ def q_postings_stop_words(spark, sf_dir):
     return ix.postings(documents_corpus(spark, sf_dir), stop_words=ENGLISH_STOP_WORDS)
 
 
+def q_postings_word_breaks(spark, sf_dir):
+    """Postings by the analyzer's word breaks: apostrophes, points and commas inside words and numbers stay."""
+    return ix.postings(documents_corpus(spark, sf_dir), pattern=word_break_pattern())
+
+
 def q_rank_stop_words(spark, sf_dir):
     """Ranked search over an index without stop words: ``the`` finds nothing."""
     index = ix.build_index(documents_corpus(spark, sf_dir), stop_words=ENGLISH_STOP_WORDS)
@@ -199,6 +204,7 @@ QUERIES = {
     "vocabulary_slice_near": q_vocabulary_slice_near,
     "decoded_paths": q_decoded_paths,
     "postings_stop_words": q_postings_stop_words,
+    "postings_word_breaks": q_postings_word_breaks,
     "rank_stop_words": q_rank_stop_words,
     "stored_rank_tfidf": q_stored_rank_tfidf,
     "stored_postings_lookup": q_stored_postings_lookup,
@@ -225,6 +231,9 @@ QUERIES = {
 # ---------------------------------------------------------------- oracles --
 
 _TOKEN = r"[\p{L}\p{N}]+"
+# The word breaks again for SQL, whose patterns have no class intersection: the given texts hold no ideographs.
+_WORDS = (r"(?:_*(?:\p{L}[\p{L}\p{M}]*(?:[:.''·‘’․‧]\p{L}[\p{L}\p{M}]*)*"
+          r"|\p{N}[\p{N}\p{M}]*(?:[.,;''‘’․⁄]\p{N}[\p{N}\p{M}]*)*))+_*")
 
 
 def queries_values(queries: list[str]) -> str:
@@ -336,6 +345,8 @@ ORACLE = {
         count(*) = count(DISTINCT CASE WHEN doc_id >= 0 AND doc_id < (SELECT count(*) FROM documents)
                                        THEN doc_id END) AS complete
         FROM documents""",
+    "postings_word_breaks": f"""SELECT doc_id, term, count(*) AS tf FROM (
+        SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_WORDS}')) AS term FROM documents) GROUP BY doc_id, term""",
     "index_upsert": f"""
 WITH docs AS (SELECT url AS path, CASE WHEN contains(url, '/en/') THEN replace(html, 'the', 'thee') ELSE html END AS text FROM pages
               UNION ALL SELECT source || '/' || CAST(doc_id AS VARCHAR), text FROM documents),

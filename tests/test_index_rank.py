@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions.text import ENGLISH_STOP_WORDS
+from quire.functions.text import ENGLISH_STOP_WORDS, tokens, word_break_pattern
 from quire.operators import index as ix
 from quire.operators import rank as rk
 
@@ -137,3 +137,18 @@ def test_plans_read_the_corpus_once(spark, idx, fixture_queries):
     assert "regexp_extract_all" not in ranked  # tokenised before, into a written table
     norms = ix.tf_norms(idx.postings)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in norms
+
+
+@pytest.mark.parametrize("text, want", [
+    ("The quick (\u201cbrown\u201d) fox can\u2019t jump 32.3 feet, right?", "the quick brown fox can\u2019t jump 32.3 feet right"),
+    ("don't 'quoted' O'Neil's", "don't quoted o'neil's"),
+    ("example.org. www.example.org/a:b c:", "example.org www.example.org a:b c"),
+    ("3.14 1,234.5 3. .5 1;2 a,b a;b", "3.14 1,234.5 3 5 1;2 a b a b"),
+    ("a.1 1.a a1.b2 x2y 2nd", "a 1 1 a a1 b2 x2y 2nd"),
+    ("snake_case _x __ A_b_3 _", "snake_case _x a_b_3"),
+    ("\u5b57\u5178a \u3072\u3089 \u30ab\u30bf \u0915\u093f", "\u5b57 \u5178 a \u3072 \u3089 \u30ab\u30bf \u0915\u093f"),
+    ("", ""), ("...", ""),
+])
+def test_word_breaks_of_the_analyzer(spark, text, want):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(tokens("text", word_break_pattern()).alias("t")).first().t == want.split()
