@@ -116,8 +116,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     prints = settle(fingerprints(docs, shingle, key), "simhash")
     found = prints.join(_groups(prints, max_bits), "fp")
     stay = settle(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("key").alias("__key"))
-                  .select(F.coalesce("__id", F.lit(0)).alias("__id"), F.isnull("__id").alias("__bare"), "__key"), "simhash-stay")
-    by = ["__id", "__bare", "__key"]
-    own = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__bare": F.isnull("doc_id"), "__key": key})
-    return own.join(stay, by, "left_semi").dropDuplicates(by).select(*(F.col(f"`{c}`") for c in docs.columns))
+                  .groupBy("root").agg(F.min("doc_id").alias("id"), F.min("key").alias("key"))
+                  .select(F.coalesce("id", F.lit(0)).alias("id"), F.isnull("id").alias("bare"), "key"), "simhash-stay")
+    by = ["id", "bare", "key"]
+    # the row travels as one struct: no column of its own meets these names
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                      F.isnull("doc_id").alias("bare"), key.alias("key"))
+    return own.join(stay, by, "left_semi").dropDuplicates(by).select("row.*")

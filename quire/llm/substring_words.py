@@ -147,12 +147,14 @@ REPORT = StructType([
     StructField("kept_text", StringType())])
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
-                   prefix: str = "") -> DataFrame:
-    """``docs`` with all columns and, for each row, ``n_words``, ``n_removed``, the
-    maximal removed runs ``spans`` (in words) and ``kept_text``, the other words
-    joined by one space. ``prefix`` goes before these names, for a ``docs`` that
-    has them itself."""
+def reports(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(row, report)`` for each row of ``docs``: all its columns, and ``n_words``,
+    ``n_removed``, the maximal removed runs ``spans`` (in words) and ``kept_text``,
+    the other words joined by one space. Both are structs, so the names of the
+    rows' columns are free."""
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                       F.col(f"`{text_col}`").alias("text"))
+    id_col, text_col = "doc_id", "text"
     total = ex.text_bytes(docs, text_col)
     n_groups, n_buckets = max(1, -(-total // GROUP_BYTES)), max(1, -(-total // BUCKET_BYTES))
     bits = min(64, max(total, 2).bit_length() + 10)  # a probe meets another by chance once in some thousands
@@ -189,18 +191,25 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
         stay = np.frombuffer(data, np.uint8)[np.repeat(~gone, size)].tobytes()
         cum = np.concatenate([[0], np.cumsum(np.where(gone, 0, size))])
         kept = [stay[a:max(a, b - 1)].decode() for a, b in zip(cum[ends - g.counts].tolist(), cum[ends].tolist())]
-        out = rows.drop_columns([ex.GROUP])
-        for f, c in zip(REPORT, (pa.array(g.counts), pa.array(n_gone), spans, pa.array(kept, pa.string()))):
-            out = out.append_column(prefix + f.name, c)
-        return out
+        report = pa.StructArray.from_arrays([pa.array(g.counts), pa.array(n_gone), spans, pa.array(kept, pa.string())],
+                                            [f.name for f in REPORT])
+        return rows.select(["row"]).append_column("report", report)
 
     anchors = ex.ask(grouped, send_anchors).groupBy("bucket").applyInArrow(_judge_anchors, ex.ANSWER_DDL)
     full = (ex.replied(grouped, anchors, send_windows, ex.MESSAGE_DDL)
             .groupBy("bucket").applyInArrow(_judge_windows, ex.ANSWER_DDL))
-    schema = StructType(docs.schema.fields + [StructField(prefix + f.name, f.dataType) for f in REPORT])
+    schema = StructType([docs.schema["row"], StructField("report", REPORT)])
     return ex.replied(grouped, anchors.unionByName(full), remove, schema)
 
 
+def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
+                   prefix: str = "") -> DataFrame:
+    """``reports`` with all columns side by side; ``prefix`` goes before the report's
+    names, for a ``docs`` that has them itself."""
+    done = reports(docs, window, id_col, text_col)
+    return done.select("row.*", *(F.col(f"report.{f.name}").alias(prefix + f.name) for f in REPORT))
+
+
 def dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     """``(doc_id, n_words, n_removed, spans, kept_text)`` for every document."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -10,7 +10,8 @@ bound first, only for rows that stay competitive. The cells' top lists are
 merged by query.
 
 A null vector, one with a null or non-finite component, and a row without an
-id take no part. A vector shorter than another counts as zero beyond its end.
+id take no part. A component or a score that does not fit 64 bits raises an error
+that names the row. A vector shorter than another counts as zero beyond its end.
 Equal scores are ordered by id; repeated rows are candidates each for itself.
 Fewer candidates than ``k`` give fewer rows; an empty table gives none.
 """
@@ -45,7 +46,14 @@ def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> D
                     out.append(None)
                     continue
                 v = v.to_numpy(zero_copy_only=False).astype(np.float64)
-                out.append(np.floor(v * scale).astype("<i8").tobytes() if np.isfinite(v).all() else None)
+                if not np.isfinite(v).all():
+                    out.append(None)
+                    continue
+                with np.errstate(over="ignore"):
+                    v = np.floor(v * scale)
+                if len(v) and not np.abs(v).max() < 2.0**63:
+                    raise ValueError(f"{id_col} {batch.column(0)[len(out)].as_py()}: a component times {scale} does not fit 64 bits")
+                out.append(v.astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "v"])
 
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("x")).where("vec_id is not null")
@@ -102,6 +110,13 @@ def maxscore(rows: np.ndarray, ids: np.ndarray, row_no: np.ndarray, query: np.nd
     return list(zip(found_score.tolist(), found.tolist()))
 
 
+def _in_python(rows: np.ndarray, ids: np.ndarray, row_no: np.ndarray, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+    """``maxscore`` by integers of any size, for components whose bounds do not fit 64 bits."""
+    score = query.astype(object) @ rows.astype(object)
+    order = sorted((i for i in range(len(ids)) if row_no[i] != own), key=lambda i: (-score[i], ids[i]))
+    return [(int(score[i]), i) for i in order[:k]]
+
+
 _extremes_of: list = [None, None]
 
 
@@ -138,9 +153,13 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
         if width and float(np.abs(q).max()) * float(np.abs(m).max()) * width < 2**52:  # exact in doubles, and faster
             m, q = m.astype(np.float64), q.astype(np.float64)
         ids, row_no = np.array(mine.column("vec_id")), np.array(mine.column("row"))
+        huge = width and float(np.abs(q.astype(np.float64)).max()) * float(np.abs(m.astype(np.float64)).max()) * width >= 2**62
         out = []
         for own, qid, x in zip(asked.column("q_row").to_pylist(), asked.column("query_id").to_pylist(), q):
-            out += [(own, qid, int(ids[i]), int(s)) for s, i in maxscore(m, ids, row_no, x, own, k)]
+            found = _in_python(m, ids, row_no, x, own, k) if huge else maxscore(m, ids, row_no, x, own, k)
+            if huge and any(not -(1 << 63) <= s < 1 << 63 for s, _ in found):
+                raise ValueError(f"{id_col} {qid}: a score does not fit 64 bits")
+            out += [(own, qid, int(ids[i]), int(s)) for s, i in found]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, _HITS.types)], schema=_HITS)
 
     hits = rows.groupBy("shard", "set").cogroup(queries.groupBy("shard", "set")).applyInArrow(

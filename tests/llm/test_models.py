@@ -173,3 +173,28 @@ def test_pipeline_on_odd_rows(spark):
             assert out.columns == odd.columns
         assert corpus_pipeline.STAGES[-1][1](spark, out, SF).count() >= 0
     assert packing.pieces(packing.pack(docs, corpus_pipeline.TOKENIZER)).count() == len(rows)
+
+
+def test_very_large_components_are_exact_or_named(spark):
+    ddl = "vec_id bigint, embedding array<double>"
+    rows = [(0, [1e13, -1e13]), (1, [1.0, 1.0]), (2, [1.0, 0.5]), (3, [-1.0, 2.0])]
+    got = topk.top_k(spark.createDataFrame(rows, ddl), k=5, query_every=50, scale=256).orderBy("rank").collect()
+    q = [256 * 10**13, -256 * 10**13]
+    want = sorted(((q[0] * int(256 * a) + q[1] * int(256 * b), i) for i, (a, b) in rows[1:]), key=lambda x: (-x[0], x[1]))
+    assert [(r.score, r.vec_id) for r in got] == want
+    for x in (1e300, 1e15):  # the component, then only the score
+        with pytest.raises(Exception, match="vec_id [01]: a (component|score).* 64 bits"):
+            topk.top_k(spark.createDataFrame([(0, [x, 1.0]), (1, [x, 1.0])], ddl), k=5, query_every=50, scale=256).collect()
+
+
+def test_names_of_the_rows_own_columns(spark):
+    """Columns with the names that the operators use inside, and with dots."""
+    rows = [(i, f"same text of ten words for the near group here {i // 3} " * 12, "a", i, "b", "c", "d", "e") for i in range(9)]
+    names = ["doc_id", "text", "__id", "__group", "__kept_text", "row", "report", "key"]
+    docs = spark.createDataFrame(rows, names)
+    assert simhash.keep_one(docs).columns == names
+    one = {r.doc_id: r for r in simhash.keep_one(docs, shingle=3, max_bits=0).collect()}
+    assert one and all(r["__id"] == "a" and r["__group"] == i and r["row"] == "c" and r["key"] == "e" for i, r in one.items())
+    done = corpus_pipeline.substring_dedup(spark, docs, "")
+    assert done.columns == names
+    assert all(r["__kept_text"] == "b" and r["__group"] == r.doc_id and r["report"] == "d" for r in done.collect())
