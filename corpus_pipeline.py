@@ -36,11 +36,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The text becomes its kept words; a null text stays null. ``n_chars`` follows the text."""
-    own = docs.columns
-    done = substring_words.remove_repeats(docs, window=35, prefix="__")
-    text = F.when(F.col("text").isNotNull(), F.col("__kept_text")).alias("text")
-    size = F.when(F.col("text").isNotNull(), F.length("__kept_text").cast("bigint")).alias("n_chars")
-    return done.select(*(text if c == "text" else size if c == "n_chars" else F.col(f"`{c}`") for c in own))
+    done = substring_words.reports(docs, window=35)
+    text = F.when(F.col("row.text").isNotNull(), F.col("report.kept_text")).alias("text")
+    size = F.when(F.col("row.text").isNotNull(), F.length("report.kept_text").cast("bigint")).alias("n_chars")
+    return done.select(*(text if c == "text" else size if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
