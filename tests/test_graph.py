@@ -9,7 +9,7 @@ from quire.operators import hits as ht
 from quire.operators import linkscore as ls
 from quire.operators.runs import consecutive_runs, format_runs
 from quire.operators import loop
-from quire.operators.loop import NoConvergence
+from quire.operators.loop import NoConvergence, RoundState
 from quire.sources.adjacency import parse_adjacency
 from quire.sources.tables import transpose_links
 
@@ -117,3 +117,49 @@ def test_large_ids(spark):
     base = gr.base_set(root, links, cits)
     assert {(r.node, r.seen.stage, r.seen.pos) for r in base.collect()} == {(big, 0, 0), (big + 1, 1, 0), (big + 2, 2, big + 2)}
     assert sorted((r.node, r.idx) for r in gr.node_positions(base).collect()) == [(big, 0), (big + 1, 1), (big + 2, 2)]
+
+
+def hits_by_hand(base, edges, tol=ht.HITS_TOL):
+    """One query's ``(rounds, authority, hub)``, round by round."""
+    auth, hub, given, rounds = dict.fromkeys(base, 0.0), dict.fromkeys(base, 0.0), dict.fromkeys(base, 1.0), 0
+    while True:
+        a, h = dict.fromkeys(base, 0.0), dict.fromkeys(base, 0.0)
+        for s, d in edges:
+            a[d] += given[s]
+        norm = sum(x * x for x in a.values()) ** 0.5
+        a = {k: x / norm for k, x in a.items()}
+        for s, d in edges:
+            h[s] += a[d]
+        norm = sum(x * x for x in h.values()) ** 0.5
+        h = {k: x / norm for k, x in h.items()}
+        rounds += 1
+        change = max(sum((new[k] - old[k]) ** 2 for k in base) ** 0.5 for new, old in ((a, auth), (h, hub)))
+        auth, hub, given = a, h, h
+        if change < tol:
+            return rounds, auth, hub
+
+
+@pytest.mark.parametrize("products", [ht.MAX_PRODUCTS, 0])
+def test_hits_jobs_do_not_grow_with_the_rounds(spark, monkeypatch, products):
+    """Paths have close eigenvalues: hundreds of rounds on a few nodes. Without the
+    powers (no products allowed) the same graph is run round by round."""
+    monkeypatch.setattr(ht, "MAX_PRODUCTS", products)
+    written, settle = [], RoundState.settle
+    monkeypatch.setattr(RoundState, "settle", lambda self, df, path=None: (written.append(path), settle(self, df, path))[1])
+    n = 10 if products else 5
+    edges = {0: [(i, i + 1) for i in range(n)] + [(i + 1, i - 1) for i in range(1, n)] + [(50, 51), (50, 52), (51, 52)],
+             7: [(60, 61), (62, 61), (60, 63)], 8: []}
+    nodes = {0: [*range(n + 1), 50, 51, 52], 7: [60, 61, 62, 63], 8: [70]}
+    every = [e for es in edges.values() for e in es]
+    links = spark.createDataFrame([(s, d, k) for k, (s, d) in enumerate(every)], "src bigint, dst bigint, pos bigint")
+    base = spark.createDataFrame([(q, v, (0, 0, v)) for q, vs in nodes.items() for v in vs],
+                                 "query_id bigint, node bigint, seen struct<stage:int,rank:int,pos:bigint>")
+    got = {(r.query_id, r.node): r for r in ht.hits(base, links, transpose_links(links)).collect()}
+    assert len(got) == sum(map(len, nodes.values()))
+    for q in (0, 7):
+        rounds, auth, hub = hits_by_hand(nodes[q], edges[q])
+        assert all(got[q, v].rounds == rounds and abs(got[q, v].authority - auth[v]) < 1e-9 and abs(got[q, v].hub - hub[v]) < 1e-9
+                   for v in nodes[q])
+        if q == 0 and products:
+            assert rounds > 150 and len(written) < 80
+    assert (got[8, 70].rounds, got[8, 70].authority, got[8, 70].hub) == (1, 0.0, 0.0)
