@@ -17,15 +17,17 @@ sum is not positive, and the whole vector is min-max scaled afterwards.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 
 from quire.functions.scaling import RANGE_MAX_START, RANGE_MIN_START, l2_change_term, minmax_scale
-from quire.operators.edges import PlacedEdges
+from quire.operators.edges import LARGE_BUCKET, SMALL_BUCKET, PlacedEdges
 from quire.operators.graph import minmax_vector
 from quire.operators.loop import NoConvergence, RoundState
 
@@ -136,24 +138,45 @@ def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
     ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``; raises
     :class:`NoConvergence` when ``max_iter`` rounds do not suffice.
 
-    The row entries stay in place (``PlacedEdges``); a round moves the vector or
-    sums of it. Every node has an entry of its own beside its row's, which
-    brings its old score along. A round is one job: it writes the unscaled
-    vector beside the vector it came from and observes its range; the scaling
-    (L21) is applied with that range when the vector is read. The changes of
-    ``BATCH`` rounds are one scan of their tables, and the first that passes is
-    the result.
+    The row entries stay in place, in buckets, and a round is one job: it writes
+    the unscaled vector beside the vector it came from and observes its range;
+    the scaling (L21) is applied with that range when the vector is read. The
+    changes of ``BATCH`` rounds are one scan of their tables, and the first that
+    passes is the result. A vector of up to ``SMALL_VECTOR`` rows is broadcast
+    (``PlacedEdges``; every node has an entry of its own beside its row's, which
+    brings its old score along). A larger one stays in buckets too (``LinkRounds``).
     """
     loop = RoundState(rows.sparkSession, "linkscore")
     inv_n = 1.0 / max(_number(rows, n_nodes), 1.0)
     cur = loop.settle(nodes.select("node", F.lit(inv_n).alias("score")))
+    n_rows = cur.count()
+    if not (n_rows <= SMALL_VECTOR if broadcast is None else broadcast):
+        placed = LinkRounds(loop, rows, cur)
+        try:
+            return _iterated(loop, placed.round, cur, inv_n, tol, max_iter)
+        finally:
+            placed.close()
     entries = rows.select("i", "j", F.lit(False).alias("own")).unionByName(
         nodes.select(F.col("node").alias("i"), F.col("node").alias("j"), F.lit(True).alias("own")))
-    placed = PlacedEdges(loop, entries, ["j"], ["i"], cur.count(), broadcast)
+    edges = PlacedEdges(loop, entries, ["j"], ["i"], n_rows, True)
+
+    def small_round(cur: DataFrame, inv_n: float) -> tuple[DataFrame, dict]:
+        return loop.next_round(link_round(edges, cur, inv_n), *_range(), keep=BATCH)
+
     try:
-        return _iterated(loop, placed, cur, inv_n, tol, max_iter)
+        return _iterated(loop, small_round, cur, inv_n, tol, max_iter)
     finally:
-        placed.close()
+        edges.close()
+
+
+#: A vector of so many rows is broadcast in every round: a few hundred MB through the driver in ``MAX_ITER`` rounds.
+SMALL_VECTOR = 2048
+#: Nodes of most row entries, whose scores are broadcast in every round where the vector is larger.
+MAX_HUBS = 2048
+
+
+def _range() -> tuple[Column, Column]:
+    return F.max("raw").alias("mx"), F.min("raw").alias("mn")
 
 
 def link_round(placed: PlacedEdges, cur: DataFrame, inv_n: float) -> DataFrame:
@@ -164,14 +187,83 @@ def link_round(placed: PlacedEdges, cur: DataFrame, inv_n: float) -> DataFrame:
         "node", "old", F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(inv_n)).alias("raw"))
 
 
-def _iterated(loop: RoundState, placed: PlacedEdges, cur: DataFrame, inv_n: float, tol: float, max_iter: int) -> DataFrame:
+class LinkRounds:
+    """Rounds on a vector that stays in place: it and the entries lie in tables with
+    the same buckets, so neither is shuffled.
+
+    The ``MAX_HUBS`` nodes with most entries send their scores to all buckets (a
+    broadcast of fixed size); their entries lie with the node ``i`` that they
+    belong to. The other entries lie with ``j``; what a bucket adds up for each
+    ``i`` is all that is shuffled, a row for each bucket and ``i`` where ``i`` is a hub.
+    """
+
+    def __init__(self, loop: RoundState, rows: DataFrame, cur: DataFrame):
+        self.loop, self.spark, self.tables, self.vectors = loop, loop.spark, [], []
+        rows = loop.settle(rows.where("i is not null and j is not null").select("i", "j"))
+        n, cores = rows.count(), self.spark.sparkContext.defaultParallelism
+        self.buckets = max(1, min(cores, -(-n // SMALL_BUCKET)), -(-n // LARGE_BUCKET))  # a round is one wave of tasks where that will do
+        counted = rows.groupBy(F.col("j").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+        hubs = loop.settle(counted.where(F.col("n") > self.buckets).orderBy(F.desc("n"), "node").limit(MAX_HUBS).select("node"))
+        of_hubs = F.broadcast(hubs.withColumnRenamed("node", "j"))
+        self.from_hubs = self._place(rows.join(of_hubs, "j", "left_semi"), "i")
+        self.others = self._place(rows.join(of_hubs, "j", "left_anti"), "j")
+        # a node that is given several times counts so often in the first round
+        first = cur.where("node is not null").groupBy("node").agg(F.max("score").alias("score"), F.sum("score").alias("sent"))
+        self.first = self._place(first.join(F.broadcast(hubs.withColumn("hub", F.lit(True))), "node", "left").na.fill(False, ["hub"]), "node")
+
+    def _place(self, df: DataFrame, key: str, path: str | None = None) -> DataFrame:
+        name = f"quire_links_{uuid.uuid4().hex[:12]}"
+        df = df if path else df.repartition(self.buckets, key)
+        df.write.format("parquet").bucketBy(self.buckets, key).option("path", f"{self.loop.root}/{path or name}").saveAsTable(name)
+        self.tables.append(name)
+        return self.spark.table(name)
+
+    def round(self, cur: DataFrame, inv_n: float) -> tuple[DataFrame, dict]:
+        """One synchronous update, written: ``(node, hub, old, raw)`` and its range."""
+        if not self.vectors:
+            cur = self.first
+        elif "sent" not in cur.columns:
+            cur = cur.withColumn("sent", F.col("score"))
+        sent = cur.select(F.col("node").alias("j"), "sent", "hub")
+        low = self.from_hubs.join(F.broadcast(sent.where("hub")), "j").groupBy(F.col("i").alias("node")).agg(F.sum("sent").alias("s1"))
+        rest = self.others.hint("merge").join(sent, "j").groupBy(F.col("i").alias("node")).agg(F.sum("sent").alias("s2"))
+        s = F.coalesce("s1", F.lit(0.0)) + F.coalesce("s2", F.lit(0.0))
+        nxt = cur.join(low.hint("merge"), "node", "left").join(rest.repartition(self.buckets, "node").hint("merge"), "node", "left").select(
+            "node", "hub", F.col("score").alias("old"), F.when(s > 0, s).otherwise(F.lit(inv_n)).alias("raw"))
+        obs = Observation(f"links-{uuid.uuid4().hex[:8]}")
+        name = f"vector{len(self.vectors):06d}"
+        out = self._place(nxt.observe(obs, *_range()), "node", name)
+        self.vectors.append((name, self.tables[-1]))
+        if len(self.vectors) > BATCH + 1:
+            old, table = self.vectors[-BATCH - 2]
+            self._drop(table)
+            self.loop.delete(old)
+        return out, obs.get
+
+    def _drop(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.remove(table)
+
+    def close(self) -> None:
+        """Take the tables out of the catalog; the files of the last rounds stay with the loop's."""
+        for table in [*self.tables]:
+            self._drop(table)
+
+
+def _iterated(loop: RoundState, one_round, cur: DataFrame, inv_n: float, tol: float, max_iter: int) -> DataFrame:
     rounds: list[tuple[int, DataFrame, Column]] = []
     for r in range(1, max_iter + 1):
-        nxt, m = loop.next_round(link_round(placed, cur, inv_n), F.max("raw").alias("mx"), F.min("raw").alias("mn"), keep=BATCH)
+        nxt, m = one_round(cur, inv_n)
         if m["mx"] is None:  # no nodes
             return cur.select("node", "score", F.lit(r).alias("rounds"))
-        scaled = minmax_scale("raw", F.lit(min(RANGE_MIN_START, m["mn"])), F.lit(max(RANGE_MAX_START, m["mx"])), digits=None)
-        cur = nxt.select("node", scaled.alias("score"))
+        lo, hi = min(RANGE_MIN_START, m["mn"]), max(RANGE_MAX_START, m["mx"])
+        ends = [F.lit(lo), F.lit(hi)]
+        if "hub" in nxt.columns:
+            # read from an array by a column: plain numbers would become part of the generated
+            # code, which every executor would then compile anew in every round
+            ends = [F.get(F.array(F.lit(lo), F.lit(hi)), F.col("hub").cast("int") * 0 + k) for k in (0, 1)]
+        scaled = minmax_scale("raw", *ends, digits=None)
+        cur = nxt.select("node", *(c for c in nxt.columns if c == "hub"), scaled.alias("score"))
         rounds.append((r, nxt, scaled))
         if len(rounds) == BATCH or r == max_iter:
             changes = reduce(DataFrame.unionByName, (t.select(F.lit(k).alias("r"), l2_change_term(new, "old").alias("d"))
@@ -179,6 +271,7 @@ def _iterated(loop: RoundState, placed: PlacedEdges, cur: DataFrame, inv_n: floa
             passed = [x.r for x in changes.groupBy("r").agg(F.sqrt(F.sum("d")).alias("c")).where(F.col("c") < tol).collect()]
             if passed:
                 k, t, new = next(x for x in rounds if x[0] == min(passed))
-                return t.select("node", new.alias("score"), F.lit(k).alias("rounds"))
+                files = loop.spark.read.schema(t.schema).parquet(*t.inputFiles()) if "hub" in t.columns else t
+                return files.select("node", new.alias("score"), F.lit(k).alias("rounds"))
             rounds = []
     raise NoConvergence(f"the link score has not converged in {max_iter} rounds")

@@ -78,3 +78,36 @@ def test_link_round_and_convergence_in_both_forms(spark, broadcast):
     got = {r.node: r.score for r in out}
     assert len(got) == 22 and {r.rounds for r in out} == {rounds}
     assert all(abs(got[i] - x[i]) < 1e-9 for i in range(22))
+
+
+def test_large_vector_stays_in_buckets(spark, monkeypatch):
+    """Only the hubs' scores are broadcast, and neither entries nor hubs' products are shuffled."""
+    monkeypatch.setattr(ls, "MAX_HUBS", 3)
+    monkeypatch.setattr(ls, "SMALL_VECTOR", 5)
+    placed, place, plans = [], ls.LinkRounds._place, []
+
+    def recorded(self, df, key, path=None):
+        placed.append(self)
+        if path:
+            plans.append(df._jdf.queryExecution().executedPlan())
+        return place(self, df, key, path)
+
+    monkeypatch.setattr(ls.LinkRounds, "_place", recorded)
+    edges, df = some_edges(spark, n=20, m=60)
+    nodes = spark.createDataFrame([(i,) for i in [*range(20), 4, None]], "node bigint")  # 4 twice: counts twice in the first round
+    with pytest.raises(ls.NoConvergence):
+        ls.converged(df, nodes, 20, max_iter=1)
+    vector = spark.read.parquet(f"{placed[0].loop.root}/vector000000")
+    got = {r.node: (r.old, r.raw) for r in vector.collect()}
+    want = dict.fromkeys(range(20), 0)
+    for i, j in edges:
+        want[i] += 2 if j == 4 else 1
+    assert sorted(got) == list(range(20))
+    assert all(abs(got[i][0] - 1 / 20) < 1e-12 and abs(got[i][1] - (want[i] or 1) / 20) < 1e-12 for i in got)
+    assert vector.where("hub").count() <= 3
+    text = plans[0].toString()
+    for table in ("from_hubs", "others"):
+        name = getattr(placed[0], table).select("i")._jdf.queryExecution().analyzed().toString()
+        found = list(shuffles_above_scan(plans[0], name[name.index("quire_links_"):][:24]))
+        assert found and not any(found)
+    assert text.count("BroadcastExchange") == 1 and "hub" in text
