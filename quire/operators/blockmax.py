@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions.scaling import ratio_or_nan
-from quire.operators.index import Index, term_bucket
+from quire.operators.index import FREQUENT_TERMS, Index, term_bucket
 from quire.operators.loop import RoundState
 from quire.operators.rank import MODE_TF, _mode, known_words, order_key, query_terms
 
@@ -49,8 +49,12 @@ def _share(mode: str, idf: str = "idf") -> Column:
 
 def block_maxima(post: DataFrame, stats: DataFrame, block_docs: int = BLOCK_DOCS, min_df: int = MIN_DF) -> DataFrame:
     """``(bucket, term, block, tf_max, tfidf_max)`` for terms of at least ``min_df``
-    documents, from stored postings; partly maximised before the shuffle."""
+    documents, from stored postings; partly maximised before the shuffle. These
+    terms are few beside the vocabulary: up to ``FREQUENT_TERMS``, they come to the
+    postings, which the planner would else shuffle by what the whole table weighs."""
     often = stats.where(F.col("df") >= min_df).select("term", "idf", term_bucket("term").alias("bucket"))
+    if often.count() <= FREQUENT_TERMS:
+        often = F.broadcast(often)
     return (post.join(often, ["bucket", "term"]).withColumn("block", block_of("doc_id", block_docs))
             .groupBy("bucket", "term", "block").agg(F.max(_share(MODE_TF)).alias("tf_max"), F.max(_share("tfidf")).alias("tfidf_max")))
 

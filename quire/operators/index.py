@@ -162,6 +162,23 @@ def tfidf_norms(post: DataFrame, stats: DataFrame) -> DataFrame:
         F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("tfidf_norm"))
 
 
+#: Terms of most documents whose statistics come to the postings as a broadcast of fixed size.
+FREQUENT_TERMS = 100_000
+
+
+def stored_tfidf_norms(post: DataFrame, stats: DataFrame, frequent_terms: int = FREQUENT_TERMS) -> DataFrame:
+    """``tfidf_norms`` where ``stats`` (with ``df``) is a written table.
+
+    A vocabulary too large for a broadcast would send all postings by term and
+    their products back by document. Most postings are of few terms: these meet
+    them where they lie, and only the postings of the other terms move.
+    """
+    frequent = F.broadcast(stats.orderBy(F.desc("df"), "term").limit(frequent_terms).select("term", "idf"))
+    rare = post.join(frequent, "term", "left_anti").join(stats.select("term", "idf"), "term")
+    w = post.join(frequent, "term").select("doc_id", "tf", "idf").unionByName(rare.select("doc_id", "tf", "idf"))
+    return w.groupBy("doc_id").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("tfidf_norm"))
+
+
 def lowest_idf_terms(stats: DataFrame, k: int = LOWEST_IDF_COUNT) -> DataFrame:
     """The k smallest IDF >= 0, ties in term order, IDF to 6 digits."""
     return (stats.filter(F.col("idf") >= 0).orderBy("idf", "term").limit(k)
@@ -208,10 +225,11 @@ class Index:
     block_min_df: int = 0    # least document frequency of a term in block_max
 
 
-def document_norms(dt: DataFrame, stats: DataFrame) -> DataFrame:
+def document_norms(dt: DataFrame, stats: DataFrame, stored: bool = False) -> DataFrame:
     """T12 and T13 together from per-document term arrays; only documents with
-    postings, as in the reference."""
-    return tfidf_norms(explode_terms(dt), stats).join(tf_norms_from_terms(dt), "doc_id").select("doc_id", "tf_norm", "tfidf_norm")
+    postings, as in the reference. ``stored``: ``stats`` is a written table."""
+    norms = stored_tfidf_norms if stored else tfidf_norms
+    return norms(explode_terms(dt), stats).join(tf_norms_from_terms(dt), "doc_id").select("doc_id", "tf_norm", "tfidf_norm")
 
 
 def build_index(docs: DataFrame, text_col: str = "text", pattern: str = TOKEN_PATTERN,

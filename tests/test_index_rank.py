@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions.text import ENGLISH_STOP_WORDS, tokens, word_break_pattern
+from quire.operators import blockmax
 from quire.operators import index as ix
 from quire.operators import rank as rk
+from quire.operators.loop import RoundState
 
 
 def approx(a, b, tol=1e-5):
@@ -152,3 +154,26 @@ def test_plans_read_the_corpus_once(spark, idx, fixture_queries):
 def test_word_breaks_of_the_analyzer(spark, text, want):
     df = spark.createDataFrame([(text,)], "text string")
     assert df.select(tokens("text", word_break_pattern()).alias("t")).first().t == want.split()
+
+
+def test_large_vocabulary_leaves_the_postings_in_place(spark, fixture_docs):
+    """No table of terms is small enough for the planner: the frequent terms still come to the postings."""
+    index = ix.build_index(fixture_docs)
+    loop = RoundState(spark, "stats")
+    stats = loop.settle(index.term_stats)
+    want = {r.doc_id: round(r.tfidf_norm, 12) for r in ix.tfidf_norms(index.postings, stats).collect()}
+    post = loop.settle(index.postings.join(index.doc_norms, "doc_id").withColumn("bucket", ix.term_bucket("term")))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    kept = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for frequent in (0, 2, 100):
+            got = ix.stored_tfidf_norms(post.select("doc_id", "term", "tf"), stats, frequent)
+            assert {r.doc_id: round(r.tfidf_norm, 12) for r in got.collect()} == want
+        maxima = blockmax.block_maxima(post, stats, 2, 2)
+        assert "SortMergeJoin" not in maxima._jdf.queryExecution().executedPlan().toString()
+        assert {r.term for r in maxima.collect()} == {"apple", "banana", "cherry", "date", "elder"}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
