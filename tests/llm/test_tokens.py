@@ -4,10 +4,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import regex
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import bpe, packing, pretoken, token_files, tokens
@@ -117,6 +119,29 @@ def test_packing(docs, window, block):
     assert one.ids_crc32 == zlib.crc32(np.array([0], "<u4"))
 
 
+def test_packing_hands_small_batches_to_python(spark, monkeypatch):
+    """Texts of 40 MB in one task; the offsets start no Python worker of their own."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 950).alias("text"))
+    key, seen, settle = "spark.sql.execution.arrow.maxBytesPerBatch", [], packing.settle
+    before = spark.conf.get(key)
+
+    def spied(df, name, **options):
+        seen.extend(docs.mapInArrow(sizes, "rows long, bytes long").collect())
+        return settle(df, name, **options)
+
+    monkeypatch.setattr(packing, "settle", spied)
+    packed = packing.pack(docs, TOKENIZER)
+    assert sum(r.rows for r in seen) == 4000 and max(r.bytes for r in seen) < packing.BATCH_BYTES + 100_000
+    assert spark.conf.get(key) == before
+    plan = packed._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan and "LogicalRDD" not in plan
+    assert packed.agg(F.sum("n_tokens")).first()[0] == 4000 * (len(reference_ids()("some words " * 950)) + 1)
+
+
 def test_token_files(spark, docs, tmp_path):
     ids_of = reference_ids()
     token_files.write_tokens(docs, str(tmp_path / "t"), TOKENIZER)
