@@ -21,12 +21,13 @@ import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
-from quire.functions.scaling import RANGE_MAX_START, RANGE_MIN_START, l2_change_term, minmax_scale
+from quire.functions.scaling import FLAT_RANGE_VALUE, RANGE_MAX_START, RANGE_MIN_START, l2_change_term, minmax_scale
 from quire.operators.edges import LARGE_BUCKET, SMALL_BUCKET, PlacedEdges
 from quire.operators.graph import minmax_vector
 from quire.operators.loop import NoConvergence, RoundState
@@ -138,20 +139,28 @@ def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
     ``sqrt(Σ (new-old)^2) < tol``. Returns ``(node, score, rounds)``; raises
     :class:`NoConvergence` when ``max_iter`` rounds do not suffice.
 
-    The row entries stay in place, in buckets, and a round is one job: it writes
+    Hundreds of rounds are usual, and as many jobs would cost far more than their
+    sums: a graph of up to ``SMALL_VECTOR`` nodes and ``IN_TASK`` row entries (both
+    are counted) is iterated in one task of one job (``_iterate_in_task``).
+
+    The row entries of a larger one stay in place, in buckets, and a round is one job: it writes
     the unscaled vector beside the vector it came from and observes its range;
     the scaling (L21) is applied with that range when the vector is read. The
     changes of ``BATCH`` rounds are one scan of their tables, and the first that
-    passes is the result. A vector of up to ``SMALL_VECTOR`` rows is broadcast
+    passes is the result. The vector stays in buckets too (``LinkRounds``).
+    ``broadcast`` asks for rounds by jobs for any size, with the vector broadcast
     (``PlacedEdges``; every node has an entry of its own beside its row's, which
-    brings its old score along). A larger one stays in buckets too (``LinkRounds``).
+    brings its old score along) or in buckets.
     """
     loop = RoundState(rows.sparkSession, "linkscore")
     inv_n = 1.0 / max(_number(rows, n_nodes), 1.0)
-    cur = loop.settle(nodes.select("node", F.lit(inv_n).alias("score")))
-    n_rows = cur.count()
-    if not (n_rows <= SMALL_VECTOR if broadcast is None else broadcast):
-        placed = LinkRounds(loop, rows, cur)
+    cur, counted = loop.settle_observed(nodes.select("node", F.lit(inv_n).alias("score")), F.count(F.lit(1)).alias("n"))
+    n_rows = counted["n"]
+    if not broadcast:
+        rows, counted = loop.settle_observed(rows.where("i is not null and j is not null").select("i", "j"), F.count(F.lit(1)).alias("n"))
+        if broadcast is None and n_rows <= SMALL_VECTOR and counted["n"] <= IN_TASK:
+            return _iterated_in_task(loop, rows, counted["n"], cur, inv_n, tol, max_iter)
+        placed = LinkRounds(loop, rows, counted["n"], cur)
         try:
             return _iterated(loop, placed.round, cur, inv_n, tol, max_iter)
         finally:
@@ -169,8 +178,82 @@ def converged(rows: DataFrame, nodes: DataFrame, n_nodes, tol: float = LINK_TOL,
         edges.close()
 
 
-#: A vector of so many rows is broadcast in every round: a few hundred MB through the driver in ``MAX_ITER`` rounds.
-SMALL_VECTOR = 2048
+#: Nodes, and row entries, of a graph that one task iterates: about a hundred bytes for a node, eight for an entry.
+SMALL_VECTOR, IN_TASK = 1 << 20, 1 << 24
+#: Entries whose scores the task looks up at once, unless one node has more.
+ENTRIES_AT_ONCE = 1 << 20
+_SCORES = "node bigint, score double, rounds int"
+
+
+def _iterate_in_task(n_entries: int, inv_n: float, tol: float, max_iter: int):
+    """All rounds over the rows ``(i, j)`` of one task: nodes first, with ``j`` null,
+    then the row entries by ``i``. Where no round passes, a single row without a node."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, other, n = np.empty(n_entries, np.int32), np.empty(n_entries, np.int32), 0
+        given, nodes, times = [np.empty(0, np.int64)], None, None
+        for batch in batches:
+            first = batch.column(1).null_count
+            given.append(batch.column(0).slice(0, first).to_numpy().copy())
+            if first == batch.num_rows:
+                continue
+            if nodes is None:
+                nodes, times = np.unique(np.concatenate(given), return_counts=True)
+                if not len(nodes):
+                    break
+            ends = [batch.column(c).slice(first).to_numpy() for c in (0, 1)]
+            at = [np.minimum(np.searchsorted(nodes, e), len(nodes) - 1) for e in ends]
+            known = (nodes[at[0]] == ends[0]) & (nodes[at[1]] == ends[1])
+            upto = n + int(known.sum())
+            owner[n:upto], other[n:upto], n = at[0][known], at[1][known], upto
+        if nodes is None:
+            nodes, times = np.unique(np.concatenate(given), return_counts=True)
+        if not len(nodes):
+            return
+        owner, other = owner[:n], other[:n]
+        start = np.flatnonzero(np.diff(owner, prepend=-1))
+        who, start = owner[start], np.append(start, n)
+        del owner, given
+        cuts = np.unique(np.searchsorted(start, np.arange(0, n + 1, ENTRIES_AT_ONCE)))
+        cuts = np.unique(np.append(cuts, len(who)))
+        old = np.full(len(nodes), inv_n)
+        sent, passed = old * times, None  # a node that is given several times counts so often in the first round
+        for r in range(1, max_iter + 1):
+            raw = np.full(len(nodes), inv_n)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                s = np.add.reduceat(sent[other[start[a]:start[b]]], start[a:b] - start[a])
+                raw[who[a:b]] = np.where(s > 0, s, inv_n)
+            lo, hi = min(RANGE_MIN_START, raw.min()), max(RANGE_MAX_START, raw.max())
+            new = np.full(len(nodes), FLAT_RANGE_VALUE) if hi == lo else (raw - lo) / (hi - lo)
+            new[np.isnan(new)] = 0.0
+            change = float(np.sqrt(np.sum((new - old) ** 2)))
+            old = sent = new
+            if change < tol:
+                passed = r
+                break
+        if passed is None:
+            nodes, old = pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64())
+        for at in range(0, len(nodes), 1 << 16):
+            own = [pa.array(x[at:at + (1 << 16)]) for x in (nodes, old)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([passed] * len(own[0]), pa.int32())], ["node", "score", "rounds"])
+
+    return run
+
+
+def _iterated_in_task(loop: RoundState, rows: DataFrame, n_entries: int, cur: DataFrame, inv_n: float, tol: float,
+                      max_iter: int) -> DataFrame:
+    nodes = cur.where("node is not null").select(F.col("node").cast("long").alias("i"), F.lit(None).cast("long").alias("j"))
+    every = nodes.unionByName(rows.select(F.col("i").cast("long"), F.col("j").cast("long")))
+    solved = every.repartition(1).sortWithinPartitions(F.col("j").isNotNull(), "i").mapInArrow(
+        _iterate_in_task(n_entries, inv_n, tol, max_iter), _SCORES)
+    out, seen = loop.settle_observed(solved, F.count(F.lit(1)).alias("n"), F.count("node").alias("known"))
+    if not seen["n"]:  # no nodes
+        return cur.select("node", "score", F.lit(1).alias("rounds"))
+    if not seen["known"]:
+        raise NoConvergence(f"the link score has not converged in {max_iter} rounds")
+    return out.withColumn("node", F.col("node").cast(cur.schema["node"].dataType))
+
+
 #: Nodes of most row entries, whose scores are broadcast in every round where the vector is larger.
 MAX_HUBS = 2048
 
@@ -197,10 +280,9 @@ class LinkRounds:
     ``i`` is all that is shuffled, a row for each bucket and ``i`` where ``i`` is a hub.
     """
 
-    def __init__(self, loop: RoundState, rows: DataFrame, cur: DataFrame):
+    def __init__(self, loop: RoundState, rows: DataFrame, n: int, cur: DataFrame):
         self.loop, self.spark, self.tables, self.vectors = loop, loop.spark, [], []
-        rows = loop.settle(rows.where("i is not null and j is not null").select("i", "j"))
-        n, cores = rows.count(), self.spark.sparkContext.defaultParallelism
+        cores = self.spark.sparkContext.defaultParallelism
         self.buckets = max(1, min(cores, -(-n // SMALL_BUCKET)), -(-n // LARGE_BUCKET))  # a round is one wave of tasks where that will do
         counted = rows.groupBy(F.col("j").alias("node")).agg(F.count(F.lit(1)).alias("n"))
         hubs = loop.settle(counted.where(F.col("n") > self.buckets).orderBy(F.desc("n"), "node").limit(MAX_HUBS).select("node"))

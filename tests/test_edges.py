@@ -80,6 +80,43 @@ def test_link_round_and_convergence_in_both_forms(spark, broadcast):
     assert all(abs(got[i] - x[i]) < 1e-9 for i in range(22))
 
 
+@pytest.mark.parametrize("at_once", [1 << 20, 7])
+def test_converged_takes_as_many_jobs_for_any_number_of_rounds(spark, monkeypatch, at_once):
+    """A ring with chords and a pair beside it: hundreds of rounds, run in one job, equal to rounds by hand."""
+    monkeypatch.setattr(ls, "ENTRIES_AT_ONCE", at_once)
+    written, settle = [], RoundState.settle
+    monkeypatch.setattr(RoundState, "settle", lambda self, df, path=None: (written.append(path), settle(self, df, path))[1])
+    n = 24
+    pairs = [(k, k + 1) for k in range(n - 1)] + [(0, n - 1), (0, 8), (3, 15), (1, 12), (30, 31)]
+    edges = [e for a, b in pairs for e in ((a, b), (b, a))] + [(5, 5)]
+    ids = [*range(n), 30, 31, 40, 4]  # 40 alone; 4 twice: counts twice in the first round
+    rows = spark.createDataFrame([*edges, (99, 1), (3, 99), (None, 3), (4, None)], "i bigint, j bigint").repartition(4)
+    nodes = spark.createDataFrame([(k,) for k in [*ids, None]], "node bigint").repartition(3)
+    x, sent, rounds = dict.fromkeys(ids, 1 / 29), dict.fromkeys(ids, 1 / 29) | {4: 2 / 29}, 0
+    while True:
+        raw = dict.fromkeys(ids, 0.0)
+        for i, j in edges:
+            raw[i] += sent[j]
+        raw = {k: v if v > 0 else 1 / 29 for k, v in raw.items()}
+        lo, hi = min(raw.values()), max(raw.values())
+        new, rounds = {k: (v - lo) / (hi - lo) for k, v in raw.items()}, rounds + 1
+        change, x = sum((new[k] - x[k]) ** 2 for k in x) ** 0.5, new
+        sent = new
+        if change < ls.LINK_TOL:
+            break
+    out = ls.converged(rows, nodes, 29)
+    got = {r.node: r.score for r in out.collect()}
+    assert rounds > 100 and {r.rounds for r in out.collect()} == {rounds}
+    assert out.count() == len(got) == len(x) and all(abs(got[k] - x[k]) < 1e-9 for k in x)
+    assert len(written) < 10
+    with pytest.raises(ls.NoConvergence):
+        ls.converged(rows, nodes, 29, max_iter=rounds - 1)
+    none = ls.converged(rows, nodes.where("node is null"), 29).collect()
+    assert [(r.node, r.score, r.rounds) for r in none] == [(None, 1 / 29, 1)]
+    alone = ls.converged(rows.limit(0), nodes.where("node < 3"), 3).collect()
+    assert sorted((r.node, r.score, r.rounds) for r in alone) == [(k, 0.5, 2) for k in range(3)]
+
+
 def test_large_vector_stays_in_buckets(spark, monkeypatch):
     """Only the hubs' scores are broadcast, and neither entries nor hubs' products are shuffled."""
     monkeypatch.setattr(ls, "MAX_HUBS", 3)
